@@ -39,19 +39,24 @@ def equal_width_bin(value: Column, low: float, high: float, bins: int) -> Column
     return F.least(raw, F.lit(bins - 1)).cast("bigint")
 
 
+def _strip_zeros(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+
+
 def general_format(value: Column, digits: int = 6) -> Column:
-    """Shortest text with ``digits`` significant digits, like C's ``%g``."""
-    size = F.abs(value)
-    # Exponent of the value once rounded to the wanted digits.
+    """Shortest text with ``digits`` significant digits, like C's ``%g``; null stays null."""
+    # Mantissa and exponent of the value once rounded to the wanted digits.
     sci = F.format_string(f"%.{digits - 1}e", value)
-    exponent = F.when(size == 0, F.lit(0)).otherwise(
-        F.regexp_extract(sci, r"e([+-]\d+)$", 1).cast("int")
-    )
-    fixed = F.lit(None).cast("string")
+    exponent = F.coalesce(F.regexp_extract(sci, r"e([+-]\d+)$", 1).try_cast("int"), F.lit(0))
+    # The formatter rounds halves up; ties are settled half-even beforehand.
+    even, fixed = value, F.format_string(f"%.{digits - 1}f", value)
+    for e in range(-4, 16):
+        even = F.when(exponent == e, F.bround(value, digits - 1 - e)).otherwise(even)
     for e in range(-4, digits):
-        fixed = F.when(exponent == e, F.format_string(f"%.{digits - 1 - e}f", value)).otherwise(fixed)
-    trimmed = F.regexp_replace(F.regexp_replace(fixed, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    mantissa = F.regexp_extract(sci, r"^(.*)e", 1)
-    mantissa = F.regexp_replace(F.regexp_replace(mantissa, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+        fixed = F.when(exponent == e, F.format_string(f"%.{digits - 1 - e}f", even)).otherwise(fixed)
+    sci = F.format_string(f"%.{digits - 1}e", even)
+    mantissa = _strip_zeros(F.regexp_extract(sci, r"^(.*)e", 1))
     scientific = F.concat(mantissa, F.lit("e"), F.regexp_extract(sci, r"e([+-]\d+)$", 1))
-    return F.when(exponent.between(-4, digits - 1), trimmed).otherwise(scientific)
+    text = F.when(exponent.between(-4, digits - 1), _strip_zeros(fixed)).otherwise(scientific)
+    text = F.when(F.isnan(value), "nan").when(value == float("inf"), "inf").when(value == float("-inf"), "-inf").otherwise(text)
+    return F.when(value.isNotNull(), text)

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 NOT_AVAILABLE = "N/A"
 
 
+def _fixed(value: Column, decimals: int) -> Column:
+    """Fixed decimals, halves to even (the formatter alone rounds them up); null stays null."""
+    return F.when(value.isNotNull(), F.format_string(f"%.{decimals}f", F.bround(value, decimals)))
+
+
 def currency(value: Column, symbol: str = "£") -> Column:
     """``1234.6`` -> ``£1,235``; ``-50`` -> ``£-50``; half to even."""
     text = F.format_number(F.bround(value.cast("double"), 0), 0)
@@ -20,8 +25,7 @@ def currency(value: Column, symbol: str = "£") -> Column:
 
 def percent(value: Column, decimals: int = 1) -> Column:
     return F.coalesce(
-        F.concat(F.format_string(f"%.{decimals}f", F.when(value.isNotNull(), value.cast("double") * 100)), F.lit("%")),
-        F.lit(NOT_AVAILABLE),
+        F.concat(_fixed(value.cast("double") * 100, decimals), F.lit("%")), F.lit(NOT_AVAILABLE)
     )
 
 
@@ -37,9 +41,7 @@ def count(value: Column) -> Column:
 
 
 def metric(value: Column) -> Column:
-    return F.coalesce(
-        F.when(value.isNotNull(), F.format_string("%.3f", value.cast("double"))), F.lit(NOT_AVAILABLE)
-    )
+    return F.coalesce(_fixed(value.cast("double"), 3), F.lit(NOT_AVAILABLE))
 
 
 FORMATS = {"currency": currency, "percent": percent, "date": date, "count": count, "metric": metric}
