@@ -36,7 +36,8 @@ def equal_width_bin(value: Column, low: float, high: float, bins: int) -> Column
     if high <= low:
         return F.when(value.isNotNull(), F.lit(0)).cast("bigint")
     raw = F.floor((value - F.lit(float(low))) / F.lit((high - low) / bins))
-    return F.least(raw, F.lit(bins - 1)).cast("bigint")
+    # `least` skips nulls, so a missing value has to be kept out explicitly.
+    return F.when(value.isNotNull(), F.least(raw, F.lit(bins - 1))).cast("bigint")
 
 
 def _strip_zeros(text: Column) -> Column:

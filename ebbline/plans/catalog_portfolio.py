@@ -347,12 +347,12 @@ def pf_batchscore_model(spark: SparkSession, sf: str) -> DataFrame:
 COEFFICIENTS = {
     "recency_days": 0.004,
     "frequency": -0.09,
-    "monetary": -0.0000002,
+    "spend_slope": -0.0004,
     "tenure_days": -0.0007,
     "avg_basket_size": 0.021,
     "distinct_products": -0.013,
     "days_between_txns": 0.0031,
-    "spend_90d": -0.0000011,
+    "spend_std_90d": -0.0000011,
     "txn_count_slope": 5.0,
 }
 INTERCEPT = 0.3
