@@ -21,6 +21,18 @@ from ebbline.session import work_dir, write_table
 DEFAULT_TREES = {"n_estimators": 300, "max_depth": 4, "learning_rate": 0.05}
 
 
+# An iterative fit runs one job per step; small inputs get fewer, fuller tasks.
+ROWS_PER_TASK = 20_000
+
+
+def _fit_input(rows: DataFrame) -> tuple[DataFrame, int]:
+    """The rows as a written table, and their number."""
+    table = write_table(rows, "fit")
+    n = table.count()
+    # Never more partitions than there are: large tables keep theirs.
+    return table.coalesce(max(1, -(-n // ROWS_PER_TASK))), n
+
+
 def train_baseline(
     train: DataFrame,
     features: Sequence[str] = tuple(FEATURES),
@@ -36,14 +48,14 @@ def train_baseline(
     rows = prep.scale(filled, scaling)
     if use_smote:
         rows = oversample(rows, features, key, seed=seed)
-    rows = write_table(rows.select(*features, F.col("label").cast("double").alias("label")), "fit")
+    rows, n = _fit_input(rows.select(*features, F.col("label").cast("double").alias("label")))
     transformer, assembler, columns = prep.preparation(medians, scaling)
     vectors = assembler.transform(
         rows.withColumnsRenamed({f: f"{prep.PREFIX}{f}" for f in features})
     ).select(prep.VECTOR, "label")
     # The penalty of a unit-strength L2 term on the summed loss, per row.
     model = LogisticRegression(
-        featuresCol=prep.VECTOR, maxIter=max_iter, regParam=1.0 / max(rows.count(), 1),
+        featuresCol=prep.VECTOR, maxIter=max_iter, regParam=1.0 / max(n, 1),
         elasticNetParam=0.0, standardization=False,
     ).fit(vectors)
     return PipelineModel([transformer, assembler, model])
@@ -89,12 +101,12 @@ def train_trees(
     medians = prep.fit_medians(train, features)
     transformer, assembler, _ = prep.preparation(medians, None, may_be_null)
     weighted = prep.with_class_weight(train.select(*features, F.col("label").cast("double").alias("label")))
-    rows = write_table(weighted, "fit")
+    rows, n = _fit_input(weighted)
     vectors = assembler.transform(transformer.transform(rows)).select(prep.VECTOR, "label", "weight")
     wanted = {**DEFAULT_TREES, **(params or {})}
     learner = GBTClassifier(
         featuresCol=prep.VECTOR, labelCol="label", weightCol="weight", seed=seed,
-        **gbt_params(wanted, rows.count() if "gamma" in wanted else None),
+        **gbt_params(wanted, n),
     )
     return PipelineModel([transformer, assembler, learner.fit(vectors)])
 

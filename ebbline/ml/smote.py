@@ -118,22 +118,19 @@ def nearest(
     points = rows.select(key, projection.alias("p"), F.array(*features).alias("x"))
     size = max(block_rows, -(-n // MAX_BLOCKS))
     placed = with_running(points, [asc("p"), asc(key)], rank="_r")
+    block = F.floor((F.col("_r") - 1) / size).cast("int")
     blocks = write_table(
-        placed.select(key, "p", "x", F.floor((F.col("_r") - 1) / size).cast("int").alias("block")), "blocks"
-    )
-    wanted = write_table(
-        blocks.join(asked, key, "left").withColumn("is_query", is_query).drop("_q"),
-        "queries",
+        placed.join(asked, key, "left").select(key, "p", "x", block.alias("block"), is_query.alias("is_query")), "blocks"
     )
     # MAX_BLOCKS rows at most.
     edges = blocks.groupBy("block").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).orderBy("block").toPandas()
     lows, highs = edges["lo"].to_numpy(), edges["hi"].to_numpy()
 
-    first = write_table(wanted.groupBy("block").applyInPandas(own_block, found_schema), "near_own")
+    first = write_table(blocks.groupBy("block").applyInPandas(own_block, found_schema), "near_own")
 
     # Blocks within reach of each query: a contiguous range, since blocks are ordered.
     reach = first.groupBy(key).agg(F.max("distance").alias("d"), F.count(F.lit(1)).alias("m"))
-    limited = wanted.where("is_query").join(reach, key, "left").select(
+    limited = blocks.where("is_query").join(reach, key, "left").select(
         key, "p", "x", "block", F.when(F.col("m") >= k, F.col("d") * (1 + 1e-9) + 1e-12).otherwise(F.lit(float("inf"))).alias("d")
     )
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions.dates import SnapshotLike, ts
 from ebbline.functions.quantiles import exact_quantiles
+from ebbline.session import write_table
 
 log = logging.getLogger(__name__)
 
@@ -171,23 +172,37 @@ def clean(
     if fences is None:
         if train_snapshot is None:
             raise ValueError("outlier fences need the train snapshot they are fitted up to")
-        # The cutoff goes below the de-duplication, so the fit reads less.
-        past = apply_rules(df.where(F.col("invoice_date") <= ts(train_snapshot)), rules)
-        fences = fit_fences(
-            past, rules.outlier_columns, rules.outlier_method, rules.iqr_factor, rules.zscore_threshold
-        )
+        # De-duplication is the expensive shuffle.  Its result is written once;
+        # the fit then reads two columns of it and the fences push down to it.
+        cleaned = write_table(cleaned, "cleaned")
+        fences = _fit_past(cleaned, train_snapshot, rules)
     return fences.apply(cleaned)
 
 
+def _fit_past(cleaned: DataFrame, train_snapshot: SnapshotLike, rules: CleaningRules) -> OutlierFences:
+    past = cleaned.where(F.col("invoice_date") <= ts(train_snapshot))
+    return fit_fences(past, rules.outlier_columns, rules.outlier_method, rules.iqr_factor, rules.zscore_threshold)
+
+
 def cleaning_audit(
-    df: DataFrame, fences: OutlierFences, rules: CleaningRules = CleaningRules()
+    df: DataFrame,
+    train_snapshot: SnapshotLike | None = None,
+    rules: CleaningRules = CleaningRules(),
+    fences: OutlierFences | None = None,
 ) -> DataFrame:
-    """Rows before, after and dropped per step, in one pass.
+    """Rows before, after and dropped per step.
 
-    Copies are collapsed to ``(row, copies)`` first; every step is then a
+    Copies are collapsed to ``(row, copies)`` once; every step is then a
     conditional sum over the collapsed rows: no count per step.
     """
     copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    if fences is None and rules.outlier_method != "none":
+        if train_snapshot is None:
+            raise ValueError("outlier fences need the train snapshot they are fitted up to")
+        copies = write_table(copies, "copies")
+        # The collapsed rows are distinct already.
+        distinct = apply_rules(copies, replace(rules, drop_duplicates=False))
+        fences = _fit_past(distinct, train_snapshot, rules)
     step_rules: list[tuple[str, Column | None]] = []
     if rules.drop_missing_customer:
         step_rules.append(("missing_customer", F.col("customer_id").isNotNull()))

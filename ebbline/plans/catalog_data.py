@@ -30,7 +30,7 @@ from ebbline.schema import (
     rename_to_canonical,
     window_features,
 )
-from ebbline.session import work_dir, write_table
+from ebbline.session import work_dir
 from ebbline.sources import readers, sinks
 
 TEST = SNAPSHOTS["test"]
@@ -324,9 +324,7 @@ a5 AS ({_iqr_sql('a4', 'fit')})"""
 
 @query("cln_audit", _audit_sql())
 def cln_audit(spark: SparkSession, sf: str) -> DataFrame:
-    dirty = txn_dirty(spark, sf)
-    fences = cleaning.fit_fences(cleaning.apply_rules(past(dirty, SNAPSHOTS["train"])))
-    return cleaning.cleaning_audit(dirty, fences)
+    return cleaning.cleaning_audit(txn_dirty(spark, sf), SNAPSHOTS["train"])
 
 
 # --- guards and data quality ---------------------------------------------------
@@ -628,8 +626,7 @@ def flagship_sql() -> str:
 def clean_features(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: raw lines -> cleaning with train-fitted fences -> 33 features at the test snapshot."""
     cleaned = cleaning.clean(txn_dirty(spark, sf), SNAPSHOTS["train"])
-    # The feature plan reads the lines three times; clean them once.
-    return rounded(features.build_features(write_table(cleaned, "lines"), TEST), O.FEATURE_DIGITS)
+    return rounded(features.build_features(cleaned, TEST), O.FEATURE_DIGITS)
 
 
 # --- labels and splits -----------------------------------------------------------

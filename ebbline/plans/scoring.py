@@ -28,15 +28,12 @@ def score_population(
 ) -> DataFrame:
     """Every customer seen by the snapshot with features, probability and revenue at risk.
 
-    The cleaned lines are written once (the feature plan reads them three
+    The cleaned lines are a written table (the feature plan reads it three
     times), and so is the result, which all portfolio tables read.
     """
     if rules is not None:
         lines = clean(lines, train_snapshot or snapshot, rules)
-    kept = lines.select(
-        *[c for c in lines.columns if c in {"customer_id", "invoice_id", "invoice_date", "quantity", "unit_price", "stock_code"}]
-    )
-    matrix = build_features(write_table(kept, "lines"), snapshot, windows)
+    matrix = build_features(lines, snapshot, windows)
     return write_table(with_revenue_at_risk(scorer(matrix)), "scored_population")
 
 

@@ -52,7 +52,7 @@ def run_training(
     """
     snapshots = dict(snapshots)
     spark = lines.sparkSession
-    cleaned = write_table(clean(lines, snapshots["train"], rules), "lines")
+    cleaned = clean(lines, snapshots["train"], rules)
     table = write_table(build_time_splits(cleaned, snapshots), "splits")
 
     def xy(*names: str) -> DataFrame:
