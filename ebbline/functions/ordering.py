@@ -55,16 +55,17 @@ def with_running(
     ``keys`` must identify a row.
     """
     sums, lead, totals = sums or {}, lead or {}, totals or {}
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [k.column() for k in keys]
+    # No partition count: AQE merges neighbouring ranges that are small, which
+    # keeps the ranges in order.  The number of the range is written with the
+    # rows, so later reads cannot disagree about it.
     ranged = write_table(
-        df.repartitionByRange(parts, *order).withColumn(PART, F.spark_partition_id()), "ordered"
+        df.repartitionByRange(*order).withColumn(PART, F.spark_partition_id()), "ordered"
     )
 
     in_part = Window.partitionBy(PART).orderBy(*order)
     running = in_part.rowsBetween(Window.unboundedPreceding, 0)
-    # One row per range partition from here to the join: `parts` rows at most.
+    # One row per range from here to the join: at most as many as shuffle partitions.
     before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     part_totals = ranged.groupBy(PART).agg(
@@ -89,7 +90,7 @@ def with_running(
         *[F.sum(f"_t_{new}").over(everything).alias(f"_t_{new}") for new in totals],
         *([F.lead("_first").over(Window.orderBy(PART)).alias("_next")] if lead else []),
     )
-    # `offsets` has at most `parts` rows, whatever the size of `df`.
+    # `offsets` has one row per range, whatever the size of `df`.
     joined = ranged.join(F.broadcast(offsets), PART)
 
     out: dict[str, Column] = {}

@@ -2,9 +2,10 @@
 
 Plan of the full matrix: lines -> (customer, invoice) -> customer, two hash
 aggregates with map-side combine, so a customer holding a third of all rows
-costs one partial row per map task in the second one.  Two narrow branches
-join on the customer: exact distinct products, and the slope of the running
-invoice number, which needs ranks (see :func:`invoice_count_slope`).
+costs one partial row per map task in the second one.  The invoice table
+between them is written once: it also feeds the slope of the running invoice
+number, which needs ranks (see :func:`invoice_count_slope`).  Exact distinct
+products need a second aggregate over three columns of the lines.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ from ebbline.schema import (
     require_columns,
     window_features,
 )
+from ebbline.session import write_table
 
 SNAPSHOT = "snapshot"
 
@@ -160,45 +162,39 @@ def per_customer(rollup: DataFrame, aggs: Sequence[Column], keys: Sequence[str]
     return rollup.groupBy(*keys, SNAPSHOT, "customer_id").agg(*aggs)
 
 
-def invoice_count_slope(
-    lines: DataFrame, snapshots: dict[str, SnapshotLike]
-) -> DataFrame:
-    """OLS slope of the running invoice number on time, per snapshot and customer.
+def invoice_count_slope(lines: DataFrame, snapshots: dict[str, SnapshotLike]) -> DataFrame:
+    """OLS slope of the running invoice number on time: ``split, snapshot, customer_id, txn_count_slope``."""
+    known = lines.where(F.col("invoice_id").isNotNull())
+    return _count_slope(invoice_rollup(at_snapshots(known, snapshots), [], ["split"]))
+
+
+def _count_slope(invoices: DataFrame) -> DataFrame:
+    """The slope from the invoice table.
 
     Invoices at the same moment share their mean rank, which leaves the slope
-    unchanged.  Ranks do not depend on the snapshot, so they are computed once:
-    distinct moments per customer, ranked inside each day, plus the number of
-    invoices on earlier days.  No group holds more rows than a day has moments
-    or a history has days, so a customer with a third of all invoices is fine.
+    unchanged.  Invoices collapse to distinct moments, which are ranked inside
+    each day; the invoices of earlier days are added as an offset.  No group
+    holds more rows than a day has moments or a history has days, so a
+    customer with a third of all invoices is fine.
     """
-    last = latest(snapshots.values())
-    invoices = (
-        lines.where(F.col("customer_id").isNotNull() & F.col("invoice_id").isNotNull())
-        .where(F.col("invoice_date") <= ts(last))
-        .groupBy("customer_id", "invoice_id")
-        .agg(F.min("invoice_date").alias("at"))
-    )
+    owner = ["split", SNAPSHOT, "customer_id"]
     origin = ts("2000-01-01")
     moments = (
-        invoices.groupBy("customer_id", "at")
+        invoices.where(F.col("invoice_id").isNotNull() & F.col("first_date").isNotNull())
+        .groupBy(*owner, F.col("first_date").alias("at"))
         .agg(F.count(F.lit(1)).alias("m"))
         .withColumn("day", day_diff(origin, F.col("at")))
         .withColumn("x", frac_days(origin + F.make_dt_interval(F.col("day").cast("int")), F.col("at")))
     )
-    in_day = Window.partitionBy("customer_id", "day").orderBy("at")
+    in_day = Window.partitionBy(*owner, "day").orderBy("at")
     earlier = in_day.rowsBetween(Window.unboundedPreceding, -1)
-    local = F.coalesce(F.sum("m").over(earlier), F.lit(0)) + (F.col("m") + 1) / F.lit(2.0)
-    ranked = moments.withColumn("r", local)
+    rank = F.coalesce(F.sum("m").over(earlier), F.lit(0)) + (F.col("m") + 1) / F.lit(2.0)
 
-    # Per day and snapshot, sums over the moments up to that snapshot.
-    splits = F.array(
-        *[F.struct(F.lit(n).alias("split"), ts(s).alias(SNAPSHOT)) for n, s in snapshots.items()]
-    )
+    # Per day: number of invoices and sums of time and rank, time counted from the day's start.
     m, x, r = F.col("m"), F.col("x"), F.col("r")
     days = (
-        ranked.select("*", F.inline(splits))
-        .where(F.col("at") <= F.col(SNAPSHOT))
-        .groupBy("customer_id", "day", "split", SNAPSHOT)
+        moments.withColumn("r", rank)
+        .groupBy(*owner, "day")
         .agg(
             F.sum("m").alias("n"),
             F.sum(m * x).alias("sx"),
@@ -209,13 +205,16 @@ def invoice_count_slope(
             F.max("at").alias("hi"),
         )
     )
-    by_day = Window.partitionBy("customer_id", "split").orderBy("day")
-    history = Window.partitionBy("customer_id", "split")
-    placed = days.withColumn(
-        "off", F.coalesce(F.sum("n").over(by_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).withColumn("d", (F.col("day") - F.min("day").over(history)).cast("double"))
+    history = Window.partitionBy(*owner)
+    before = history.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    placed = days.withColumns(
+        {
+            "off": F.coalesce(F.sum("n").over(before), F.lit(0)),
+            "d": (F.col("day") - F.min("day").over(history)).cast("double"),
+        }
+    )
     n, d, off = F.col("n"), F.col("d"), F.col("off")
-    total = placed.groupBy("customer_id", "split", SNAPSHOT).agg(
+    total = placed.groupBy(*owner).agg(
         F.sum("n").alias("n"),
         F.sum(n * d + F.col("sx")).alias("sx"),
         F.sum(n * d * d + 2 * d * F.col("sx") + F.col("sxx")).alias("sxx"),
@@ -225,12 +224,7 @@ def invoice_count_slope(
     )
     n, sx = F.col("n").cast("double"), F.col("sx")
     slope = (F.col("srx") - sx * (n + 1) / 2) / (F.col("sxx") - sx * sx / n)
-    return total.select(
-        "split",
-        SNAPSHOT,
-        "customer_id",
-        F.when(F.col("lo") < F.col("hi"), slope).alias("txn_count_slope"),
-    )
+    return total.select(*owner, F.when(F.col("lo") < F.col("hi"), slope).alias("txn_count_slope"))
 
 
 def distinct_products(lines: DataFrame, snapshots: dict[str, SnapshotLike]) -> DataFrame:
@@ -299,8 +293,9 @@ def trend_features(lines: DataFrame, snapshot: SnapshotLike) -> DataFrame:
     """Slopes and mean gap per customer with at least one known invoice."""
     guarded = _guarded(lines, snapshot)
     known = guarded.where(F.col("invoice_id").isNotNull())
-    base = per_customer(invoice_rollup(known, []), _trend_aggs())
-    counts = invoice_count_slope(known.drop(SNAPSHOT), _one(snapshot)).select("customer_id", "txn_count_slope")
+    invoices = write_table(invoice_rollup(known.withColumn("split", F.lit("all")), [], ["split"]), "invoices")
+    base = per_customer(invoices, _trend_aggs())
+    counts = _count_slope(invoices).select("customer_id", "txn_count_slope")
     return base.join(counts, "customer_id", "left").select("customer_id", *TREND_FEATURES)
 
 
@@ -332,11 +327,12 @@ def features_at(
     windows: Iterable[int] = DEFAULT_WINDOWS,
     label_days: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Feature matrix (and labels) of several snapshots in one plan.
+    """Feature matrix (and labels) of several snapshots in one pass over the lines.
 
     Result: ``split, snapshot, customer_id``, the features in model order and,
     with ``label_days=(churn window, value window)``, ``churn`` and ``clv``.
-    Customers without a line up to a snapshot are absent from it.
+    Customers without a line up to a snapshot are absent from it.  The invoice
+    table is written when this is called; the rest is lazy.
     """
     windows = check_windows(windows)
     require_columns(lines, FEATURE_INPUT_COLUMNS)
@@ -354,14 +350,14 @@ def features_at(
         past = F.col("past")
         label_aggs = _label_aggs()
     rollup = _rollup_with_labels(keyed, windows, keys, label_days)
-    masked = rollup if not label_days else _mask_future(rollup, windows)
+    masked = write_table(rollup if not label_days else _mask_future(rollup, windows), "invoices")
     customers = masked.groupBy("split", SNAPSHOT, "customer_id").agg(
         *_rfm_aggs(), *_window_aggs(windows), *_lifetime_aggs(), *_trend_aggs(), *label_aggs,
         F.count_if(past).alias("_past"),
     ).where(F.col("_past") > 0)
 
     key = ["split", "customer_id"]
-    slopes = invoice_count_slope(lines, snapshots).drop(SNAPSHOT)
+    slopes = _count_slope(masked).drop(SNAPSHOT)
     joined = customers.join(slopes, key, "left")
     if "stock_code" in lines.columns:
         products = distinct_products(lines, snapshots).drop(SNAPSHOT)
