@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Wide matrices are built from hundreds of expressions; do not record a
+    # Python call site for each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _work_dirs: dict[str, str] = {}
