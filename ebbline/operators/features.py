@@ -112,20 +112,35 @@ def _rfm_aggs() -> list[Column]:
     ]
 
 
-def _window_aggs(windows: Sequence[int]) -> list[Column]:
-    out = []
+def aggregate_inputs(rollup: DataFrame, windows: Sequence[int], trend: bool = True) -> DataFrame:
+    """Columns the customer aggregate needs, computed per invoice.
+
+    Kept out of the aggregate itself: its generated code stays small enough
+    for the JVM to compile.
+    """
     known = F.col("invoice_id").isNotNull()
+    columns: dict[str, Column] = {}
     for w in windows:
         hit = known & in_window(F.col("last_date"), F.col(SNAPSHOT), w)
-        spend = F.when(hit, F.col("revenue"))
-        lines = F.sum(f"lines_{w}d")
-        known_lines = F.sum(F.when(known, F.col(f"lines_{w}d")).otherwise(0))
+        columns[f"_spend_{w}d"] = F.when(hit, F.col("revenue"))
+        columns[f"_known_{w}d"] = F.when(known, F.col(f"lines_{w}d")).otherwise(0)
+    if trend:
+        columns["_start"] = F.when(known, F.col("first_date"))
+        columns["_x"] = F.when(known, frac_days(F.col(SNAPSHOT), F.col("first_date")))
+        columns["_y"] = F.when(known, F.col("revenue"))
+    return rollup.withColumns(columns)
+
+
+def _window_aggs(windows: Sequence[int]) -> list[Column]:
+    out = []
+    for w in windows:
+        spend = F.col(f"_spend_{w}d")
         out += [
             null_if_zero(F.count(spend)).alias(f"invoice_count_{w}d"),
             F.sum(spend).alias(f"spend_{w}d"),
             F.avg(spend).alias(f"avg_spend_{w}d"),
             F.stddev_samp(spend).alias(f"spend_std_{w}d"),
-            F.when(lines > 0, known_lines).alias(f"txn_count_{w}d"),
+            F.when(F.sum(f"lines_{w}d") > 0, F.sum(f"_known_{w}d")).alias(f"txn_count_{w}d"),
             F.try_divide(F.sum(f"qty_{w}d"), F.sum(f"qty_n_{w}d")).alias(f"avg_basket_{w}d"),
         ]
     return out
@@ -147,13 +162,11 @@ def _lifetime_aggs() -> list[Column]:
 
 def _trend_aggs() -> list[Column]:
     """Spend slope and mean gap; both are unchanged by where time starts."""
-    known = F.col("invoice_id").isNotNull()
-    start = F.when(known, F.col("first_date"))
-    x = F.when(known, frac_days(F.col(SNAPSHOT), F.col("first_date")))
+    start = F.col("_start")
     gap = frac_days(F.min(start), F.max(start)) / null_if_zero(F.count(start) - 1)
     return [
         # Zero variance of x is decided on the dates, not on a rounded variance.
-        F.when(F.min(start) < F.max(start), F.regr_slope(F.col("revenue"), x)).alias("spend_slope"),
+        F.when(F.min(start) < F.max(start), F.regr_slope(F.col("_y"), F.col("_x"))).alias("spend_slope"),
         F.when(F.count(start) > 1, gap).alias("days_between_txns"),
     ]
 
@@ -271,7 +284,7 @@ def rolling_features(
 ) -> DataFrame:
     """Six features per window; all null for a customer inactive in it."""
     windows = check_windows(windows)
-    rollup = invoice_rollup(_guarded(lines, snapshot), windows)
+    rollup = aggregate_inputs(invoice_rollup(_guarded(lines, snapshot), windows), windows, trend=False)
     return per_customer(rollup, _window_aggs(windows)).select("customer_id", *window_features(windows))
 
 
@@ -294,7 +307,7 @@ def trend_features(lines: DataFrame, snapshot: SnapshotLike) -> DataFrame:
     guarded = _guarded(lines, snapshot)
     known = guarded.where(F.col("invoice_id").isNotNull())
     invoices = write_table(invoice_rollup(known.withColumn("split", F.lit("all")), [], ["split"]), "invoices")
-    base = per_customer(invoices, _trend_aggs())
+    base = per_customer(aggregate_inputs(invoices, []), _trend_aggs())
     counts = _count_slope(invoices).select("customer_id", "txn_count_slope")
     return base.join(counts, "customer_id", "left").select("customer_id", *TREND_FEATURES)
 
@@ -350,7 +363,8 @@ def features_at(
         past = F.col("past")
         label_aggs = _label_aggs()
     rollup = _rollup_with_labels(keyed, windows, keys, label_days)
-    masked = write_table(rollup if not label_days else _mask_future(rollup, windows), "invoices")
+    masked = rollup if not label_days else _mask_future(rollup, windows)
+    masked = write_table(aggregate_inputs(masked, windows), "invoices")
     customers = masked.groupBy("split", SNAPSHOT, "customer_id").agg(
         *_rfm_aggs(), *_window_aggs(windows), *_lifetime_aggs(), *_trend_aggs(), *label_aggs,
         F.count_if(past).alias("_past"),

@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM leaves methods above this size uncompiled; wide aggregates are
+    # faster outside a generated method that is only interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Wide matrices are built from hundreds of expressions; do not record a
     # Python call site for each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
