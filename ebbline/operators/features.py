@@ -23,6 +23,7 @@ from ebbline.functions.dates import (
     frac_days,
     in_window,
     latest,
+    micros_between,
     plus_days,
     ts,
 )
@@ -176,7 +177,7 @@ def per_customer(rollup: DataFrame, aggs: Sequence[Column], keys: Sequence[str]
 
 
 def invoice_count_slope(lines: DataFrame, snapshots: dict[str, SnapshotLike]) -> DataFrame:
-    """OLS slope of the running invoice number on time: ``split, snapshot, customer_id, txn_count_slope``."""
+    """OLS slope of the running invoice number on time: ``split, customer_id, txn_count_slope``."""
     known = lines.where(F.col("invoice_id").isNotNull())
     return _count_slope(invoice_rollup(at_snapshots(known, snapshots), [], ["split"]))
 
@@ -190,14 +191,15 @@ def _count_slope(invoices: DataFrame) -> DataFrame:
     holds more rows than a day has moments or a history has days, so a
     customer with a third of all invoices is fine.
     """
-    owner = ["split", SNAPSHOT, "customer_id"]
-    origin = ts("2000-01-01")
+    owner = ["split", "customer_id"]
+    day_micros = F.lit(86_400_000_000)
     moments = (
         invoices.where(F.col("invoice_id").isNotNull() & F.col("first_date").isNotNull())
         .groupBy(*owner, F.col("first_date").alias("at"))
         .agg(F.count(F.lit(1)).alias("m"))
-        .withColumn("day", day_diff(origin, F.col("at")))
-        .withColumn("x", frac_days(origin + F.make_dt_interval(F.col("day").cast("int")), F.col("at")))
+        .withColumn("us", micros_between(ts("2000-01-01"), F.col("at")))
+        .withColumn("x", F.pmod(F.col("us"), day_micros) / day_micros)
+        .withColumn("day", F.floor(F.col("us") / day_micros))
     )
     in_day = Window.partitionBy(*owner, "day").orderBy("at")
     earlier = in_day.rowsBetween(Window.unboundedPreceding, -1)
@@ -218,12 +220,13 @@ def _count_slope(invoices: DataFrame) -> DataFrame:
             F.max("at").alias("hi"),
         )
     )
-    history = Window.partitionBy(*owner)
-    before = history.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    by_day = Window.partitionBy(*owner).orderBy("day")
+    before = by_day.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
     placed = days.withColumns(
         {
             "off": F.coalesce(F.sum("n").over(before), F.lit(0)),
-            "d": (F.col("day") - F.min("day").over(history)).cast("double"),
+            "d": (F.col("day") - F.min("day").over(so_far)).cast("double"),
         }
     )
     n, d, off = F.col("n"), F.col("d"), F.col("off")
@@ -371,7 +374,7 @@ def features_at(
     ).where(F.col("_past") > 0)
 
     key = ["split", "customer_id"]
-    slopes = _count_slope(masked).drop(SNAPSHOT)
+    slopes = _count_slope(masked)
     joined = customers.join(slopes, key, "left")
     if "stock_code" in lines.columns:
         products = distinct_products(lines, snapshots).drop(SNAPSHOT)
