@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import decontam, exact, simhash, urls
+import public_tokenizers
+from ebbline.llm import bpe, decontam, exact, simhash, urls
 from ebbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +78,20 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query()
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary.load(VOCABULARY, public_tokenizers.PATTERN)
+    coded = bpe.decode(bpe.encode(texts(spark, sf_dir), vocabulary), vocabulary)
+    return coded.select(
+        "doc.doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
