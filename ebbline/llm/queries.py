@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from ebbline.llm import bpe, decontam, exact, simhash, urls
+from ebbline.llm import bpe, decontam, exact, sharding, simhash, urls
 from ebbline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,15 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op7_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return sharding.kd_shards(docs, shards=16).select(
+        "doc.doc_id", "doc.size", "doc.text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
