@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-from ebbline.llm import bpe, decontam, exact, sharding, simhash, urls
-from ebbline.llm.common import table
+from ebbline.llm import bpe, decontam, exact, langid, nbsvm, sharding, simhash, urls
+from ebbline.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,6 +78,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -101,6 +107,16 @@ def op7_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = texts(spark, sf_dir)
+    model = nbsvm.train(docs, table(spark, sf_dir, "labels"))
+    scored = nbsvm.score(docs, model, ["doc_id"]).select("doc.doc_id", "score")
+    return scored.select(
+        "doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
