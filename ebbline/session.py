@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,7 @@ SETTINGS = {
 }
 
 _work_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "ebbline", master: str | None = None, **conf: str) -> SparkSession:
@@ -40,6 +43,23 @@ def build_session(app: str = "ebbline", master: str | None = None, **conf: str)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for an application, so that their Python can import it."""
+    app_id = spark.sparkContext.applicationId
+    if app_id in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="ebbline-code-"), "ebbline.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app_id)
+
+
 def work_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
