@@ -133,7 +133,8 @@ def equal_classes(rows: DataFrame, prints: DataFrame) -> DataFrame:
         groups = open_rows.groupBy("n", "h1", "h2").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("size"))
         groups = save(groups.where("size > 1").drop("size"), "groups")
         grouped = save(open_rows.join(groups, ["n", "h1", "h2"]), "grouped")
-        texts = save(rows.join(grouped.select("row", "rep"), "row").select("row", "rep", "text"), "copies")
+        # A merge join at every size, so that small tables show what large ones will shuffle.
+        texts = save(rows.join(grouped.select("row", "rep").hint("merge"), "row").select("row", "rep", "text"), "copies")
         theirs = cut(texts.where("row = rep")).select("rep", "no", F.col("chunk").alias("first_chunk"))
         compared = (
             cut(texts.where("row <> rep"))
