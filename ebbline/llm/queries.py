@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, decontam, exact, langid, nbsvm, sharding, simhash, urls
+from ebbline.llm import bpe, decontam, exact, langid, nbsvm, sharding, simhash, substring, urls
 from ebbline.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,22 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query(r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s FROM d, unnest(range(1, (len(w) - 11)::BIGINT)) AS u(i)),
+f AS (SELECT s, min(doc_id) AS least FROM p GROUP BY s HAVING min(doc_id) < max(doc_id)),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM p JOIN f USING (s) WHERE least < doc_id),
+k AS (SELECT doc_id, j, w[j] AS word FROM d, unnest(range(1, (len(w) + 1)::BIGINT)) AS u(j)),
+t AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept, count(*) AS n FROM k ANTI JOIN r USING (doc_id, j) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+""")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(texts(spark, sf_dir)).select(
+        "doc.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
