@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, decontam, exact, langid, nbsvm, sharding, simhash, substring, urls
+from ebbline.llm import bpe, decontam, exact, hmm, langid, nbsvm, sharding, simhash, substring, urls
 from ebbline.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,6 +123,13 @@ def op7_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op8_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(texts(spark, sf_dir)).select(
+        "doc.doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query()
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = texts(spark, sf_dir)

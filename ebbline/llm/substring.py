@@ -22,7 +22,6 @@ Every input row gives a row.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -33,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.session import work_dir
+from ebbline.llm.common import bucketed
 
 WINDOW = 13
 ANCHOR = 5
@@ -96,7 +95,6 @@ class Runs:
 
 def blocks(docs: DataFrame) -> DataFrame:
     """Rows block, doc (all columns but the text), ids, texts (words joined by single blanks); bucketed by block."""
-    spark = docs.sparkSession
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc")
     rows = docs.select(doc, F.col("doc_id").cast("long").alias("id"), "text")
 
@@ -131,11 +129,7 @@ def blocks(docs: DataFrame) -> DataFrame:
 
     kind = rows.schema["doc"].dataType.simpleString()
     made = rows.mapInArrow(run, f"block long, doc array<{kind}>, ids array<bigint>, texts array<binary>")
-    name = f"blocks_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = made.write.option("path", f"{work_dir(spark).rstrip('/')}/{name}").option("compression", "zstd")
-    writer.bucketBy(buckets, "block").sortBy("block").saveAsTable(name)
-    return spark.table(name)
+    return bucketed(made, "blocks", "block")
 
 
 def extremes(keys: list[np.ndarray], ids: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
