@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of text that are encoded by one run of the recursive query.
 BATCH_BYTES = 8 << 20
@@ -234,7 +235,11 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 doc = batch.column("doc")[part]
                 yield pa.RecordBatch.from_arrays([doc, encoder.encode(text[part].to_pylist())], ["doc", "ids"])
 
-    return rows.mapInArrow(run, rows.schema.add("ids", "array<int>"))
+    return rows.mapInArrow(run, with_field(rows, "ids", T.ArrayType(T.IntegerType())))
+
+
+def with_field(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
+    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
 
 
 def lengths_of(text: pa.Array) -> np.ndarray:
@@ -253,4 +258,4 @@ def decode(coded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 rows = batch[part]
                 yield rows.append_column("decoded", pa.array(decoder.decode(rows.column("ids")), pa.binary()))
 
-    return coded.mapInArrow(run, coded.schema.add("decoded", "binary"))
+    return coded.mapInArrow(run, with_field(coded, "decoded", T.BinaryType()))
