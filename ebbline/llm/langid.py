@@ -127,7 +127,7 @@ def predict(docs: DataFrame, model: dict[str, np.ndarray], dimensions: int = DIM
     """``doc`` (all columns of ``docs`` but the text) with lang_pred and score."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc"), "text")
     names = list(model)
-    shared = docs.sparkSession.sparkContext.broadcast(np.array([model[n] for n in names]).reshape(len(names), -1))
+    shared = docs.sparkSession.sparkContext.broadcast(np.array([model[n] for n in names] or np.zeros((0, dimensions))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prototypes, memory = shared.value, Memory(dimensions)
