@@ -10,6 +10,16 @@ def revenue() -> Column:
     return F.col("quantity") * F.col("unit_price")
 
 
+def no_nan(c: Column) -> Column:
+    """NaN becomes null; ``c`` is a double."""
+    return F.nanvl(c, F.lit(None).cast("double"))
+
+
+def finite(c: Column) -> Column:
+    """NaN and infinite values become null; ``c`` is a double."""
+    return F.when(F.abs(no_nan(c)) < F.lit(float("inf")), c)
+
+
 def zero_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(0.0))
 

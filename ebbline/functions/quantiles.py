@@ -1,114 +1,124 @@
-"""Exact, linearly interpolated quantiles of whole columns at any size.
-
-``percentile`` keeps every distinct value of the column in one reducer, which
-is fine up to some size and fatal beyond it.  Past ``DIRECT_LIMIT`` rows the
-two order statistics around each target are bracketed by an approximate
-quantile and the bracket is narrowed by counting passes until it holds few
-distinct values.  Only counts and the values inside the last bracket reach the
-driver, never more than ``BRACKET_LIMIT`` per target.
+"""Exact, linearly interpolated quantiles of whole columns, by the same plan at any size.
+
+All columns and ranks are handled together.  A pass takes an approximate histogram of every
+interval that still holds a wanted rank; intervals with few different values are collected with
+their counts, the others are cut at the histogram's edges, and the counts at and between the
+edges tell exactly where each rank lies.  An interval shrinks about ``EDGES``-fold in a pass, so a
+column of billions of values takes two or three.  No task or reducer holds the values of a
+column; the driver gets at most ``FEW`` different values (and ``2 * EDGES`` counts) per interval.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbline.functions.numbers import no_nan
 from ebbline.session import write_table
 
-DIRECT_LIMIT = 2_000_000
-BRACKET_LIMIT = 50_000
-_BINS = 256
+FEW = 2_000
+EDGES = 1_024
+
+
+@dataclass
+class Interval:
+    """Values of ``column`` from ``low`` to ``high``, the first of them at rank ``start``; ``ranks`` are wanted."""
 
+    column: str
+    low: float | None
+    high: float | None
+    start: int
+    ranks: list[int]
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    direct_limit: int = DIRECT_LIMIT,
-) -> dict[str, list[float | None]]:
-    """``{column: [quantile, ...]}``; nulls are ignored, an empty column gives ``None``."""
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float | None]]:
+    """``{column: [quantile, ...]}``; nulls and NaN are ignored, a column without values gives ``None``."""
     columns, probabilities = list(columns), [float(p) for p in probabilities]
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    # Several passes follow: read a narrow table, not the whole plan, each time.
+    numbers = write_table(df.select(*[no_nan(F.col(c).cast("double")).alias(c) for c in columns]), "quantile_input")
     counts = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
-    small = [c for c in columns if 0 < counts[c] <= direct_limit]
-    large = [c for c in columns if counts[c] > direct_limit]
-    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
-    if small:
-        wanted = F.array(*[F.lit(p) for p in probabilities])
-        row = numbers.agg(*[F.percentile(c, wanted).alias(c) for c in small]).first()
-        result.update({c: [float(v) for v in row[c]] for c in small})
-    if large:
-        # Several passes follow: read a narrow table, not the whole plan, each time.
-        numbers = write_table(numbers.select(*large), "quantile_input")
-    for c in large:
-        result[c] = _by_narrowing(numbers.select(c).where(F.col(c).isNotNull()), c, counts[c], probabilities)
-    return result
-
-
-def _by_narrowing(values: DataFrame, column: str, n: int, probabilities: list[float]) -> list[float]:
-    cache: dict[int, float] = {}
-    for p in probabilities:
-        position = p * (n - 1)
-        low = math.floor(position)
-        for rank in sorted({low, math.ceil(position)}):
-            if rank not in cache:
-                _select_near(values, column, n, rank, cache)
-    out = []
-    for p in probabilities:
-        position = p * (n - 1)
-        low, high = math.floor(position), math.ceil(position)
-        out.append(cache[low] + (cache[high] - cache[low]) * (position - low))
+    around = {c: [(p * (counts[c] - 1)) for p in probabilities] for c in columns if counts[c]}
+    found: dict[tuple[str, int], float] = {}
+    wanted = {c: sorted({r for x in at for r in (math.floor(x), math.ceil(x))}) for c, at in around.items()}
+    state = [Interval(c, None, None, 0, ranks) for c, ranks in wanted.items()]
+    while state:
+        state = _narrow(numbers, state, found)
+    out: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
+    for c, at in around.items():
+        out[c] = [found[c, math.floor(x)] + (found[c, math.ceil(x)] - found[c, math.floor(x)]) * (x - math.floor(x)) for x in at]
     return out
 
 
-def _select_near(values: DataFrame, column: str, n: int, rank: int, cache: dict[int, float]) -> None:
-    """Find the 0-based order statistics ``rank`` and, if it is at hand, ``rank + 1``."""
-    c = F.col(column)
-    slack = 0.001
-    probe = F.array(F.lit(max(0.0, rank / n - slack)), F.lit(min(1.0, (rank + 1) / n + slack)))
-    guess = values.agg(
-        F.percentile_approx(column, probe, 10_000).alias("q"), F.min(c).alias("lo"), F.max(c).alias("hi")
+def _narrow(numbers: DataFrame, state: list[Interval], found: dict[tuple[str, int], float]) -> list[Interval]:
+    """One pass over all intervals; fills ``found`` and returns the smaller intervals that are left."""
+    names = [f"i{k}" for k in range(len(state))]
+    inside = numbers.select(
+        *[
+            (F.col(s.column) if s.low is None else F.when(F.col(s.column).between(s.low, s.high), F.col(s.column))).alias(n)
+            for n, s in zip(names, state)
+        ]
+    )
+    probes = F.array(*[F.lit(i / EDGES) for i in range(EDGES + 1)])
+    shape = inside.agg(
+        *[F.approx_count_distinct(n).alias(f"d{n}") for n in names],
+        *[F.min(n).alias(f"l{n}") for n in names],
+        *[F.max(n).alias(f"h{n}") for n in names],
+        *[F.percentile_approx(n, probes, 10 * EDGES).alias(f"e{n}") for n in names],
     ).first()
-    low, high = guess["q"]
-    below = values.agg(F.count_if(c < low).alias("b"), F.count_if(c <= high).alias("u")).first()
-    # The guess has a rank error; fall back to the whole range where it missed.
-    if below["b"] > rank:
-        low, start = guess["lo"], 0
-    else:
-        start = below["b"]
-    if below["u"] <= rank + 1:
-        high = guess["hi"]
-    while True:
-        inside = values.where((c >= low) & (c <= high))
-        distinct = inside.groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("k"))
-        found = distinct.orderBy("v").limit(BRACKET_LIMIT + 1).collect()
-        if len(found) <= BRACKET_LIMIT:
-            break
-        # Cut the bracket into bins that follow the data and keep the one with the rank.
-        edges = inside.agg(
-            F.percentile_approx(column, F.array(*[F.lit(i / _BINS) for i in range(_BINS + 1)]), 10_000).alias("e")
-        ).first()["e"]
-        edges = sorted({low, *edges, high})
-        bounds = inside.agg(*[F.count_if(c <= e).alias(f"e{i}") for i, e in enumerate(edges)]).first()
-        upto = [start + bounds[f"e{i}"] for i in range(len(edges))]
-        hit = next(i for i, u in enumerate(upto) if u > rank)
-        if hit == 0:
-            cache[rank] = edges[0]
-            if upto[0] > rank + 1:
-                cache[rank + 1] = edges[0]
-            return
-        # (edges[hit-1], edges[hit]] holds the rank; the next one may be its upper neighbour.
-        last = min(hit + 1, len(edges) - 1) if upto[hit] == rank + 1 else hit
-        new_low, new_high = math.nextafter(edges[hit - 1], math.inf), edges[last]
-        if (new_low, new_high) == (low, high):
-            break
-        start, low, high = upto[hit - 1], new_low, new_high
-    seen = start
-    for row in found:
-        for wanted in (rank, rank + 1):
-            if seen <= wanted < seen + row["k"]:
-                cache[wanted] = row["v"]
-        seen += row["k"]
+    few = [k for k, n in enumerate(names) if shape[f"d{n}"] <= FEW]
+    many = [k for k in range(len(names)) if k not in few]
+    values = _counted(inside, {names[k]: (F.col(names[k]), F.lit(True)) for k in few})
+    for k in few:
+        _settle(state[k], [(v, v, n) for v, _, n in sorted(values[names[k]])], found)
+    left: list[Interval] = []
+    if many:
+        edges = {}
+        for k in many:
+            low, high = shape[f"l{names[k]}"], shape[f"h{names[k]}"]
+            edges[names[k]] = sorted({low, high, low + (high - low) / 2, *shape[f"e{names[k]}"]})
+        cut = Bucketizer(
+            inputCols=[names[k] for k in many], outputCols=[f"b{names[k]}" for k in many],
+            splitsArray=[[*e, math.inf] for e in edges.values()], handleInvalid="keep",
+        ).transform(inside)
+        at_edge = {
+            n: (F.col(f"b{n}"), F.col(n) == F.element_at(F.array(*[F.lit(x) for x in e]), F.col(f"b{n}").cast("int") + 1))
+            for n, e in edges.items()
+        }
+        bins = _counted(cut, at_edge)
+        for k in many:
+            e = edges[names[k]]
+            pieces = [
+                (e[int(b)], e[int(b)], n) if exact
+                else (math.nextafter(e[int(b)], math.inf), math.nextafter(e[int(b) + 1], -math.inf), n)
+                for b, exact, n in bins[names[k]]
+            ]
+            left += _settle(state[k], sorted(pieces), found)
+    return left
+
+
+def _counted(df: DataFrame, keys: dict) -> dict[str, list[tuple]]:
+    """For each name the different pairs of its two keys, with their counts; rows without a value do not count."""
+    out: dict[str, list[tuple]] = {n: [] for n in keys}
+    if keys:
+        rows = F.array(*[F.when(F.col(n).isNotNull(), F.struct(F.lit(n).alias("n"), a.alias("a"), b.alias("b"))) for n, (a, b) in keys.items()])
+        for r in df.select(F.explode(F.array_compact(rows)).alias("x")).groupBy("x.n", "x.a", "x.b").count().collect():
+            out[r.n].append((r.a, r.b, r["count"]))
+    return out
+
+
+def _settle(own: Interval, pieces: list[tuple[float, float, int]], found: dict[tuple[str, int], float]) -> list[Interval]:
+    """Ranks in a piece of one value are found; the other pieces with ranks are the next intervals."""
+    left, start = [], own.start
+    for low, high, n in pieces:
+        ranks = [r for r in own.ranks if start <= r < start + n]
+        if low == high:
+            found.update({(own.column, r): low for r in ranks})
+        elif ranks:
+            left.append(Interval(own.column, low, high, start, ranks))
+        start += n
+    return left

@@ -12,6 +12,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbline.functions.numbers import no_nan
 from ebbline.functions.quantiles import exact_quantiles
 
 PREFIX = "x_"
@@ -19,12 +20,13 @@ VECTOR = "features"
 
 
 def fit_medians(train: DataFrame, features: Sequence[str]) -> dict[str, float]:
-    """Exact median per feature, nulls ignored; a column without values gets 0."""
+    """Exact median per feature, nulls and NaN ignored; a column without values gets 0."""
     return {f: (q[0] if q[0] is not None else 0.0) for f, q in exact_quantiles(train, features, [0.5]).items()}
 
 
 def impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
-    return df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(m)) for f, m in medians.items()})
+    """Nulls and NaN become the median."""
+    return df.withColumns({f: F.coalesce(no_nan(F.col(f).cast("double")), F.lit(m)) for f, m in medians.items()})
 
 
 def fit_scaling(train: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -74,12 +76,12 @@ def preparation(
     """Stages ``impute -> scale -> is-missing flags -> vector`` and the vector's column names."""
     exprs = []
     for f, m in medians.items():
-        filled = f"coalesce(CAST(`{f}` AS DOUBLE), {_sql_double(m)})"
+        filled = f"coalesce(nanvl(CAST(`{f}` AS DOUBLE), CAST(NULL AS DOUBLE)), {_sql_double(m)})"
         if scaling:
             mean, std = scaling[f]
             filled = f"({filled} - {_sql_double(mean)}) / {_sql_double(std)}"
         exprs.append(f"{filled} AS `{PREFIX}{f}`")
-    exprs += [f"CAST(`{f}` IS NULL AS DOUBLE) AS `{PREFIX}no_{f}`" for f in indicators]
+    exprs += [f"CAST(`{f}` IS NULL OR isnan(CAST(`{f}` AS DOUBLE)) AS DOUBLE) AS `{PREFIX}no_{f}`" for f in indicators]
     columns = [f"{PREFIX}{f}" for f in medians] + [f"{PREFIX}no_{f}" for f in indicators]
     transformer = SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
     return transformer, VectorAssembler(inputCols=columns, outputCol=VECTOR), columns

@@ -60,14 +60,17 @@ def past(df: DataFrame, snapshot: str = TEST) -> DataFrame:
     "src_csv",
     O.with_views(
         f"""SELECT customer_id, count(*) AS n_rows, min(invoice_date) AS first_date,
-  {r('sum(quantity)', 'quantity')}, {r('sum(quantity * unit_price)', 'revenue', 2)}
+  {r('sum(quantity)', 'quantity')}, {r('sum(quantity * unit_price)', 'revenue', 2)},
+  min('The "' || country || '", trade' || chr(10) || 'only') AS country
 FROM txn_ship GROUP BY 1""",
         "txn_ship",
     ),
 )
 def src_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Written and read as CSV; the country has quotes, a comma and a line break around it."""
     path = f"{work_dir(spark)}/csv-{uuid.uuid4().hex}"
-    sinks.write_result(source_named(txn(spark, sf, "l_shipdate", country=True)), path, "csv")
+    odd = F.concat(F.lit('The "'), "country", F.lit('", trade\nonly'))
+    sinks.write_result(source_named(txn(spark, sf, "l_shipdate", country=True).withColumn("country", odd)), path, "csv")
     lines = readers.load_transactions(spark, path, "csv", SOURCE_NAMES)
     return rounded(
         lines.groupBy("customer_id").agg(
@@ -75,6 +78,7 @@ def src_csv(spark: SparkSession, sf: str) -> DataFrame:
             F.min("invoice_date").alias("first_date"),
             F.sum("quantity").alias("quantity"),
             F.sum(revenue()).alias("revenue"),
+            F.min("country").alias("country"),
         ),
         {"revenue": 2},
     )
@@ -118,10 +122,10 @@ def src_parts(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "src_coerce",
     O.with_views(
-        f"""SELECT CASE WHEN CAST(invoice_id AS BIGINT) % 97 <> 0 THEN customer_id END AS customer_id,
+        f"""SELECT CASE WHEN CAST(invoice_id AS BIGINT) % 97 <> 0 AND CAST(invoice_id AS BIGINT) % 91 <> 0 THEN customer_id END AS customer_id,
   invoice_id, CASE WHEN CAST(invoice_id AS BIGINT) % 53 <> 0 THEN invoice_date END AS invoice_date,
-  CASE WHEN CAST(stock_code AS BIGINT) % 41 <> 0 THEN quantity END AS quantity,
-  {r('CASE WHEN CAST(stock_code AS BIGINT) % 89 <> 0 THEN unit_price END', 'unit_price')}
+  CASE WHEN CAST(stock_code AS BIGINT) % 41 <> 0 AND CAST(stock_code AS BIGINT) % 37 <> 0 THEN quantity END AS quantity,
+  {r('CASE WHEN CAST(stock_code AS BIGINT) % 89 <> 0 AND CAST(stock_code AS BIGINT) % 83 <> 0 THEN unit_price END', 'unit_price')}
 FROM txn""",
         "txn",
     ),
@@ -130,11 +134,13 @@ def src_coerce(spark: SparkSession, sf: str) -> DataFrame:
     lines = txn(spark, sf)
     order, part = F.col("invoice_id").cast("bigint"), F.col("stock_code").cast("bigint")
     raw = lines.select(
-        F.when(order % 97 == 0, "unknown").otherwise(F.col("customer_id").cast("double").cast("string")).alias("customer_id"),
+        F.when(order % 97 == 0, "unknown").when(order % 91 == 0, F.concat("customer_id", F.lit(".7")))
+        .otherwise(F.col("customer_id").cast("double").cast("string")).alias("customer_id"),
         "invoice_id",
-        F.when(order % 53 == 0, "not-a-date").otherwise(F.col("invoice_date").cast("string")).alias("invoice_date"),
-        F.when(part % 41 == 0, "many").otherwise(F.col("quantity").cast("string")).alias("quantity"),
-        F.when(part % 89 == 0, "").otherwise(F.col("unit_price").cast("string")).alias("unit_price"),
+        F.when(order % 53 == 0, "not-a-date").when(order % 2 == 0, F.date_format("invoice_date", "M/d/yyyy H:mm:ss"))
+        .otherwise(F.col("invoice_date").cast("string")).alias("invoice_date"),
+        F.when(part % 41 == 0, "many").when(part % 37 == 0, "NaN").otherwise(F.col("quantity").cast("string")).alias("quantity"),
+        F.when(part % 89 == 0, "").when(part % 83 == 0, "-Infinity").otherwise(F.col("unit_price").cast("string")).alias("unit_price"),
     )
     typed = readers.coerce_types(raw)
     return typed.withColumn("unit_price", F.round(F.col("unit_price") + F.lit(0.00000033), 4))
@@ -144,14 +150,14 @@ def src_coerce(spark: SparkSession, sf: str) -> DataFrame:
     "src_rename",
     O.with_views(
         f"""SELECT customer_id, invoice_id, invoice_date, quantity, {r('unit_price')}, country, stock_code
-FROM txn WHERE quantity > 45""",
+FROM txn""",
         "txn",
     ),
 )
 def src_rename(spark: SparkSession, sf: str) -> DataFrame:
     lines = txn(spark, sf, country=True)
     named = lines.select(*[F.col(c).alias(s) for c, s in SOURCE_NAMES.items()], "stock_code")
-    return rounded(rename_to_canonical(named, SOURCE_NAMES).where("quantity > 45"))
+    return rounded(rename_to_canonical(named, SOURCE_NAMES))
 
 
 @query(
@@ -185,21 +191,21 @@ def src_partprofile(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "snk_table",
-    f"""SELECT l_orderkey, l_linenumber, l_quantity, {r('l_extendedprice')} FROM lineitem WHERE l_quantity >= 40""",
+    f"""SELECT l_orderkey, l_linenumber, l_quantity, {r('l_extendedprice')} FROM lineitem""",
 )
 def snk_table(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{work_dir(spark)}/result-{uuid.uuid4().hex}"
-    wanted = table(spark, sf, "lineitem").where("l_quantity >= 40")
-    wanted = wanted.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    wanted = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     sinks.write_result(wanted, path, "csv")
     return rounded(spark.read.schema(wanted.schema).option("header", True).csv(path))
 
 
 def _yearly_metrics(spark: SparkSession, sf: str) -> str:
-    """Three runs of simple metrics, one per year of orders; returns the table's path."""
+    """Runs of simple metrics, one per year of orders, the first one twice; returns the table's path."""
     path = f"{work_dir(spark)}/metrics-{uuid.uuid4().hex}"
     orders = table(spark, sf, "orders")
-    for year in (1996, 1997, 1998):
+    years = sorted(r[0] for r in orders.select(F.year("o_orderdate")).distinct().collect())
+    for year in [years[0], *years]:
         metrics = (
             orders.where(F.year("o_orderdate") == year)
             .groupBy(F.col("o_orderpriority").alias("model"))
@@ -212,15 +218,15 @@ def _yearly_metrics(spark: SparkSession, sf: str) -> str:
 
 _RUNS_SQL = f"""SELECT o_orderpriority AS model, 'avg_price' AS metric, {r('avg(o_totalprice)', 'value', 3)},
   make_timestamp(CAST(year(o_orderdate) AS BIGINT), 12, 31, 0, 0, 0.0) AS run_ts, 'run' || year(o_orderdate) AS run_id
-FROM orders WHERE year(o_orderdate) IN ({{}}) GROUP BY o_orderpriority, year(o_orderdate)"""
+FROM orders {{}} GROUP BY o_orderpriority, year(o_orderdate)"""
 
 
-@query("snk_metrics", _RUNS_SQL.format("1996, 1997, 1998"))
+@query("snk_metrics", _RUNS_SQL.format(""))
 def snk_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(spark.read.parquet(_yearly_metrics(spark, sf)), {"value": 3})
 
 
-@query("src_latestrun", _RUNS_SQL.format("1998"))
+@query("src_latestrun", _RUNS_SQL.format("WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)"))
 def src_latestrun(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(readers.latest_run(spark.read.parquet(_yearly_metrics(spark, sf))), {"value": 3})
 
@@ -271,9 +277,10 @@ def cln_iqr(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "cln_zscore",
     O.with_views(
-        f"""SELECT {_LINE} FROM txn_dirty,
- (SELECT avg(quantity) qm, stddev_samp(quantity) qs, avg(unit_price) pm, stddev_samp(unit_price) ps FROM txn_dirty)
-WHERE (quantity IS NULL OR abs((quantity - qm) / qs) <= 3) AND (unit_price IS NULL OR abs((unit_price - pm) / ps) <= 3)""",
+        f"SELECT {_LINE} FROM txn_dirty WHERE " + " AND ".join(
+            f"({c} IS NULL OR abs(({c} - (SELECT avg({c}) FROM txn_dirty)) / (SELECT stddev_samp({c}) FROM txn_dirty)) <= 3)"
+            for c in ("quantity", "unit_price")
+        ),
         "txn_dirty",
     ),
 )

@@ -9,22 +9,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbline.functions.numbers import finite
 from ebbline.schema import MAPPED_COLUMNS, rename_to_canonical, require_columns
 
 PART_COLUMN = "part"
 
 
-def read_part(spark: SparkSession, path: str, file_type: str, columns: Sequence[str] | None = None) -> DataFrame:
+#: Date and time as spreadsheets write them, tried after ISO forms.
+DATE_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy")
+
+
+def read_part(
+    spark: SparkSession,
+    path: str,
+    file_type: str,
+    columns: Sequence[str] | None = None,
+    quote: str = '"',
+    escape: str = '"',
+    multi_line: bool = True,
+) -> DataFrame:
     """One part of a dataset as csv or parquet.
 
     CSV columns arrive as strings, without an inference pass over the data;
     :func:`coerce_types` gives them types.  With ``columns`` the header is not
-    even peeked at.
+    even peeked at.  Quoted fields may hold separators, doubled quotes and line
+    breaks; a file is then read by one task, so cut huge files up or, if no
+    field has a line break, pass ``multi_line=False``.
     """
     if file_type == "parquet":
         return spark.read.parquet(path)
     if file_type == "csv":
-        reader = spark.read.option("header", True)
+        reader = spark.read.options(header=True, quote=quote, escape=escape, multiLine=multi_line)
         if columns:
             reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
         return reader.csv(path)
@@ -50,19 +65,33 @@ def coerce_types(
     invoice_date: str = "invoice_date",
     quantity: str = "quantity",
     unit_price: str = "unit_price",
+    date_formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
-    """Date, id, quantity and price get their types; what cannot be parsed becomes null."""
+    """Date, id, quantity and price get their types; what cannot be parsed becomes null.
+
+    So do NaN and infinite numbers and ids with a fraction.  Text dates may be ISO or in one of
+    ``date_formats``; the first that fits counts.
+    """
     types = dict(df.dtypes)
 
     def number(name: str):
-        return F.col(name).try_cast("double")
+        return finite(F.col(name).try_cast("double"))
 
     def customer(name: str):
+        if types[name] == "bigint":
+            return F.col(name)
         # Ids often come as '12345.0', an artefact of missing values.
-        return F.col(name) if types[name] == "bigint" else F.col(name).try_cast("double").try_cast("bigint")
+        parsed = number(name)
+        whole = F.when(parsed == F.floor(parsed), parsed.try_cast("bigint"))
+        return F.coalesce(F.col(name).try_cast("bigint"), whole) if types[name] == "string" else whole
 
     def moment(name: str):
-        return F.col(name) if types[name] == "timestamp_ntz" else F.col(name).try_cast("timestamp_ntz")
+        if types[name] == "timestamp_ntz":
+            return F.col(name)
+        iso = F.col(name).try_cast("timestamp_ntz")
+        if types[name] != "string":
+            return iso
+        return F.coalesce(iso, *[F.try_to_timestamp(name, F.lit(f)).cast("timestamp_ntz") for f in date_formats])
 
     return df.withColumns(
         {

@@ -13,7 +13,7 @@ from ebbline.schema import FEATURES
 def write_result(df: DataFrame, path: str, file_type: str = "parquet", mode: str = "error") -> None:
     """A result table as parquet or as CSV with a header, written by all tasks."""
     if file_type == "csv":
-        df.write.mode(mode).option("header", True).csv(path)
+        df.write.mode(mode).options(header=True, quote='"', escape='"').csv(path)
     elif file_type == "parquet":
         df.write.mode(mode).parquet(path)
     else:
@@ -21,24 +21,26 @@ def write_result(df: DataFrame, path: str, file_type: str = "parquet", mode: str
 
 
 def append_metrics(metrics: DataFrame, run_id: str, run_ts: str, path: str) -> None:
-    """Append long metrics ``(model, metric, value)`` of one run; partitioned by ``run_id``."""
+    """Long metrics ``(model, metric, value)`` of one run, partitioned by ``run_id``; a rerun replaces its own."""
     (
         metrics.withColumn("run_id", F.lit(run_id))
         .withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz"))
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id")
         .parquet(path)
     )
 
 
 def append_run_info(spark: SparkSession, info: dict, path: str) -> None:
-    """One row per run: version, date, algorithm, sizes, folds, trials, best score, parameters."""
+    """One row per run: version, date, algorithm, sizes, folds, trials, best score, parameters; a rerun replaces its own."""
     required = ["run_id", "version", "trained_at", "algorithm", "n_features"]
     missing = [k for k in required if k not in info]
     if missing:
         raise ValueError(f"run info lacks {missing}")
     row = {k: (v if isinstance(v, (int, float, str)) or v is None else str(v)) for k, v in info.items()}
-    spark.createDataFrame([row]).write.mode("append").json(path)
+    frame = spark.createDataFrame([row]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    frame.partitionBy("run_id").json(path)
 
 
 def write_feature_names(matrix: DataFrame, path: str, features: Sequence[str] = tuple(FEATURES)) -> None:

@@ -92,21 +92,58 @@ def test_fences_ignore_rows_after_the_train_snapshot(lines):
     assert cleaned.agg(F.max("quantity")).first()[0] == 4
 
 
-@pytest.mark.parametrize("limit", [quantiles.DIRECT_LIMIT, 10])
-def test_quantiles_are_exact_at_any_size(spark, monkeypatch, limit):
+@pytest.mark.parametrize("few, edges", [(quantiles.FEW, quantiles.EDGES), (5, 8), (200, 16)])
+def test_quantiles_are_exact_at_any_size(spark, monkeypatch, few, edges):
     import numpy as np
 
-    monkeypatch.setattr(quantiles, "BRACKET_LIMIT", 50)
+    monkeypatch.setattr(quantiles, "FEW", few)
+    monkeypatch.setattr(quantiles, "EDGES", edges)
     n = 20_000
     x = F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / F.lit(997.0))
     df = spark.range(n).select(x.alias("a"), F.when(F.col("id") > 5, F.lit(1.5)).alias("b"), F.lit(None).cast("double").alias("c"))
+    df = df.withColumn("b", F.coalesce("b", F.lit(float("nan"))))
     probabilities = [0.0, 0.1, 0.25, 0.4, 0.5, 0.75, 0.999, 1.0]
-    got = quantiles.exact_quantiles(df, ["a", "b", "c"], probabilities, direct_limit=limit)
+    got = quantiles.exact_quantiles(df, ["a", "b", "c"], probabilities)
     want = np.quantile(df.select("a").toPandas()["a"], probabilities)
     assert got["a"] == pytest.approx(list(want), rel=1e-12)
     assert got["b"] == [1.5] * 8 and got["c"] == [None] * 8
 
 
+def test_csv_with_quotes_separators_and_line_breaks(spark, tmp_path):
+    odd = ['He said ""hi"", UK', "two\nlines", "plain"]
+    rows = "".join(f'L{i},S,2,12/31/2010 10:00,1.5,123{i},"{t}"\n' for i, t in enumerate(odd))
+    (tmp_path / "a.csv").write_text("Invoice,StockCode,Quantity,InvoiceDate,Price,Customer ID,Country\n" + rows)
+    names = {"customer_id": "Customer ID", "invoice_id": "Invoice", "invoice_date": "InvoiceDate", "quantity": "Quantity", "unit_price": "Price", "country": "Country"}
+    got = {r.customer_id: r for r in readers.load_transactions(spark, str(tmp_path / "a.csv"), "csv", names).collect()}
+    assert [got[1230 + i].country for i in range(3)] == ['He said "hi", UK', "two\nlines", "plain"]
+    assert all(r.quantity == 2 and r.unit_price == 1.5 and str(r.invoice_date) == "2010-12-31 10:00:00" for r in got.values())
+    sinks.write_result(spark.createDataFrame([(t,) for t in odd], "t string"), str(tmp_path / "out"), "csv")
+    assert {r.t for r in readers.read_part(spark, str(tmp_path / "out"), "csv").collect()} == set(odd)
+
+
+def test_what_is_no_number_date_or_id_becomes_null(spark):
+    rows = [
+        ("12347.7", "12/31/2010 10:00", "NaN", "Infinity"), ("12347.0", "2010-12-31T10:00:00", "1e3", "-Infinity"),
+        ("9007199254740993", "31/12/2010", " 4 ", "nan"), ("", "", "", ""), ("Infinity", "1/2/2011", "2", "0.5"),
+    ]
+    typed = readers.coerce_types(spark.createDataFrame(rows, "customer_id string, invoice_date string, quantity string, unit_price string"))
+    got = [(r.customer_id, r.invoice_date and str(r.invoice_date), r.quantity, r.unit_price) for r in typed.collect()]
+    assert got == [
+        (None, "2010-12-31 10:00:00", None, None), (12347, "2010-12-31 10:00:00", 1000.0, None),
+        (9007199254740993, None, 4.0, None), (None, None, None, None), (None, "2011-01-02 00:00:00", 2.0, 0.5),
+    ]
+
+
+def test_a_rerun_replaces_its_metrics(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    for run, values in (("a1", [1.0]), ("b2", [5.0]), ("a1", [2.0])):
+        frame = spark.createDataFrame([("m", "auc", v) for v in values], "model string, metric string, value double")
+        sinks.append_metrics(frame, run, "2011-01-01", path)
+        sinks.append_run_info(spark, {"run_id": run, "version": "1", "trained_at": "x", "algorithm": "y", "n_features": int(values[0])}, path + "-runs")
+    assert {(r.run_id, r.value) for r in spark.read.parquet(path).collect()} == {("a1", 2.0), ("b2", 5.0)}
+    assert {(r.run_id, r.n_features) for r in spark.read.json(path + "-runs").collect()} == {("a1", 2), ("b2", 5)}
+
+
 def test_part_union(spark):
     a = spark.createDataFrame([(1, 2), (3, 4)], "a int, b int")
     assert readers.union_parts([a, a.select("b", "a").limit(1)]).count() == 3
