@@ -1,29 +1,27 @@
-"""Oversampling the smaller class with exact nearest neighbours.
-
-Neighbours are searched block-wise: rows are ordered by their first principal
-component and cut into blocks of a fixed size.  A row first searches its own
-block, which bounds the distance of its k-th neighbour, and then only those
-blocks whose interval of projections comes within that distance (a projection
-never exceeds the distance itself, so nothing is missed).  Every task sees two
-blocks at most, and only k candidates per row leave it.
+"""Oversampling the smaller class with exact nearest neighbours, on a bounded set of labelled rows.
+
+Neighbours in tens of dimensions cannot be pruned, so comparing all rows of a large class is
+quadratic.  Oversampling therefore works on at most ``MAX_FIT_ROWS`` labelled rows, those with the
+least hash of the key: a documented bound of this fit, the same at any size and for any
+partitioning.  Class weights (:func:`ebbline.ml.prep.with_class_weight`) balance without it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions.ordering import asc, with_running
 from ebbline.ml.prep import class_counts
 from ebbline.session import write_table
 
-BLOCK_ROWS = 2048
-MAX_BLOCKS = 100_000
+#: Labelled rows that an oversampled fit uses.
+MAX_FIT_ROWS = 20_000
+QUERY_ROWS = 256
 SYNTHETIC = "synthetic"
 
 
@@ -32,6 +30,11 @@ def uniform(*parts) -> F.Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
+def fit_rows(train: DataFrame, key: str, max_rows: int = MAX_FIT_ROWS, seed: int = 42) -> DataFrame:
+    """At most ``max_rows`` rows, those with the least hash of the key."""
+    return train.orderBy(uniform(F.col(key), F.lit(seed), F.lit("fit")), key).limit(max_rows)
+
+
 def oversample(
     train: DataFrame,
     features: Sequence[str],
@@ -39,23 +42,24 @@ def oversample(
     label: str = "label",
     k: int = 5,
     seed: int = 42,
+    max_rows: int = MAX_FIT_ROWS,
 ) -> DataFrame:
-    """``train`` plus synthetic rows of the smaller class, up to parity.
+    """:func:`fit_rows` of ``train`` plus synthetic rows of the smaller class, up to parity.
 
     A synthetic row lies between a base row and one of its ``min(k, n - 1)``
-    nearest rows of the same class.  Unchanged when a class is absent, the
+    nearest rows of the same class.  Nothing is added when a class is absent, the
     smaller one has fewer than two rows, or the classes are equal.
     """
-    columns = [key, *features, label]
-    base = train.select(*columns, F.lit(False).alias(SYNTHETIC))
-    counts = class_counts(train, label)
+    chosen = write_table(fit_rows(train.select(key, *features, label), key, max_rows, seed), "labelled")
+    base = chosen.withColumn(SYNTHETIC, F.lit(False))
+    counts = class_counts(chosen, label)
     minority = min(counts, key=lambda c: counts[c])
     n, need = counts[minority], abs(counts[0] - counts[1])
     if n < 2 or need == 0:
         return base
     k = max(1, min(k, n - 1))
     doubles = [F.col(f).cast("double").alias(f) for f in features]
-    rows = write_table(train.where(F.col(label) == minority).select(key, *doubles), "minority")
+    rows = write_table(chosen.where(F.col(label) == minority).select(key, *doubles), "minority")
 
     # Every row is a base need // n times; the rest goes to the first rows in hash order.
     order = rows.select(key, uniform(F.col(key), F.lit(seed), F.lit("base")).alias("_h"))
@@ -86,92 +90,40 @@ def oversample(
     return base.withColumns({f: F.col(f).cast("double") for f in features}).unionByName(mixed)
 
 
-def nearest(
-    rows: DataFrame,
-    queries: DataFrame,
-    features: Sequence[str],
-    key: str,
-    k: int,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Exact ``k`` nearest other rows: ``key, neighbor, distance, rank``."""
-    n = rows.count()
-    key_type = dict(rows.dtypes)[key]
-    found_schema = f"{key} {key_type}, neighbor {key_type}, distance double"
-    by_distance = Window.partitionBy(key).orderBy("distance", "neighbor")
-
-    def own_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        return closest(pdf[pdf["is_query"]], pdf, key, k)
-
-    asked = queries.select(key).withColumn("_q", F.lit(True))
-    is_query = F.coalesce("_q", F.lit(False))
-    if n <= block_rows:
-        # A single block: nothing to order, nothing to prune.
-        points = rows.select(key, F.array(*features).alias("x")).join(asked, key, "left")
-        points = points.select(key, "x", is_query.alias("is_query"), F.lit(0).alias("block"))
-        found = points.groupBy("block").applyInPandas(own_block, found_schema)
-        return found.withColumn("rank", F.row_number().over(by_distance))
-    vector = VectorAssembler(inputCols=list(features), outputCol="_v")
-    axis = PCA(k=1, inputCol="_v", outputCol="_p").fit(vector.transform(rows)).pc.toArray()[:, 0]
-    axis = axis / (np.linalg.norm(axis) or 1.0)
-    projection = sum((F.col(f) * F.lit(float(a)) for f, a in zip(features, axis)), F.lit(0.0))
-    points = rows.select(key, projection.alias("p"), F.array(*features).alias("x"))
-    size = max(block_rows, -(-n // MAX_BLOCKS))
-    placed = with_running(points, [asc("p"), asc(key)], rank="_r")
-    block = F.floor((F.col("_r") - 1) / size).cast("int")
-    blocks = write_table(
-        placed.join(asked, key, "left").select(key, "p", "x", block.alias("block"), is_query.alias("is_query")), "blocks"
-    )
-    # MAX_BLOCKS rows at most.
-    edges = blocks.groupBy("block").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).orderBy("block").toPandas()
-    lows, highs = edges["lo"].to_numpy(), edges["hi"].to_numpy()
-
-    first = write_table(blocks.groupBy("block").applyInPandas(own_block, found_schema), "near_own")
-
-    # Blocks within reach of each query: a contiguous range, since blocks are ordered.
-    reach = first.groupBy(key).agg(F.max("distance").alias("d"), F.count(F.lit(1)).alias("m"))
-    limited = blocks.where("is_query").join(reach, key, "left").select(
-        key, "p", "x", "block", F.when(F.col("m") >= k, F.col("d") * (1 + 1e-9) + 1e-12).otherwise(F.lit(float("inf"))).alias("d")
-    )
-
-    @F.pandas_udf("array<int>")
-    def in_reach(p: pd.Series, d: pd.Series) -> pd.Series:
-        start = np.searchsorted(highs, (p - d).to_numpy(), side="left")
-        stop = np.searchsorted(lows, (p + d).to_numpy(), side="right")
-        return pd.Series([np.arange(a, b, dtype=np.int32) for a, b in zip(start, stop)])
-
-    visits = limited.withColumn("target", F.explode(in_reach("p", "d"))).where("target != block")
-    visits = write_table(visits.select(key, "x", "block", "target"), "visits")
-    pairs = visits.select(F.col("target").alias("to_block"), F.col("block").alias("from_block")).distinct()
-    others = blocks.select(F.col(key), "x", F.col("block").alias("to_block")).join(pairs, "to_block")
-
-    def other_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return closest(left, right, key, k)
+def nearest(rows: DataFrame, queries: DataFrame, features: Sequence[str], key: str, k: int) -> DataFrame:
+    """Exact ``k`` nearest other rows of each query: ``key, neighbor, distance, rank``; ties by the neighbour's key.
 
-    second = (
-        visits.groupBy("target", "block")
-        .cogroup(others.groupBy("to_block", "from_block"))
-        .applyInPandas(other_block, found_schema)
-    )
-    ranked = first.unionByName(second).withColumn("rank", F.row_number().over(by_distance))
-    return ranked.where(F.col("rank") <= k)
-
-
-def closest(queries: pd.DataFrame, candidates: pd.DataFrame, key: str, k: int) -> pd.DataFrame:
-    """The ``k`` nearest candidates of each query by Euclidean distance, itself excluded."""
-    empty = pd.DataFrame({key: queries[key].iloc[:0], "neighbor": candidates[key].iloc[:0], "distance": np.empty(0)})
-    if queries.empty or candidates.empty:
-        return empty
-    a, b = np.stack(queries["x"].to_numpy()), np.stack(candidates["x"].to_numpy())
-    ids = candidates[key].to_numpy()
+    ``rows`` are the bounded rows of a fit and go to all tasks; the queries are spread over them.
+    """
+    points = rows.select(key, *features).toPandas().sort_values(key)
+    if len(points) > MAX_FIT_ROWS:
+        raise ValueError(f"at most {MAX_FIT_ROWS} rows; take fit_rows() first")
+    names = list(features)
+    shared = rows.sparkSession.sparkContext.broadcast((points[key].to_numpy(), points[names].to_numpy(dtype=float)))
+
+    def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, x = shared.value
+        for part in parts:
+            for at in range(0, len(part), QUERY_ROWS):
+                own = part.iloc[at : at + QUERY_ROWS]
+                yield closest(own[key].to_numpy(), own[names].to_numpy(dtype=float), ids, x, key, k)
+
+    kind = dict(rows.dtypes)[key]
+    asked = rows.join(queries.select(key), key, "left_semi").select(key, *features)
+    return asked.mapInPandas(search, f"{key} {kind}, neighbor {kind}, distance double, rank int")
+
+
+def closest(own: np.ndarray, a: np.ndarray, ids: np.ndarray, b: np.ndarray, key: str, k: int) -> pd.DataFrame:
+    """The ``k`` nearest of the points ``b`` (in the order of their ids) for each query, itself excluded."""
     square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
-    square[queries[key].to_numpy()[:, None] == ids[None, :]] = np.inf
-    take = min(k, len(ids))
-    best = np.argpartition(square, take - 1, axis=1)[:, :take]
-    near = np.take_along_axis(square, best, 1)
-    keep = np.isfinite(near)
-    owner = np.repeat(queries[key].to_numpy(), keep.sum(1))
-    # Differences give the distance without the cancellation of the dot form.
-    rows = np.nonzero(keep)[0]
-    gap = a[rows] - b[best[keep]]
-    return pd.DataFrame({key: owner, "neighbor": ids[best[keep]], "distance": np.sqrt((gap * gap).sum(1))})
+    square[own[:, None] == ids[None, :]] = np.inf
+    take = min(k, len(ids) - 1)
+    out = []
+    for i, line in enumerate(square if take else square[:0]):
+        # The dot form cancels digits: take a little more than k, then measure by differences.
+        reach = np.partition(line, take - 1)[take - 1]
+        near = np.flatnonzero(line <= reach + 1e-9 * (1 + abs(reach)))
+        distance = np.sqrt(((a[i] - b[near]) ** 2).sum(1))
+        best = np.argsort(distance, kind="stable")[:take]
+        out.append(pd.DataFrame({key: own[i], "neighbor": ids[near[best]], "distance": distance[best], "rank": np.arange(1, take + 1, dtype=np.int32)}))
+    return pd.concat(out) if out else pd.DataFrame({key: own[:0], "neighbor": ids[:0], "distance": np.empty(0), "rank": np.empty(0, dtype=np.int32)})

@@ -12,17 +12,16 @@ LINE_SCHEMA = (
     "customer_id bigint, invoice_id string, invoice_date timestamp_ntz, quantity double, unit_price double, stock_code string"
 )
 
-# The canonical hand-computed transactions; snapshot 2010-06-01.
+# Three customers with eight lines; the results expected of them are computed by hand.
 CANONICAL = [
-    (1, "A", "2010-01-01", 1, 10.0, "X"),
-    (1, "A", "2010-01-01", 2, 10.0, "X"),
-    (1, "B", "2010-04-01", 3, 5.0, "Y"),
-    (2, "C", "2010-02-15", 4, 7.5, "Z"),
-    (2, "D", "2010-05-20", 5, 7.5, "Z"),
-    (3, "E", "2010-03-01", 2, 4.0, "X"),
-    (3, "F", "2010-03-15", 1, 4.0, "Y"),
-    (3, "G", "2010-05-01", 3, 8.0, "X"),
-    (3, "G", "2010-05-01", 1, 8.0, "Y"),
+    (1, "K10", "2010-02-02", 4, 2.5, "P"),
+    (1, "K11", "2010-05-10", 1, 6.0, "Q"),
+    (1, "K11", "2010-05-10", 2, 3.0, "R"),
+    (2, "K20", "2010-03-20", 10, 1.2, "P"),
+    (2, "K21", "2010-04-25", 6, 1.5, "P"),
+    (2, "K22", "2010-05-28", 2, 9.5, "S"),
+    (3, "K30", "2010-04-05", 3, 3.0, "Q"),
+    (3, "K30", "2010-04-05", 5, 2.0, "S"),
 ]
 SNAPSHOT = "2010-06-01"
 

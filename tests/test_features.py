@@ -20,16 +20,16 @@ def test_feature_list_has_33_columns_21_required():
 
 def test_rfm_by_hand(canonical, rows):
     got = rows(X.rfm(canonical, SNAPSHOT))
-    assert (got[1]["frequency"], got[1]["monetary"], got[1]["recency_days"]) == (2, 45.0, 61)
-    assert (got[2]["monetary"], got[2]["recency_days"]) == (67.5, 12)
+    assert (got[1]["frequency"], got[1]["monetary"], got[1]["recency_days"]) == (2, 22.0, 22)
+    assert (got[2]["monetary"], got[2]["recency_days"]) == (40.0, 4)
 
 
 def test_windows_by_hand(canonical, rows):
     got = rows(X.rolling_features(canonical, SNAPSHOT, [90, 365]))
     one = got[1]
-    assert (one["invoice_count_90d"], one["spend_90d"]) == (1, 15.0)
-    assert (one["invoice_count_365d"], one["spend_365d"]) == (2, 45.0)
-    assert one["spend_std_90d"] is None and one["avg_basket_90d"] == 3.0 and one["txn_count_365d"] == 3
+    assert (one["invoice_count_90d"], one["spend_90d"]) == (1, 12.0)
+    assert (one["invoice_count_365d"], one["spend_365d"]) == (2, 22.0)
+    assert one["spend_std_90d"] is None and one["avg_basket_90d"] == 1.5 and one["txn_count_365d"] == 3
 
 
 def test_inactive_customer_keeps_a_row_of_nulls(lines, rows):
@@ -67,10 +67,10 @@ def test_bad_windows(canonical, windows):
 
 def test_lifetime_by_hand(canonical, rows):
     got = rows(X.lifetime_features(canonical, SNAPSHOT))
-    assert got[1]["tenure_days"] == 90 and got[2]["first_purchase_days"] == 106
-    assert got[1]["distinct_products"] == 2 and got[3]["distinct_products"] == 2
-    assert got[3]["total_revenue"] == 44.0 and got[3]["total_invoices"] == 3
-    assert got[3]["avg_order_value"] == pytest.approx(44 / 3)
+    assert got[1]["tenure_days"] == 97 and got[2]["first_purchase_days"] == 73
+    assert got[1]["distinct_products"] == 3 and got[3]["distinct_products"] == 2
+    assert got[2]["total_revenue"] == 40.0 and got[2]["total_invoices"] == 3
+    assert got[2]["avg_order_value"] == pytest.approx(40 / 3)
 
 
 def test_no_stock_column_gives_null(canonical, rows):
@@ -179,7 +179,7 @@ def test_frequency_grows_with_the_snapshot(canonical):
 
 
 def test_guards(lines, canonical):
-    guards.assert_no_future_rows(canonical, "2010-05-20")
+    guards.assert_no_future_rows(canonical, "2010-05-28")
     with pytest.raises(guards.LeakageError, match="2011-01-01"):
         guards.assert_no_future_rows(lines(CANONICAL + [FUTURE]), SNAPSHOT)
     guards.assert_no_future_rows(lines([(1, "A", None, 1, 1, "X")]), SNAPSHOT)
@@ -191,16 +191,16 @@ def test_guards(lines, canonical):
 
 
 AFTER = [
-    (1, "L1", days_after(SNAPSHOT, 30), 1, 10.0, "X"),
-    (3, "L2", days_after(SNAPSHOT, 80), 1, 20.0, "X"),
-    (3, "L3", days_after(SNAPSHOT, 200), 1, 5.0, "X"),
+    (1, "N1", days_after(SNAPSHOT, 12), 2, 3.5, "P"),
+    (3, "N2", days_after(SNAPSHOT, 61), 1, 18.0, "S"),
+    (3, "N3", days_after(SNAPSHOT, 150), 4, 2.0, "S"),
 ]
 
 
 def test_labels_by_hand(lines, rows):
     got = rows(labels.build_labels(lines(CANONICAL + AFTER), SNAPSHOT))
     assert {c: r["churn"] for c, r in got.items()} == {1: 0, 2: 1, 3: 0}
-    assert {c: r["clv"] for c, r in got.items()} == {1: 10.0, 2: 0.0, 3: 20.0}
+    assert {c: r["clv"] for c, r in got.items()} == {1: 7.0, 2: 0.0, 3: 18.0}
 
 
 def test_label_edges(lines, canonical, rows):

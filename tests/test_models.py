@@ -45,19 +45,19 @@ def test_class_weight(spark, train):
     assert prep.class_weight(none).first()["positive_weight"] == 1.0
 
 
-@pytest.mark.parametrize("block", [16, 5000])
-def test_nearest_is_exact(spark, block):
+def test_nearest_is_exact(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(230, 4)) * [5, 1, 1, 0.5]
     x[40:60] = x[40]  # copies
     rows = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id long, a double, b double, c double, d double")
-    got = smote.nearest(rows, rows.where("id % 3 = 0").select("id"), list("abcd"), "id", 4, block_rows=block).toPandas()
+    got = smote.nearest(rows, rows.where("id % 3 = 0").select("id"), list("abcd"), "id", 4).toPandas()
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
     assert sorted(got["id"].unique()) == list(range(0, 230, 3))
     for i, part in got.groupby("id"):
         assert len(part) == 4 and i not in set(part["neighbor"])
-        assert np.allclose(np.sort(part["distance"]), np.sort(d[i])[:4])
+        assert list(part.sort_values("rank")["rank"]) == [1, 2, 3, 4]
+        assert np.allclose(part.sort_values("rank")["distance"], np.sort(d[i])[:4])
 
 
 @pytest.mark.parametrize("minority", [1, 2, 3, 20])
@@ -78,6 +78,21 @@ def test_oversampling_reaches_parity(spark, minority):
     assert sorted(made) == sorted(again)
 
 
+def test_oversampling_takes_a_bounded_sample_by_key(spark):
+    df = spark.createDataFrame([(i, float(i), int(i % 4 == 0)) for i in range(400)], "customer_id long, a double, label int")
+    one, two = (smote.oversample(x, ["a"], max_rows=100) for x in (df, df.repartition(9)))
+    assert sorted(one.collect()) == sorted(two.collect()) and one.where("not synthetic").count() == 100
+    counts = {r["label"]: r["count"] for r in one.groupBy("label").count().collect()}
+    assert counts[0] == counts[1]
+
+
+def test_medians_ignore_nan_and_fill_it(spark):
+    df = spark.createDataFrame([(i, float(i) if i else float("nan"), i % 2) for i in range(11)], "customer_id long, a double, label int")
+    medians = prep.fit_medians(df, ["a"])
+    assert medians == {"a": 5.5} and prep.impute(df, medians).where("a = 5.5").count() == 1
+    assert models.score_with(models.train_baseline(df, ["a"]), df).where("isnan(churn_probability)").count() == 0
+
+
 def test_oversampling_keeps_balanced_or_single_class(spark):
     for labels in ([0, 1] * 3, [1] * 5):
         df = spark.createDataFrame([(i, float(i), y) for i, y in enumerate(labels)], "customer_id long, a double, label int")
@@ -172,15 +187,15 @@ def contributions(spark, rows, names, base=0.3):
 
 
 def test_drivers_and_sentences(spark):
-    names = ["recency_days", "spend_90d"]
-    df = contributions(spark, [(0.9, (1, 2), (0.5, 0.1)), (0.8, (1, 2), (0.6, -0.05)), (0.1, (1, 2), (-0.1, 0.9))], names)
+    names = ["tenure_days", "txn_count_30d"]
+    df = contributions(spark, [(0.7, (40, 3), (0.4, -0.2)), (0.6, (10, 1), (-0.3, 0.05)), (0.2, (8, 2), (0.9, 0.9))], names)
     top = explain.drivers(df, F.col("churn_probability") >= 0.5).collect()
-    assert top[0]["feature"] == "recency_days" and top[0]["mean_abs_contribution"] == pytest.approx(0.55)
+    assert [(r["feature"], round(r["mean_abs_contribution"], 9)) for r in top] == [("tenure_days", 0.35), ("txn_count_30d", 0.125)]
     assert explain.drivers(df, F.col("churn_probability") > 2).count() == 0
-    row = contributions(spark, [(0.9, (12, 200, 3), (0.8, -0.3, 0.05))], ["recency_days", "spend_90d", "frequency"])
+    row = contributions(spark, [(0.8, (7, 64, 90), (-0.2, 0.6, 0.1))], ["frequency", "spend_30d", "tenure_days"])
     said = explain.sentences(row, 2).first()["sentences"]
-    assert said == ["Recency Days (12) is raising this customer's churn risk.", "Spend 90d (200) is lowering this customer's churn risk."]
-    assert explain.sentences(row, 1, {"recency_days": "Silence"}).first()["sentences"][0].startswith("Silence (12)")
+    assert said == ["Spend 30d (64) is raising this customer's churn risk.", "Frequency (7) is lowering this customer's churn risk."]
+    assert explain.sentences(row, 1, {"spend_30d": "Monthly spend"}).first()["sentences"][0].startswith("Monthly spend (64)")
 
 
 def test_waterfall(spark):
@@ -213,7 +228,7 @@ def records(spark):
         for i, change in enumerate(changes):
             row = {f: (5.0 if f in REQUIRED_FEATURES else None) for f in FEATURES}
             row.update(change)
-            rows.append((f"CUST-{i:03d}", *[row[f] for f in FEATURES]))
+            rows.append((f"record {i}", *[row[f] for f in FEATURES]))
         return spark.createDataFrame(rows, "customer_id string, " + ", ".join(f"{f} double" for f in FEATURES))
 
     return build
@@ -242,7 +257,7 @@ def constant(df):
 def test_batches_are_all_or_nothing(records):
     df = records([{}, {"frequency": -1.0}, {}, {}]).withColumn("batch_id", F.expr("int(substr(customer_id, 6)) div 2"))
     good, refused = score_records(df, constant, ("batch_id", "customer_id"), "batch_id")
-    assert sorted(r["customer_id"] for r in good.collect()) == ["CUST-002", "CUST-003"] and refused.count() == 2
+    assert sorted(r["customer_id"] for r in good.collect()) == ["record 2", "record 3"] and refused.count() == 2
     good, refused = score_records(df, constant, ("batch_id", "customer_id"), "batch_id", max_batch_size=1)
     assert good.count() == 0 and refused.count() == 4
 
