@@ -5,12 +5,14 @@ document with a smaller doc_id starts it too.
 
 1. Documents are gathered into blocks of about ``BLOCK_WORDS`` words, written once, bucketed by
    block, so that later joins by block move no text.
-2. Anchors: the least hash of the nine five-word runs in a window.  Equal windows have equal
+2. Copies of a whole text (by a 128-bit hash of its words) but the one with the least doc_id are
+   set apart: all their words go, and they take no part in what follows.
+3. Anchors: the least hash of the nine five-word runs in a window.  Equal windows have equal
    anchors, so a window can only recur if its anchor occurs in two documents.  About one anchor
    in five words is shuffled, a block's different ones once.
-3. Windows with a recurring anchor are confirmed: they are grouped by two independent 64-bit
+4. Windows with a recurring anchor are confirmed: they are grouped by two independent 64-bit
    hashes of their whole text, with the least and the largest doc_id.
-4. Each block gets the phrases confirmed for it, compiles them into Aho-Corasick automata of at
+5. Each block gets the phrases confirmed for it, compiles them into Aho-Corasick automata of at
    most ``PHRASES`` phrases, and streams its documents through them to find all occurrences.
 
 A phrase in every block is one row per block in a shuffle, however many documents hold it.
@@ -32,12 +34,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import bucketed
+from ebbline.llm.common import bucketed, save
 
 WINDOW = 13
 ANCHOR = 5
 BLOCK_WORDS = 200_000
-PHRASES = 200_000
+PHRASES = 50_000
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0xD6E8FEB86659FD93
@@ -151,6 +153,43 @@ def of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(name)[i] for name in batch.schema.names}
 
 
+def copies(table: DataFrame) -> DataFrame:
+    """block and ``copied``: the places of texts of a window or more that a smaller doc_id has whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in of_blocks(batches):
+            own = [
+                (k, i, text.as_py())
+                for k, (i, text) in enumerate(zip(block["ids"].as_py(), block["texts"]))
+                if i is not None
+            ]
+            whole = [(k, i, xxhash.xxh3_128_digest(t)) for k, i, t in own if t.count(b" ") >= WINDOW - 1]
+            places, ids, hashes = zip(*whole) if whole else ((), (), ())
+            number = [block["block"].as_py()] * len(whole)
+            columns = (pa.array(hashes, pa.binary()), pa.array(number, pa.int64()), pa.array(places, pa.int64()), pa.array(ids, pa.int64()))
+            yield pa.RecordBatch.from_arrays(list(columns), ["hash", "block", "place", "id"])
+
+    texts = save(table.select("block", "ids", "texts").mapInArrow(run, "hash binary, block long, place long, id long"), "texts")
+    # Written, so that Spark can split the copies of a hot text in the join.
+    groups = texts.groupBy("hash").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+    copied = texts.join(save(groups.drop("most"), "copied"), "hash").where("id > least")
+    return copied.groupBy("block").agg(F.collect_list("place").alias("copied"))
+
+
+def originals(block: dict) -> Iterator[tuple[int, bytes]]:
+    """(doc_id, text) of a block's documents that have a doc_id and are no copies."""
+    copied = set(block["copied"].as_py() or ())
+    for k, (i, text) in enumerate(zip(block["ids"].as_py(), block["texts"])):
+        if i is not None and k not in copied:
+            yield i, text.as_py()
+
+
+def places(ordered: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where values would stand in ``ordered``, and whether they are there."""
+    at = np.searchsorted(ordered, values)
+    return at, ordered[np.minimum(at, len(ordered) - 1)] == values if len(ordered) else np.zeros(len(values), dtype=bool)
+
+
 def anchors(table: DataFrame) -> DataFrame:
     """The different anchors of each block, with the least and the largest doc_id that has them."""
 
@@ -158,16 +197,15 @@ def anchors(table: DataFrame) -> DataFrame:
         powers = Powers()
         for block in of_blocks(batches):
             found, owners = [], []
-            for i, text in zip(block["ids"].as_py(), block["texts"]):
-                if i is not None:
-                    own = np.unique(Runs(text.as_py(), powers).anchors())
-                    found.append(own)
-                    owners.append(np.full(len(own), i))
+            for i, text in originals(block):
+                own = np.unique(Runs(text, powers).anchors())
+                found.append(own)
+                owners.append(np.full(len(own), i))
             (keys,), low, high = extremes([joined(found, np.uint64).view(np.int64)], joined(owners, np.int64))
             number = np.full(len(keys), block["block"].as_py())
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys, number, low, high)], ["anchor", "block", "low", "high"])
 
-    return table.select("block", "ids", "texts").mapInArrow(run, "anchor long, block long, low long, high long")
+    return table.select("block", "ids", "texts", "copied").mapInArrow(run, "anchor long, block long, low long, high long")
 
 
 def recurring(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -183,14 +221,11 @@ def windows(table: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for block in of_blocks(batches):
-            wanted = np.asarray(block["anchors"].values).view(np.uint64)
+            wanted = np.sort(np.asarray(block["anchors"].values).view(np.uint64))
             first, second, owners = [], [], []
-            for i, text in zip(block["ids"].as_py(), block["texts"]):
-                if i is None:
-                    continue
-                text = text.as_py()
+            for i, text in originals(block):
                 runs = Runs(text, powers)
-                at = np.flatnonzero(np.isin(runs.anchors(), wanted))
+                at = np.flatnonzero(places(wanted, runs.anchors())[1])
                 spans = zip(runs.starts[at].tolist(), runs.ends[at + WINDOW - 1].tolist())
                 first.append(runs.hashes(WINDOW)[at])
                 second.append(np.fromiter((xxhash.xxh3_64_intdigest(text[a:b]) for a, b in spans), dtype=np.uint64, count=len(at)))
@@ -199,14 +234,26 @@ def windows(table: DataFrame) -> DataFrame:
             number = np.full(len(one), block["block"].as_py())
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (one, two, number, low, high)], ["one", "two", "block", "low", "high"])
 
-    return table.select("block", "ids", "texts", "anchors").mapInArrow(run, "one long, two long, block long, low long, high long")
+    return table.select("block", "ids", "texts", "copied", "anchors").mapInArrow(run, "one long, two long, block long, low long, high long")
+
+
+class Codes(dict):
+    """Three letters for each different word; the sets of first, second and third letters are apart.
+
+    Automata look through a node's letters one by one, so nodes must have few: 64 here.
+    """
+
+    def __missing__(self, word: bytes) -> str:
+        n = len(self)
+        self[word] = code = chr(n % 64) + chr(64 + n // 64 % 64) + chr(128 + n // 4096)
+        return code
 
 
-def automata(phrases: dict[tuple[int, ...], int], most: int = PHRASES) -> Iterator[ahocorasick.Automaton]:
-    """Automata over word numbers that together know all phrases; a match gives the least doc_id with the phrase."""
+def automata(phrases: dict[str, int], most: int) -> Iterator[ahocorasick.Automaton]:
+    """Automata that together know all phrases; a match gives the least doc_id with the phrase."""
     names = list(phrases)
     for at in range(0, len(names), most):
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
         for phrase in names[at : at + most]:
             automaton.add_word(phrase, phrases[phrase])
         automaton.make_automaton()
@@ -218,20 +265,15 @@ def locate(ids: list[int | None], texts: list[bytes], one: np.ndarray, two: np.n
     one, two = one.view(np.uint64), two.view(np.uint64)
     order = np.argsort(one, kind="stable")
     one, two, least = one[order], two[order], least[order]
-    numbers: dict[bytes, int] = {}
-    coded: list[tuple[int, ...]] = []
-    phrases: dict[tuple[int, ...], int] = {}
-    for text in texts:
-        words = tuple([numbers.setdefault(w, len(numbers)) for w in text.split()])
-        coded.append(words)
-        if len(words) < WINDOW:
-            continue
+    codes = Codes()
+    coded = ["".join(map(codes.__getitem__, text.split())) for text in texts]
+    phrases: dict[str, int] = {}
+    for text, words in zip(texts, coded):
         runs = Runs(text, powers)
         hashes = runs.hashes(WINDOW)
-        left = np.searchsorted(one, hashes)
-        hit = np.flatnonzero((left < len(one)) & (one[np.minimum(left, len(one) - 1)] == hashes))
-        for i in hit.tolist():
-            phrase = words[i : i + WINDOW]
+        left, there = places(one, hashes)
+        for i in np.flatnonzero(there).tolist():
+            phrase = words[3 * i : 3 * (i + WINDOW)]
             if phrase not in phrases:
                 exact = xxhash.xxh3_64_intdigest(text[runs.starts[i] : runs.ends[i + WINDOW - 1]])
                 k = int(left[i])
@@ -239,21 +281,22 @@ def locate(ids: list[int | None], texts: list[bytes], one: np.ndarray, two: np.n
                     if int(two[k]) == exact:
                         phrases[phrase] = int(least[k])
                     k += 1
-    removed = [np.zeros(len(words), dtype=bool) for words in coded]
-    for automaton in automata(phrases):
+    removed = [np.zeros(len(words) // 3, dtype=bool) for words in coded]
+    for automaton in automata(phrases, PHRASES):
         for i, words, gone in zip(ids, coded, removed):
-            if i is None or len(words) < WINDOW:
-                continue
-            for end, first in automaton.iter(words):
-                if first < i:
-                    gone[end - WINDOW + 1 : end + 1] = True
+            if i is not None:
+                for end, first in automaton.iter(words):
+                    if first < i:
+                        stop = (end + 1) // 3
+                        gone[stop - WINDOW : stop] = True
     return removed
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc`` (all columns of ``docs`` but the text), n_words, n_removed and ``kept``, the words left, joined by blanks."""
     table = blocks(docs)
-    # A block's anchors and phrases are at most its own words.
+    # Lists of places, anchors and phrases of a block are at most its own rows and words.
+    table = table.join(save(copies(table), "copies").hint("merge"), "block", "left")
     anchored = recurring(anchors(table), ["anchor"]).groupBy("block").agg(F.collect_list("anchor").alias("anchors"))
     found = recurring(windows(table.join(anchored.hint("merge"), "block")), ["one", "two"]).where("high > least")
     phrases = found.groupBy("block").agg(F.collect_list(F.struct("one", "two", "least")).alias("phrases"))
@@ -264,17 +307,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         powers = Powers()
         for block in of_blocks(batches):
             ids, texts = block["ids"].as_py(), block["texts"].as_py()
-            own = block["phrases"].values if block["phrases"].is_valid else None
-            if own is not None:
-                removed = locate(ids, texts, *(np.asarray(own.field(x)) for x in ("one", "two", "least")), powers)
-            else:
-                removed = [np.zeros(t.count(b" ") + 1 if t else 0, dtype=bool) for t in texts]
+            removed = [np.zeros(t.count(b" ") + 1 if t else 0, dtype=bool) for t in texts]
+            copied = block["copied"].as_py() or []
+            for k in copied:
+                removed[k][:] = True
+            if block["phrases"].is_valid:
+                own = block["phrases"].values
+                rest = sorted(set(range(len(texts))) - set(copied))
+                found = locate([ids[k] for k in rest], [texts[k] for k in rest], *(np.asarray(own.field(x)) for x in ("one", "two", "least")), powers)
+                for k, gone in zip(rest, found):
+                    removed[k] = gone
             kept = [b" ".join(w for w, x in zip(t.split(), gone.tolist()) if not x) if gone.any() else t for t, gone in zip(texts, removed)]
             yield pa.RecordBatch.from_arrays(
                 [block["doc"].values, pa.array(map(len, removed), pa.int64()), pa.array([int(g.sum()) for g in removed], pa.int64()), pa.array([k.decode() for k in kept], pa.string())],
                 ["doc", "n_words", "n_removed", "kept"],
             )
 
-    return whole.select("doc", "ids", "texts", "phrases").mapInArrow(
+    return whole.select("doc", "ids", "texts", "copied", "phrases").mapInArrow(
         run, f"doc {kind.simpleString()}, n_words long, n_removed long, kept string"
     )
