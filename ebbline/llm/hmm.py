@@ -377,7 +377,7 @@ def emissions_of(block: dict, chain: Chain, counts: np.ndarray | None) -> np.nda
     size = len(block["vocab"].values)
     frequent = np.asarray(block["frequent"].values) if block["frequent"].is_valid else np.empty(0, dtype=np.int64)
     known = np.asarray(block["known"].values) if block["frequent"].is_valid else np.empty(0, dtype=np.int64)
-    expected = np.asarray(block["x"].values.values).reshape(len(frequent), -1) if len(frequent) else np.zeros((0, len(chain.start)))
+    expected = np.asarray(block["x"].values.flatten()).reshape(len(frequent), -1) if len(frequent) else np.zeros((0, len(chain.start)))
     if counts is None:
         counts = np.zeros(size)
         counts[frequent] = known
