@@ -7,14 +7,17 @@ import random
 import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions.ordering import OrderKey, asc
-from ebbline.ml.models import score_with, train_baseline, train_trees
+from ebbline.ml.models import TreeInput, fit_trees, score_with, train_baseline, tree_input
+from ebbline.ml.prep import VECTOR
 from ebbline.operators.evaluation import auc_metrics
-from ebbline.operators.splits import forward_folds, train_part, usable_folds, val_part
+from ebbline.operators.splits import fold_classes, forward_folds, train_part, usable_folds, val_part
 from ebbline.schema import FEATURES
 from ebbline.session import write_table
 
@@ -48,25 +51,41 @@ def run_time_cv(
     Fits are distributed jobs; a few run at a time.
     """
     folds = make_folds(xy, k, order)
-    usable = usable_folds(folds, k)
+    sizes = {r["fold"]: (r["n_train"], r["n_val"]) for r in fold_classes(folds, k).collect()}
 
     def run(task: tuple[str, int]) -> tuple:
         name, fold = task
-        train, val = train_part(folds, fold), val_part(folds, fold)
         if name == "baseline":
-            model = train_baseline(train, features, use_smote, seed, max_iter)
+            model = train_baseline(train_part(folds, fold), features, use_smote, seed, max_iter)
+            scored = score_with(model, val_part(folds, fold), "score")
         else:
-            model = train_trees(train, features, tree_params, seed)
-        scored = score_with(model, val, "score").select("label", "score")
-        row = auc_metrics(scored).first()
-        return (name, fold, row["roc_auc"], row["pr_auc"], train.count(), val.count())
+            scored = Fold.prepare(folds, fold, features).scored(tree_params, seed)
+        row = auc_metrics(scored.select("label", "score")).first()
+        return (name, fold, row["roc_auc"], row["pr_auc"], *sizes[fold])
 
-    tasks = [(m, f) for m in models for f in usable]
+    tasks = [(m, f) for m in models for f in usable_folds(folds, k)]
     with ThreadPoolExecutor(parallelism) as pool:
         rows = list(pool.map(run, tasks))
     return xy.sparkSession.createDataFrame(rows, FOLD_SCHEMA)
 
 
+@dataclass(frozen=True)
+class Fold:
+    """A fold's rows prepared for tree fits, once for any number of them."""
+
+    train: TreeInput
+    val: DataFrame
+
+    @staticmethod
+    def prepare(folds: DataFrame, fold: int, features: Sequence[str]) -> Fold:
+        train = tree_input(train_part(folds, fold), features)
+        return Fold(train, write_table(train.vectors_of(val_part(folds, fold)).select(VECTOR, "label"), "val"))
+
+    def scored(self, params: Mapping[str, float] | None, seed: int) -> DataFrame:
+        model = fit_trees(self.train, params, seed)
+        return model.transform(self.val).select("label", vector_to_array("probability")[1].alias("score"))
+
+
 def cv_summary(fold_metrics: DataFrame) -> DataFrame:
     """Mean and population deviation over folds: ``model, metric, cv_mean, cv_std``."""
     long = fold_metrics.select(
@@ -119,10 +138,14 @@ def draw_params(rng: random.Random, space: Mapping[str, tuple] = SEARCH_SPACE) -
     return out
 
 
+#: Ranges that MLlib's trees have no counterpart for; drawn, recorded and without effect.
+WITHOUT_EFFECT = ("reg_alpha", "reg_lambda")
+
+
 def search(
     xy: DataFrame,
     n_trials: int = 50,
-    timeout: float = 600.0,
+    timeout: float | None = None,
     k: int = 5,
     features: Sequence[str] = tuple(FEATURES),
     seed: int = 42,
@@ -131,22 +154,30 @@ def search(
 ) -> DataFrame:
     """Seeded random search for the best mean PR-AUC over forward folds.
 
-    One row per trial: ``trial, score, params``.  Stops after ``n_trials`` or
-    when a trial would start after ``timeout`` seconds; the first always runs.
+    One row per trial: ``trial, score, params, ignored, stopped_early``.  All ``n_trials`` run
+    unless a ``timeout`` in seconds is given: then no trial starts after it (the first always
+    runs), and ``stopped_early`` tells of it.  ``ignored`` names the parameters without effect.
+    Folds are sorted, split and prepared once for all trials.
     """
     rng = random.Random(seed)
     started = time.monotonic()
-    rows = []
-    for trial in range(n_trials):
-        params = draw_params(rng, space)
-        if trial and time.monotonic() - started > timeout:
-            break
-        folds = run_time_cv(
-            xy, k, features, tree_params=params, seed=seed, models=("trees",), parallelism=parallelism
-        )
-        score = folds.agg(F.avg("pr_auc")).first()[0]
-        rows.append((trial, score, {n: float(v) for n, v in params.items()}))
-    return xy.sparkSession.createDataFrame(rows, "trial int, score double, params map<string,double>")
+    folds = make_folds(xy, k)
+    rows, early = [], False
+    with ThreadPoolExecutor(parallelism) as pool:
+        prepared = list(pool.map(lambda f: Fold.prepare(folds, f, features), usable_folds(folds, k)))
+        for trial in range(n_trials):
+            params = draw_params(rng, space)
+            if trial and timeout is not None and time.monotonic() - started > timeout:
+                early = True
+                break
+            areas = pool.map(lambda fold: auc_metrics(fold.scored(params, seed)).first()["pr_auc"], prepared)
+            known = [x for x in areas if x is not None]
+            rows.append((trial, sum(known) / len(known) if known else None, {n: float(v) for n, v in params.items()}))
+    ignored = [n for n in WITHOUT_EFFECT if n in space]
+    return xy.sparkSession.createDataFrame(
+        [(*row, ignored, early) for row in rows],
+        "trial int, score double, params map<string,double>, ignored array<string>, stopped_early boolean",
+    )
 
 
 def best_trial(trials: DataFrame) -> DataFrame:

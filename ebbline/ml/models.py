@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,29 +86,52 @@ def gbt_params(params: Mapping[str, float], n_rows: int | None = None) -> dict:
     return out
 
 
-def train_trees(
-    train: DataFrame,
-    features: Sequence[str] = tuple(FEATURES),
-    params: Mapping[str, float] | None = None,
-    seed: int = 42,
-) -> PipelineModel:
-    """Boosted trees with class weights; missingness stays visible through is-missing columns."""
-    spark = train.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        # Hundreds of rounds grow a long lineage; MLlib cuts it where a folder is set.
-        spark.sparkContext.setCheckpointDir(work_dir(spark))
+@dataclass(frozen=True)
+class TreeInput:
+    """Training rows as written vectors with class weights, and the stages that make them."""
+
+    stages: tuple
+    vectors: DataFrame
+    rows: int
+
+    def vectors_of(self, df: DataFrame) -> DataFrame:
+        for stage in self.stages:
+            df = stage.transform(df)
+        return df
+
+
+def tree_input(train: DataFrame, features: Sequence[str] = tuple(FEATURES)) -> TreeInput:
+    """Medians for missing values, which stay visible through is-missing columns, and class weights."""
     may_be_null = [f for f in nullable_features(strict=False) if f in set(features)]
     medians = prep.fit_medians(train, features)
     transformer, assembler, _ = prep.preparation(medians, None, may_be_null)
     weighted = prep.with_class_weight(train.select(*features, F.col("label").cast("double").alias("label")))
     rows, n = _fit_input(weighted)
     vectors = assembler.transform(transformer.transform(rows)).select(prep.VECTOR, "label", "weight")
+    return TreeInput((transformer, assembler), vectors, n)
+
+
+def fit_trees(own: TreeInput, params: Mapping[str, float] | None = None, seed: int = 42) -> GBTClassificationModel:
+    spark = own.vectors.sparkSession
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        # Hundreds of rounds grow a long lineage; MLlib cuts it where a folder is set.
+        spark.sparkContext.setCheckpointDir(work_dir(spark))
     wanted = {**DEFAULT_TREES, **(params or {})}
     learner = GBTClassifier(
-        featuresCol=prep.VECTOR, labelCol="label", weightCol="weight", seed=seed,
-        **gbt_params(wanted, n),
+        featuresCol=prep.VECTOR, labelCol="label", weightCol="weight", seed=seed, **gbt_params(wanted, own.rows)
     )
-    return PipelineModel([transformer, assembler, learner.fit(vectors)])
+    return learner.fit(own.vectors)
+
+
+def train_trees(
+    train: DataFrame,
+    features: Sequence[str] = tuple(FEATURES),
+    params: Mapping[str, float] | None = None,
+    seed: int = 42,
+) -> PipelineModel:
+    """Boosted trees with class weights, as a pipeline with its own preparation."""
+    own = tree_input(train, features)
+    return PipelineModel([*own.stages, fit_trees(own, params, seed)])
 
 
 def score_with(model: PipelineModel, df: DataFrame, column: str = "churn_probability") -> DataFrame:

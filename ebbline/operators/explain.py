@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions.numbers import general_format
+from ebbline.ml.prep import PREFIX
 
 CONTRIBUTIONS = "contributions"
 BASE = "base_value"
@@ -55,6 +57,28 @@ class LinearExplainer:
         return df.withColumns({CONTRIBUTIONS: F.array(*entries), BASE: F.lit(self.base_value)})
 
 
+def explain_pipeline(pipeline: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Attribution of a fitted linear pipeline (preparation, vector, logistic regression).
+
+    The contribution of a feature is its coefficient times its imputed and scaled value, so a
+    customer average in everything keeps the intercept, the base value; base plus contributions
+    is the log-odds of the predicted probability.
+    """
+    prepare, assembler, model = pipeline.stages
+    weights = dict(zip(assembler.getInputCols(), model.coefficients.toArray()))
+    entries = [
+        F.struct(
+            F.lit(f).alias("feature"),
+            F.col(f).cast("double").alias("value"),
+            (F.lit(float(weights[PREFIX + f])) * F.col(PREFIX + f)).alias("contribution"),
+        )
+        for f in features
+    ]
+    return prepare.transform(df).select(
+        *df.columns, F.array(*entries).alias(CONTRIBUTIONS), F.lit(float(model.intercept)).alias(BASE)
+    )
+
+
 def to_long(explained: DataFrame, keep: Sequence[str] = ("customer_id",)) -> DataFrame:
     """``(keep..., feature, value, contribution)``, one row per feature."""
     return explained.select(*keep, F.inline(CONTRIBUTIONS))

@@ -18,7 +18,6 @@ from ebbline.operators.evaluation import histogram
 DEFAULT_COLUMNS = ["customer_id", "churn_probability", "spend_90d", "revenue_at_risk"]
 BAND_COLUMNS = ["spend_90d", "recency_days", "frequency", "tenure_days"]
 PARETO_TARGET = 0.8
-TOP_N_RANGE = (5, 200)
 
 
 def kpis(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -162,9 +161,8 @@ def in_range(scored: DataFrame, low: float | None = None, high: float | None = N
 
 def top_n(scored: DataFrame, n: int = 20, columns: Sequence[str] = tuple(DEFAULT_COLUMNS)) -> DataFrame:
     """First ``n`` customers by revenue at risk (ties by id), as a top-k without a full sort."""
-    low, high = TOP_N_RANGE
-    if not low <= n <= high:
-        raise ValueError(f"n must be between {low} and {high}, got {n}")
+    if n < 1:
+        raise ValueError(f"n must be at least 1, got {n}")
     order = [F.col("revenue_at_risk").desc(), F.col("customer_id").asc()]
     return scored.orderBy(*order).limit(n).select(*columns)
 

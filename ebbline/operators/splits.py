@@ -85,6 +85,8 @@ def forward_folds(
     """
     if k < 2:
         raise ValueError("at least 2 folds")
+    if df.limit(k + 1).count() <= k:
+        raise ValueError(f"{k} folds need more than {k} rows")
     ranked = with_running(df, list(order), rank="pos", totals={"n_rows": "*"})
     pos, n = F.col("pos") - 1, F.col("n_rows")
     size = F.floor(n / (k + 1))

@@ -445,12 +445,12 @@ _EV = O.moment(EVENT_SNAPSHOT)
 @query(
     "prj_daydiff",
     O.with_views(
-        f"SELECT invoice_id, {O.floor_days('invoice_date', _EV)} AS days FROM txn_events WHERE invoice_date <= {_EV}",
+        f"SELECT invoice_id, {O.floor_days('invoice_date', _EV)} AS days FROM txn_events",
         "txn_events",
     ),
 )
 def prj_daydiff(spark: SparkSession, sf: str) -> DataFrame:
-    events = past(txn_events(spark, sf), EVENT_SNAPSHOT)
+    events = txn_events(spark, sf)
     return events.select("invoice_id", day_diff(F.col("invoice_date"), ts(EVENT_SNAPSHOT)).alias("days"))
 
 
@@ -621,11 +621,15 @@ def agg_features_events(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(matrix, O.FEATURE_DIGITS)
 
 
+def cleaned_ctes() -> str:
+    """CTE ``cleaned``: the dirty lines after all cleaning steps, fences fitted at the train snapshot."""
+    return f"{_RULED}, {_FIT}, cleaned AS ({_iqr_sql('ruled', 'fit').replace(r('unit_price'), 'unit_price')})"
+
+
 def flagship_sql() -> str:
-    ctes = f"{_RULED}, {_FIT}, cleaned AS ({_iqr_sql('ruled', 'fit').replace(r('unit_price'), 'unit_price')}),\n"
     return O.with_views(
         f"SELECT customer_id, {O.feature_select(FEATURES)} FROM features", "txn_dirty",
-        ctes=ctes + O.feature_ctes("cleaned", TEST),
+        ctes=f"{cleaned_ctes()},\n{O.feature_ctes('cleaned', TEST)}",
     )
 
 

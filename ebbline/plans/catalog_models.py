@@ -1,10 +1,14 @@
 """Registered queries: preparation, models, cross-validation and evaluation.
 
-Trees and searches run with few rounds here; the operators take any number.
+Models are fitted as the operators do by default (300 trees of depth 4, five folds, the full
+search space).  Scores are the learner's own, so these queries return what must hold for them
+whatever the learner: which rows are scored, sizes, bounds and identities, which SQL can state.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +16,11 @@ from ebbline.ml import cv, models, prep, smote
 from ebbline.operators import evaluation as ev
 from ebbline.plans import oracle as O
 from ebbline.plans.registry import query, r, rounded
-from ebbline.plans.tables import once, scored, split_xy
+from ebbline.plans.tables import scored, split_xy
 from ebbline.plans.testviews import SNAPSHOTS
 from ebbline.schema import FEATURES
 
-FEW_ROUNDS = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.1}
-QUICK_SPACE = {**cv.SEARCH_SPACE, "n_estimators": ("int", 2, 4, 1), "max_depth": ("int", 2, 3, 1)}
+N_TRIALS = 2
 
 _TRAIN = O.feature_ctes("txn", SNAPSHOTS["train"], p="a_")
 _VAL = O.feature_ctes("txn", SNAPSHOTS["val"], p="b_")
@@ -71,66 +74,120 @@ def ml_classweight(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(prep.class_weight(split_xy(spark, sf, "train")), {"positive_weight": 6})
 
 
-@query("ml_smote")
-def ml_smote(spark: SparkSession, sf: str) -> DataFrame:
-    """Imputed and scaled train rows, brought to class parity."""
+_SCALED = f"""filled AS (SELECT customer_id, churn, {", ".join(
+    f"coalesce(CAST({f} AS DOUBLE), (SELECT coalesce(quantile_cont({f}, 0.5), 0) FROM a_features)) AS {f}" for f in FEATURES
+)} FROM a_features JOIN a_labels0 USING (customer_id)),
+stats AS (SELECT {", ".join(f"avg({f}) AS m_{f}, coalesce(nullif(stddev_pop({f}), 0), 1) AS s_{f}" for f in FEATURES)} FROM filled),
+scaled AS (SELECT customer_id, churn, {", ".join(f"({f} - m_{f}) / s_{f} AS {f}" for f in FEATURES)} FROM filled, stats),
+minority AS (SELECT * FROM scaled WHERE churn =
+  (SELECT CASE WHEN 2 * sum(churn) <= count(*) THEN 1 ELSE 0 END FROM scaled))"""
+
+
+def _scaled_sql(body: str) -> str:
+    return O.with_views(body, "txn", ctes=f"{_TRAIN},\n{O.label_cte('txn', SNAPSHOTS['train'], p='a_')},\n{_SCALED}")
+
+
+def scaled_train(spark: SparkSession, sf: str) -> DataFrame:
+    """Imputed and scaled train rows."""
     train = split_xy(spark, sf, "train")
     filled = prep.impute(train, prep.fit_medians(train, FEATURES))
-    return smote.oversample(prep.scale(filled, prep.fit_scaling(filled, FEATURES)), FEATURES)
+    return prep.scale(filled, prep.fit_scaling(filled, FEATURES))
+
+
+@query(
+    "ml_smote",
+    _scaled_sql(
+        """SELECT CAST(churn AS INTEGER) AS label, count(*) AS n_real,
+  (SELECT max(n) FROM (SELECT count(*) AS n FROM scaled GROUP BY churn)) AS n_rows FROM scaled GROUP BY churn"""
+    ),
+)
+def ml_smote(spark: SparkSession, sf: str) -> DataFrame:
+    """Train rows brought to class parity: real and all rows of each class."""
+    rows = smote.oversample(scaled_train(spark, sf), FEATURES)
+    return rows.groupBy("label").agg(F.count_if(~F.col(smote.SYNTHETIC)).alias("n_real"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(
+    "ml_smote_near",
+    _scaled_sql(
+        f"""SELECT customer_id, CAST(rank AS INTEGER) AS rank, {r('distance')} FROM (
+  SELECT a.customer_id, sqrt({" + ".join(f"(a.{f} - b.{f}) ** 2" for f in FEATURES)}) AS distance,
+    row_number() OVER (PARTITION BY a.customer_id ORDER BY {" + ".join(f"(a.{f} - b.{f}) ** 2" for f in FEATURES)}) AS rank
+  FROM minority a JOIN minority b ON a.customer_id <> b.customer_id) WHERE rank <= 5"""
+    ),
+)
+def ml_smote_near(spark: SparkSession, sf: str) -> DataFrame:
+    """Distances of the five nearest rows of the smaller class, for each of its rows."""
+    rows = smote.fit_rows(scaled_train(spark, sf), "customer_id")
+    counts = prep.class_counts(rows)
+    minority = rows.where(F.col("label") == min(counts, key=lambda c: (counts[c], -c)))
+    near = smote.nearest(minority, minority.select("customer_id"), FEATURES, "customer_id", 5)
+    return rounded(near.select("customer_id", "rank", "distance"))
 
 
 def baseline_model(spark: SparkSession, sf: str):
     return models.train_baseline(split_xy(spark, sf, "train"))
 
 
-@query("ml_logreg")
+_TEST_ROWS = O.with_views(
+    "SELECT customer_id, churn AS label, true AS in_range FROM labels0", "txn", ctes=O.label_cte("txn", SNAPSHOTS["test"])
+)
+
+
+def in_range(scored_rows: DataFrame) -> DataFrame:
+    """Each scored row, and whether its score is a probability."""
+    ok = F.col("churn_probability").isNotNull() & F.col("churn_probability").between(0, 1)
+    return scored_rows.select("customer_id", "label", ok.alias("in_range"))
+
+
+@query("ml_logreg", _TEST_ROWS)
 def ml_logreg(spark: SparkSession, sf: str) -> DataFrame:
-    test = split_xy(spark, sf, "test")
-    return models.score_with(baseline_model(spark, sf), test).select("customer_id", "label", "churn_probability")
+    return in_range(models.score_with(baseline_model(spark, sf), split_xy(spark, sf, "test")))
 
 
-@query("ml_gbt")
+@query("ml_gbt", _TEST_ROWS)
 def ml_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    model = models.train_trees(split_xy(spark, sf, "train"), params=FEW_ROUNDS)
-    test = split_xy(spark, sf, "test")
-    return models.score_with(model, test).select("customer_id", "label", "churn_probability")
+    model = models.train_trees(split_xy(spark, sf, "train"))
+    return in_range(models.score_with(model, split_xy(spark, sf, "test")))
 
 
-@query("ml_gbt_params")
+@query("ml_gbt_params", _TEST_ROWS)
 def ml_gbt_params(spark: SparkSession, sf: str) -> DataFrame:
     """Refit on train and val with given parameters."""
-    params = {**FEW_ROUNDS, "subsample": 0.8, "colsample_bytree": 0.7, "min_child_weight": 3, "gamma": 0.5}
+    params = {"subsample": 0.8, "colsample_bytree": 0.7, "min_child_weight": 3, "gamma": 0.5}
     model = models.train_trees(split_xy(spark, sf, "train", "val"), params=params)
-    test = split_xy(spark, sf, "test")
-    return models.score_with(model, test).select("customer_id", "label", "churn_probability")
+    return in_range(models.score_with(model, split_xy(spark, sf, "test")))
 
 
-@query("ml_predict")
+@query("ml_predict", _TEST_ROWS.replace("churn AS label, true AS in_range", "true AS same"))
 def ml_predict(spark: SparkSession, sf: str) -> DataFrame:
-    """Save, reload, and score the test split through the column contract."""
+    """Save, reload, and score the test split through the column contract: the scores are those of the saved model."""
     import uuid
 
     from ebbline.session import work_dir
 
     train = split_xy(spark, sf, "train")
     path = f"{work_dir(spark)}/predictor-{uuid.uuid4().hex}"
-    model = models.train_trees(train, params=FEW_ROUNDS)
-    models.ChurnPredictor.of(model, train).save(path)
+    own = models.ChurnPredictor.of(models.train_trees(train), train)
+    own.save(path)
     test = split_xy(spark, sf, "test").drop("label")
-    loaded = models.ChurnPredictor.load(spark, path)
-    return loaded.predict(test).select("customer_id", "churn_probability")
-
-
-def _cv_folds(spark: SparkSession, sf: str) -> DataFrame:
-    return once(
-        spark, sf, "cv",
-        lambda: cv.run_time_cv(split_xy(spark, sf, "train"), 3, tree_params=FEW_ROUNDS, max_iter=100),
-    )
+    loaded = models.ChurnPredictor.load(spark, path).predict(test)
+    before = own.predict(test).select("customer_id", F.col("churn_probability").alias("p"))
+    return loaded.join(before, "customer_id").select("customer_id", (F.col("churn_probability") == F.col("p")).alias("same"))
 
 
-@query("ml_cv")
+@query(
+    "ml_cv",
+    O.with_views(
+        """SELECT model, CAST(fold AS INTEGER) AS fold, n - 5 * (n // 6) + (fold - 1) * (n // 6) AS n_train, n // 6 AS n_val, true AS in_range
+FROM (SELECT count(*) AS n FROM labels0), range(1, 6) AS f(fold), (VALUES ('baseline'), ('trees')) AS m(model)""",
+        "txn", ctes=O.label_cte("txn", SNAPSHOTS["train"]),
+    ),
+)
 def ml_cv(spark: SparkSession, sf: str) -> DataFrame:
-    return _cv_folds(spark, sf)
+    folds = cv.run_time_cv(split_xy(spark, sf, "train"), parallelism=5)
+    ok = F.coalesce(F.col("roc_auc").between(0, 1) & F.col("pr_auc").between(0, 1), F.lit(False))
+    return folds.select("model", "fold", "n_train", "n_val", ok.alias("in_range"))
 
 
 # Stand-in fold metrics that both engines can compute: statistics of orders per
@@ -170,9 +227,15 @@ def ml_cvreport(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(cv.cv_report(cv.cv_summary(folds), single), default=6)
 
 
-@query("ml_search")
+@query(
+    "ml_search",
+    f"SELECT CAST(trial AS INTEGER) AS trial, true AS in_range, true AS scored FROM range({N_TRIALS}) AS t(trial), (SELECT count(*) FROM lineitem)",
+)
 def ml_search(spark: SparkSession, sf: str) -> DataFrame:
-    return cv.search(split_xy(spark, sf, "train"), n_trials=2, k=2, space=QUICK_SPACE)
+    """Trials of the full space over five folds: parameters inside their ranges, scores inside theirs."""
+    trials = cv.search(split_xy(spark, sf, "train"), n_trials=N_TRIALS, parallelism=5)
+    inside = [F.col("params")[n].between(float(low), float(high)) for n, (_, low, high, *_) in cv.SEARCH_SPACE.items()]
+    return trials.select("trial", reduce(lambda a, b: a & b, inside).alias("in_range"), F.col("score").between(0, 1).alias("scored"))
 
 
 @query(

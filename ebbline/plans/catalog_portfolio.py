@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from ebbline.ml import models, trees
 from ebbline.operators import explain, portfolio, report, validation
 from ebbline.plans import oracle as O
-from ebbline.plans.catalog_models import FEW_ROUNDS
-from ebbline.plans.registry import query, r, rounded
+from ebbline.plans.catalog_data import cleaned_ctes
+from ebbline.plans.catalog_models import baseline_model
+from ebbline.plans.registry import NUDGE, query, r, rounded
 from ebbline.plans.scoring import score_held_out, score_population
-from ebbline.plans.tables import build_scored, once, scored, split_xy, with_fixed_score
+from ebbline.plans.tables import scored, split_xy
 from ebbline.plans.testviews import SNAPSHOTS, table, txn, txn_dirty
 from ebbline.schema import FEATURES
 from ebbline.session import work_dir
@@ -30,39 +31,46 @@ def fixed_scorer(df: DataFrame) -> DataFrame:
 
 @query(
     "pf_score",
-    O.on_scored(
-        f"SELECT customer_id, {O.feature_select(FEATURES)}, {r('churn_probability')}, {r('revenue_at_risk')} FROM scored"
+    O.with_views(
+        f"SELECT customer_id, {O.feature_select(FEATURES)}, {r(O.SCORE, 'churn_probability')}, "
+        f"{r(O.SCORE + ' * coalesce(spend_90d, 0)', 'revenue_at_risk')} FROM features",
+        "txn_dirty", ctes=f"{cleaned_ctes()},\n{O.feature_ctes('cleaned', SNAPSHOTS['test'])}",
     ),
 )
 def pf_score(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines -> features -> score -> revenue at risk, built anew."""
-    rows = build_scored(spark, sf)
-    return rounded(rows.drop("label", "clv", "score"), O.FEATURE_DIGITS)
+    """Raw lines -> cleaning -> features -> score -> revenue at risk."""
+    rows = score_population(txn_dirty(spark, sf), SNAPSHOTS["test"], fixed_scorer, SNAPSHOTS["train"])
+    return rounded(rows.select("customer_id", *FEATURES, "churn_probability", "revenue_at_risk"), O.FEATURE_DIGITS)
 
 
-@query("pf_score_clean")
+@query(
+    "pf_score_clean",
+    O.with_views(
+        "SELECT customer_id, true AS in_range FROM features", "txn_dirty",
+        ctes=f"{cleaned_ctes()},\n{O.feature_ctes('cleaned', SNAPSHOTS['test'])}",
+    ),
+)
 def pf_score_clean(spark: SparkSession, sf: str) -> DataFrame:
-    """The same from raw lines, with cleaning and the fitted baseline."""
-    model = once_baseline(spark, sf)
-    return score_population(
+    """The same with the fitted baseline: who is scored, and whether risk is probability times spend."""
+    model = baseline_model(spark, sf)
+    rows = score_population(
         txn_dirty(spark, sf), SNAPSHOTS["test"], lambda m: models.score_with(model, m), SNAPSHOTS["train"]
-    ).select("customer_id", "spend_90d", "churn_probability", "revenue_at_risk")
-
-
-_models: dict[tuple[str, str], object] = {}
-
-
-def once_baseline(spark: SparkSession, sf: str):
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _models:
-        _models[key] = models.train_baseline(split_xy(spark, sf, "train"))
-    return _models[key]
+    )
+    p, spend = F.col("churn_probability"), F.coalesce("spend_90d", F.lit(0.0))
+    ok = p.between(0, 1) & (F.abs(F.col("revenue_at_risk") - p * spend) <= 1e-9 * (1 + F.abs(spend)))
+    return rows.select("customer_id", F.coalesce(ok, F.lit(False)).alias("in_range"))
 
 
-@query("pf_heldout")
+@query(
+    "pf_heldout",
+    O.with_views(
+        f"SELECT customer_id, churn AS label, {r(O.SCORE, 'score')}, {r('spend_90d')} FROM features JOIN labels0 USING (customer_id)",
+        "txn", ctes=f"{O.feature_ctes('txn', SNAPSHOTS['test'])},\n{O.label_cte('txn', SNAPSHOTS['test'])}",
+    ),
+)
 def pf_heldout(spark: SparkSession, sf: str) -> DataFrame:
-    model = once_baseline(spark, sf)
-    return score_held_out(txn(spark, sf), SNAPSHOTS, lambda m: models.score_with(model, m))
+    """The test split with labels and the fixed score."""
+    return rounded(score_held_out(txn(spark, sf), SNAPSHOTS, fixed_scorer))
 
 
 @query(
@@ -203,11 +211,11 @@ def pf_range_bounds(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "pf_topn",
     O.on_scored(
-        f"SELECT {_TRIAGE} FROM (SELECT * FROM scored WHERE score >= 0.2 ORDER BY revenue_at_risk DESC, customer_id LIMIT 50)"
+        f"SELECT {_TRIAGE} FROM (SELECT * FROM scored ORDER BY revenue_at_risk DESC, customer_id LIMIT 250)"
     ),
 )
 def pf_topn(spark: SparkSession, sf: str) -> DataFrame:
-    return triage(portfolio.top_n(portfolio.high_risk(scored(spark, sf), 0.2), 50))
+    return triage(portfolio.top_n(scored(spark, sf), 250))
 
 
 @query(
@@ -333,31 +341,51 @@ def pf_batchscore_stream(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(spark.read.parquet(f"{base}/out").drop("epoch"))
 
 
-@query("pf_batchscore_model")
+@query(
+    "pf_batchscore_model",
+    O.with_views(
+        f"SELECT customer_id, true AS in_range FROM raw WHERE {_errors_sql(False)} = ''", "txn",
+        ctes=O.scored_ctes() + ",\n" + _RAW,
+    ),
+)
 def pf_batchscore_model(spark: SparkSession, sf: str) -> DataFrame:
-    """Validated records scored by the fitted baseline."""
-    model = once_baseline(spark, sf)
+    """Validated records scored by the fitted baseline: which are scored."""
+    model = baseline_model(spark, sf)
     good, _ = score_records(raw_records(spark, sf), lambda m: models.score_with(model, m))
-    return good
+    return good.select("customer_id", F.col("churn_probability").between(0, 1).alias("in_range"))
 
 
 # --- explanations -------------------------------------------------------------------
 
-# A fixed linear model, so that SQL can follow.
+# A fixed linear model over all features, so that SQL can follow: larger steps for counts and days than for amounts.
 COEFFICIENTS = {
-    "recency_days": 0.004,
-    "frequency": -0.09,
-    "spend_slope": -0.0004,
-    "tenure_days": -0.0007,
-    "avg_basket_size": 0.021,
-    "distinct_products": -0.013,
-    "days_between_txns": 0.0031,
-    "spend_std_90d": -0.0000011,
-    "txn_count_slope": 5.0,
+    f: (i + 1) * (-1) ** i * (1e-7 if f.startswith(("spend", "avg", "monetary", "total")) else 1e-3)
+    for i, f in enumerate(FEATURES)
 }
 INTERCEPT = 0.3
 
 
+_ADDITIVE = O.with_views(
+    "SELECT customer_id, true AS additive FROM labels0", "txn", ctes=O.label_cte("txn", SNAPSHOTS["test"])
+)
+
+
+def additive(rows: DataFrame) -> DataFrame:
+    """Whether base value and contributions of all features add up to the log-odds of the probability."""
+    total = F.aggregate("contributions", F.col("base_value"), lambda acc, c: acc + c["contribution"])
+    odds = F.ln(F.col("churn_probability") / (1 - F.col("churn_probability")))
+    ok = (F.abs(total - odds) < 1e-6) & (F.size("contributions") == len(FEATURES))
+    return rows.select("customer_id", F.coalesce(ok, F.lit(False)).alias("additive"))
+
+
+def said(rows: DataFrame) -> DataFrame:
+    """Values rounded and moved off halves before they are put into words: engines sum and round in their own order."""
+    return rows.withColumn(
+        "contributions",
+        F.transform("contributions", lambda c: c.withField("value", F.round(c["value"] + F.lit(float(NUDGE)), 4) * F.lit(1 + 1e-9))),
+    )
+
+
 def explained(spark: SparkSession, sf: str) -> DataFrame:
     rows = scored(spark, sf)
     return explain.LinearExplainer.fit(rows, COEFFICIENTS, INTERCEPT).transform(rows)
@@ -383,45 +411,52 @@ def ex_attr(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(explain.to_long(explained(spark, sf)), {"contribution": 6})
 
 
-def tree_model(spark: SparkSession, sf: str):
-    key = (spark.sparkContext.applicationId, sf + "#trees")
-    if key not in _models:
-        _models[key] = models.train_trees(split_xy(spark, sf, "train"), params=FEW_ROUNDS)
-    return _models[key]
-
-
-def tree_explained(spark: SparkSession, sf: str) -> DataFrame:
-    model = tree_model(spark, sf)
+@query("ex_attr_baseline", _ADDITIVE)
+def ex_attr_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    """The fitted baseline explained: base and contributions add up to the log-odds of its score."""
+    model = baseline_model(spark, sf)
     rows = models.score_with(model, split_xy(spark, sf, "test"))
-    return trees.explain_trees(model, rows, FEATURES)
+    return additive(explain.explain_pipeline(model, rows, FEATURES))
 
 
-@query("ex_attr_trees")
+@query("ex_attr_trees", _ADDITIVE)
 def ex_attr_trees(spark: SparkSession, sf: str) -> DataFrame:
-    return explain.to_long(tree_explained(spark, sf), ["customer_id", "base_value", "churn_probability"])
+    model = models.train_trees(split_xy(spark, sf, "train"))
+    rows = models.score_with(model, split_xy(spark, sf, "test"))
+    return additive(trees.explain_trees(model, rows, FEATURES))
 
 
-_NATIVE = {f: (i + 1) / 100 for i, f in enumerate(COEFFICIENTS)}
+# What a linear model itself says of a feature: the size of its coefficient.
+_NATIVE = {f: abs(c) for f, c in COEFFICIENTS.items()}
 
 
 @query(
     "ex_importance",
     _on_attr(
-        f"""SELECT feature, CASE feature {' '.join(f"WHEN '{f}' THEN {v}::DOUBLE" for f, v in _NATIVE.items())} END AS native_importance,
+        f"""SELECT feature, CASE feature {' '.join(f"WHEN '{f}' THEN {v:.7f}::DOUBLE" for f, v in _NATIVE.items())} END AS native_importance,
   {r('avg(abs(contribution))', 'mean_abs_contribution', 6)} FROM attr GROUP BY feature"""
     ),
 )
 def ex_importance(spark: SparkSession, sf: str) -> DataFrame:
-    importance = explain.importance_table(explained(spark, sf), _NATIVE)
+    importance = explain.importance_table(explained(spark, sf), {f: float(f"{v:.7f}") for f, v in _NATIVE.items()})
     return importance.withColumn(
         "mean_abs_contribution", F.round(F.col("mean_abs_contribution") + F.lit(0.00000033), 6)
     )
 
 
-@query("ex_importance_trees")
+@query(
+    "ex_importance_trees",
+    "SELECT f AS feature, true AS valid FROM (VALUES " + ", ".join(f"('{f}')" for f in FEATURES) + ") AS t(f), (SELECT count(*) FROM lineitem)",
+)
 def ex_importance_trees(spark: SparkSession, sf: str) -> DataFrame:
-    native = trees.native_importance(tree_model(spark, sf), FEATURES)
-    return explain.importance_table(tree_explained(spark, sf), native)
+    """Every feature with an importance of the model's own, which add up to one, and a mean contribution."""
+    model = models.train_trees(split_xy(spark, sf, "train"))
+    rows = models.score_with(model, split_xy(spark, sf, "test"))
+    native = trees.native_importance(model, FEATURES)
+    table = explain.importance_table(trees.explain_trees(model, rows, FEATURES), native)
+    whole = F.lit(abs(sum(native.values()) - 1) < 1e-6)
+    ok = (F.col("native_importance") >= 0) & (F.col("mean_abs_contribution") >= 0) & whole
+    return table.select("feature", F.coalesce(ok, F.lit(False)).alias("valid"))
 
 
 @query(
@@ -440,16 +475,16 @@ def ex_drivers(spark: SparkSession, sf: str) -> DataFrame:
     "ex_topk",
     _on_attr(
         f"""SELECT customer_id, CAST(0 AS INTEGER) AS step, 'Base value' AS label, {r(_BASE, 'amount', 6)} FROM scored, means
-UNION ALL SELECT customer_id, CAST(rk AS INTEGER), feature || ' = ' || coalesce(format('{{:g}}', value), 'nan'),
-  {r('contribution', 'amount', 6)} FROM ranked_attr WHERE rk <= 4
-UNION ALL SELECT customer_id, 5, count(*) || ' other features', {r('sum(contribution)', 'amount', 6)} FROM ranked_attr
-  WHERE rk > 4 GROUP BY 1
-UNION ALL SELECT customer_id, 6, 'Prediction', {r(f'any_value({_BASE}) + sum(contribution)', 'amount', 6)}
+UNION ALL SELECT customer_id, CAST(rk AS INTEGER), feature || ' = ' || coalesce(format('{{:g}}', round(value + {NUDGE}, 4) * (1 + 1e-9)), 'nan'),
+  {r('contribution', 'amount', 6)} FROM ranked_attr WHERE rk <= 12
+UNION ALL SELECT customer_id, 13, count(*) || ' other features', {r('sum(contribution)', 'amount', 6)} FROM ranked_attr
+  WHERE rk > 12 GROUP BY 1
+UNION ALL SELECT customer_id, 14, 'Prediction', {r(f'any_value({_BASE}) + sum(contribution)', 'amount', 6)}
   FROM attr, means GROUP BY 1"""
     ),
 )
 def ex_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(explain.waterfall(explained(spark, sf), 4), default=6)
+    return rounded(explain.waterfall(said(explained(spark, sf)), 12), default=6)
 
 
 def _label(f: str) -> str:
@@ -465,13 +500,13 @@ _CASE_LABEL = "CASE feature " + " ".join(f"WHEN '{f}' THEN '{_label(f)}'" for f
     "ex_sentence",
     _on_attr(
         f"""SELECT customer_id, CAST(rk AS INTEGER) AS position,
-  {_CASE_LABEL} || ' (' || coalesce(format('{{:g}}', value), 'nan') || ') is '
+  {_CASE_LABEL} || ' (' || coalesce(format('{{:g}}', round(value + {NUDGE}, 4) * (1 + 1e-9)), 'nan') || ') is '
     || CASE WHEN contribution > 0 THEN 'raising' ELSE 'lowering' END || ' this customer''s churn risk.' AS sentence
 FROM ranked_attr WHERE rk <= 5"""
     ),
 )
 def ex_sentence(spark: SparkSession, sf: str) -> DataFrame:
-    lists = explain.sentences(explained(spark, sf))
+    lists = explain.sentences(said(explained(spark, sf)))
     return lists.select("customer_id", F.posexplode("sentences").alias("p", "sentence")).select(
         "customer_id", (F.col("p") + 1).cast("int").alias("position"), "sentence"
     )

@@ -37,7 +37,7 @@ def run_training(
     output: str,
     rules: CleaningRules = CleaningRules(),
     n_trials: int = 50,
-    timeout: float = 600.0,
+    timeout: float | None = None,
     folds: int = 5,
     space: Mapping[str, tuple] = SEARCH_SPACE,
     default_params: Mapping[str, float] | None = None,

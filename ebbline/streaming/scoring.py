@@ -16,6 +16,7 @@ from ebbline.operators.validation import (
     validate_records,
 )
 from ebbline.schema import FEATURES
+from ebbline.session import write_table
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -60,6 +61,7 @@ def score_stream(
     files_per_trigger: int = 1000,
     once: bool = True,
     features: Sequence[str] = tuple(FEATURES),
+    max_batch_size: int = MAX_BATCH_SIZE,
 ) -> StreamingQuery:
     """Score parquet files as they arrive in ``source``.
 
@@ -73,7 +75,9 @@ def score_stream(
     )
 
     def run(rows: DataFrame, epoch: int) -> None:
-        scored, refused = score_records(rows, scorer, keys, batch, strict, features=features)
+        # Read once: both sinks, and the check of request batches, look at the written rows.
+        rows = write_table(rows, "micro_batch")
+        scored, refused = score_records(rows, scorer, keys, batch, strict, max_batch_size, features)
         scored.write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
         refused.write.mode("overwrite").parquet(f"{quarantine}/epoch={epoch}")
 
