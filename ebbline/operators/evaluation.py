@@ -57,8 +57,8 @@ def brier(scored: DataFrame) -> DataFrame:
 
 
 def by_score(scored: DataFrame) -> DataFrame:
-    """Distinct scores with their positives and negatives."""
-    return scored.groupBy("score").agg(
+    """Distinct scores with their positives and negatives; rows without a score take no part in any ranking."""
+    return scored.where(F.col("score").isNotNull()).groupBy("score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
 
@@ -152,7 +152,7 @@ def calibration(scored: DataFrame, n_bins: int = 10) -> DataFrame:
 
 def ranked_by_score(scored: DataFrame) -> DataFrame:
     """``rank`` by score descending (ties by customer id) plus totals of rows and positives."""
-    slim = scored.select("customer_id", F.col("label").cast("bigint").alias("label"), "score")
+    slim = scored.where(F.col("score").isNotNull()).select("customer_id", F.col("label").cast("bigint").alias("label"), "score")
     return with_running(
         slim, [desc("score"), asc("customer_id")], totals={"n_total": "*", "pos_total": "label"}
     )

@@ -81,3 +81,30 @@ def build_labels(
         .where(F.col("_first") <= snap)
         .select("customer_id", (1 - F.col("_bought")).cast("int").alias("churn"), "clv")
     )
+
+
+def labels_at(
+    lines: DataFrame,
+    snapshots: dict[str, SnapshotLike],
+    churn_days: int = 90,
+    value_days: int = 90,
+    check: bool = True,
+) -> DataFrame:
+    """``split, customer_id, churn, clv`` of several snapshots in one pass, without features.
+
+    One aggregate per customer with a pair of columns per snapshot: no line is copied.
+    """
+    check_label_days(churn_days, value_days)
+    require_columns(lines, FEATURE_INPUT_COLUMNS)
+    if check:
+        assert_label_window(lines, snapshots, max(churn_days, value_days))
+    date, aggs, rows = F.col("invoice_date"), [], []
+    for i, (name, snapshot) in enumerate(snapshots.items()):
+        snap = ts(snapshot)
+        bought = after_window(date, snap, churn_days) & F.col("invoice_id").isNotNull()
+        value = F.when(after_window(date, snap, value_days), revenue())
+        aggs += [F.max(F.when(bought, 1).otherwise(0)).alias(f"b{i}"), zero_if_null(F.sum(value)).alias(f"v{i}")]
+        own = F.struct(F.lit(name).alias("split"), (1 - F.col(f"b{i}")).cast("int").alias("churn"), F.col(f"v{i}").alias("clv"))
+        rows.append(F.when(F.col("_first") <= snap, own))
+    by_customer = lines.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(F.min("invoice_date").alias("_first"), *aggs)
+    return by_customer.select("customer_id", F.inline(F.array_compact(F.array(*rows)))).select("split", "customer_id", "churn", "clv")

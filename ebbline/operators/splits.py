@@ -28,11 +28,13 @@ def build_time_splits(
     churn_days: int = 90,
     value_days: int = 90,
     check: bool = True,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Features and labels of all snapshots in one frame with a ``split`` column."""
-    missing = [s for s in REQUIRED_SPLITS if s not in snapshots]
+    """Features and labels of all snapshots, or of those named in ``only``, in one frame with a ``split`` column."""
+    missing = [s for s in (*REQUIRED_SPLITS, *(only or ())) if s not in snapshots]
     if missing:
         raise ValueError(f"snapshots lack {missing}")
+    snapshots = {name: snapshots[name] for name in only or snapshots}
     check_label_days(churn_days, value_days)
     if check:
         assert_label_window(lines, snapshots, max(churn_days, value_days))

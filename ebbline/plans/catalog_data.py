@@ -425,7 +425,7 @@ def dq_ranges(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def dq_churnband(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(guards.churn_band(time_splits(spark, sf)), {"churn_rate": 6})
+    return rounded(guards.churn_band(labels.labels_at(txn(spark, sf), SNAPSHOTS)), {"churn_rate": 6})
 
 
 # --- derived columns -----------------------------------------------------------
@@ -706,7 +706,7 @@ FROM splits GROUP BY 1"""
     ),
 )
 def spl_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(splits.split_summary(time_splits(spark, sf)))
+    return rounded(splits.split_summary(labels.labels_at(txn(spark, sf), SNAPSHOTS)))
 
 
 @query(
@@ -714,7 +714,7 @@ def spl_summary(spark: SparkSession, sf: str) -> DataFrame:
     O.on_splits(f"SELECT customer_id, {O.feature_select(FEATURES)}, churn AS label FROM splits WHERE split = 'train'"),
 )
 def spl_xy(spark: SparkSession, sf: str) -> DataFrame:
-    train = time_splits(spark, sf).where("split = 'train'")
+    train = splits.build_time_splits(txn(spark, sf), SNAPSHOTS, only=["train"])
     return rounded(splits.prepare_xy(train, keep=["customer_id"]), O.FEATURE_DIGITS)
 
 
@@ -723,7 +723,7 @@ def spl_xy(spark: SparkSession, sf: str) -> DataFrame:
     O.on_splits(f"SELECT split, customer_id, {r('monetary')}, churn FROM splits WHERE split IN ('train', 'val')"),
 )
 def spl_concat(spark: SparkSession, sf: str) -> DataFrame:
-    both = splits.concat_splits(time_splits(spark, sf))
+    both = splits.concat_splits(splits.build_time_splits(txn(spark, sf), SNAPSHOTS, only=["train", "val"]))
     return rounded(both.select("split", "customer_id", "monetary", "churn"))
 
 

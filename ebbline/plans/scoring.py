@@ -40,7 +40,7 @@ def score_population(
 def score_held_out(
     lines: DataFrame, snapshots: dict[str, SnapshotLike], scorer: Scorer, split: str = "test"
 ) -> DataFrame:
-    """Held-out split with ids, labels and scores, aligned by key."""
-    held_out = build_time_splits(lines, snapshots).where(F.col("split") == split)
+    """Held-out split with ids, labels and scores, aligned by key; only its snapshot is built."""
+    held_out = build_time_splits(lines, snapshots, only=[split])
     scored = scorer(prepare_xy(held_out, keep=["customer_id"]))
     return scored.select("customer_id", "label", F.col("churn_probability").alias("score"), "spend_90d")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions.dates import SnapshotLike
-from ebbline.ml.cv import SEARCH_SPACE, best_trial, search
+from ebbline.ml.cv import CV_METRICS, SEARCH_SPACE, best_trial, cv_report, cv_summary, run_time_cv, search
 from ebbline.ml.models import ChurnPredictor, score_with, train_baseline, train_trees
 from ebbline.ml.trees import explain_trees, native_importance
 from ebbline.operators.cleaning import CleaningRules, clean
@@ -19,6 +20,7 @@ from ebbline.operators.splits import build_time_splits, concat_splits, prepare_x
 from ebbline.schema import FEATURES
 from ebbline.session import write_table
 from ebbline.sources import sinks
+from ebbline.sources.readers import latest_run
 
 
 @dataclass(frozen=True)
@@ -97,3 +99,34 @@ def run_training(
         f"{output}/runs",
     )
     return TrainingRun(predictor, metrics, importance, trials)
+
+
+def run_cv_pipeline(
+    xy: DataFrame,
+    run_id: str,
+    output: str,
+    folds: int = 5,
+    tree_params: Mapping[str, float] | None = None,
+    max_iter: int = 1000,
+    seed: int = 42,
+    parallelism: int = 2,
+) -> DataFrame:
+    """Cross-validate, compare with the latest single-split metrics under ``output``, persist both tables.
+
+    Returns the report (``model, metric, single_split, cv_mean, cv_std, delta``); without any
+    stored metrics the single-split columns are null.  ``cv_folds`` and ``cv_report`` are written
+    by run.
+    """
+    spark = xy.sparkSession
+    by_fold = run_time_cv(xy, folds, tree_params=tree_params, max_iter=max_iter, seed=seed, parallelism=parallelism)
+    single = None
+    try:
+        stored = latest_run(spark.read.parquet(f"{output}/metrics"))
+        model = F.when(F.col("model").isin("trees_tuned"), "trees").otherwise(F.col("model"))
+        single = stored.where(F.col("metric").isin(CV_METRICS)).select(model.alias("model"), "metric", "value")
+    except (AnalysisException, LookupError):
+        pass  # nothing stored yet
+    report = write_table(cv_report(cv_summary(by_fold), single), "cv_report")
+    sinks.append_rows(by_fold, run_id, f"{output}/cv_folds")
+    sinks.append_rows(report, run_id, f"{output}/cv_report")
+    return report

@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,7 @@ SETTINGS = {
 }
 
 _work_dirs: dict[str, str] = {}
+_scopes: dict[str, list[str]] = {}
 _shipped: set[str] = set()
 
 
@@ -39,6 +42,9 @@ def build_session(app: str = "ebbline", master: str | None = None, **conf: str)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        # Big shuffles start with many partitions; AQE merges the small ones.
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "2000")
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -66,10 +72,12 @@ def work_dir(spark: SparkSession) -> str:
     Local sessions without that setting get a temporary folder of their own;
     a cluster without it is refused, since executors share no local disk.
     """
+    app_id = spark.sparkContext.applicationId
+    if _scopes.get(app_id):
+        return _scopes[app_id][-1]
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    app_id = spark.sparkContext.applicationId
     if app_id not in _work_dirs:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
@@ -77,6 +85,24 @@ def work_dir(spark: SparkSession) -> str:
     return _work_dirs[app_id]
 
 
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written inside go to a folder of their own, which is removed at the end.
+
+    Results must have been written elsewhere by then.  For nightly runs: without it every run
+    leaves its intermediates in :func:`work_dir`.
+    """
+    app_id = spark.sparkContext.applicationId
+    folder = f"{work_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    _scopes.setdefault(app_id, []).append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes[app_id].remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet under :func:`work_dir` and read it back.
 

@@ -22,14 +22,13 @@ def write_result(df: DataFrame, path: str, file_type: str = "parquet", mode: str
 
 def append_metrics(metrics: DataFrame, run_id: str, run_ts: str, path: str) -> None:
     """Long metrics ``(model, metric, value)`` of one run, partitioned by ``run_id``; a rerun replaces its own."""
-    (
-        metrics.withColumn("run_id", F.lit(run_id))
-        .withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(path)
-    )
+    append_rows(metrics.withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz")), run_id, path)
+
+
+def append_rows(df: DataFrame, run_id: str, path: str) -> None:
+    """Rows of one run, partitioned by ``run_id``; a rerun replaces its own."""
+    rows = df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows.partitionBy("run_id").parquet(path)
 
 
 def append_run_info(spark: SparkSession, info: dict, path: str) -> None:

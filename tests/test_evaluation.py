@@ -66,6 +66,13 @@ def test_auc_against_all_pairs_and_symmetry(scored):
     assert ev.pr_points(df).count() == len(thresholds) + 1
 
 
+def test_rows_without_a_score_take_no_part_in_rankings(scored):
+    df = scored([1, 0, 1, 0, 1], [0.9, 0.4, 0.7, 0.1, 0.3])
+    more = df.unionByName(df.limit(2).withColumn("score", F.lit(None).cast("double")))
+    assert ev.auc_metrics(more).first() == ev.auc_metrics(df).first()
+    assert ev.ranked_by_score(more).count() == ev.ranked_by_score(df).count() == df.count()
+
+
 def test_single_class_gives_null(scored):
     assert one(ev.auc_metrics(scored([0, 0], [0.1, 0.2])))["roc_auc"] is None
 
@@ -168,8 +175,9 @@ def test_triage(population):
     assert pf.in_range(population, 4, 10).count() == 4 and pf.in_range(population).count() == 20
     top = pf.top_n(population, 5).collect()
     assert [r["customer_id"] for r in top] == [20, 19, 18, 17, 16] and len(top[0]) == 4
+    assert pf.top_n(population, 1).count() == 1 and pf.top_n(population, 1000).count() == 20
     with pytest.raises(ValueError):
-        pf.top_n(population, 4)
+        pf.top_n(population, 0)
     total = pf.filtered_total(population, F.col("customer_id") > 18).first()
     assert total["filtered"] == 78.0 and total["everything"] == 420.0
     levels = [r["risk_level"] for r in pf.with_risk_level(population).orderBy("customer_id").collect()]

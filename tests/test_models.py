@@ -255,7 +255,7 @@ def constant(df):
 
 
 def test_batches_are_all_or_nothing(records):
-    df = records([{}, {"frequency": -1.0}, {}, {}]).withColumn("batch_id", F.expr("int(substr(customer_id, 6)) div 2"))
+    df = records([{}, {"frequency": -1.0}, {}, {}]).withColumn("batch_id", F.expr("int(substr(customer_id, 8)) div 2"))
     good, refused = score_records(df, constant, ("batch_id", "customer_id"), "batch_id")
     assert sorted(r["customer_id"] for r in good.collect()) == ["record 2", "record 3"] and refused.count() == 2
     good, refused = score_records(df, constant, ("batch_id", "customer_id"), "batch_id", max_batch_size=1)

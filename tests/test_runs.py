@@ -11,7 +11,8 @@ from ebbline.ml.models import ChurnPredictor
 from ebbline.operators.cleaning import CleaningRules
 from ebbline.plans import testviews as V
 from ebbline.plans.scoring import score_population
-from ebbline.plans.training import run_training
+from ebbline.plans.tables import split_xy
+from ebbline.plans.training import run_cv_pipeline, run_training
 from ebbline.schema import FEATURES
 from ebbline.sources.readers import latest_run
 
@@ -40,3 +41,13 @@ def test_training_run_and_population(spark, tmp_path):
     assert scored.count() == scored.select("customer_id").distinct().count() > 100
     bad = scored.where(~F.col("churn_probability").between(0, 1) | F.col("revenue_at_risk").isNull())
     assert bad.count() == 0
+
+    few = {"tree_params": {"n_estimators": 2, "max_depth": 2}, "max_iter": 20, "folds": 2}
+    report = {(r.model, r.metric): r for r in run_cv_pipeline(split_xy(spark, SF, "train"), "r1", str(tmp_path), **few).collect()}
+    assert len(report) == 4 and all(r.single_split is not None for r in report.values())
+    stored = {(r.model, r.metric): r.value for r in run.metrics.collect()}
+    assert report["trees", "roc_auc"].single_split == stored["trees_tuned", "roc_auc"]
+    run_cv_pipeline(split_xy(spark, SF, "train"), "r1", str(tmp_path), **few)
+    assert spark.read.parquet(str(tmp_path / "cv_folds")).count() == 4
+    alone = run_cv_pipeline(split_xy(spark, SF, "train"), "r1", str(tmp_path / "new"), **few)
+    assert alone.where("single_split is not null").count() == 0
