@@ -32,9 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that are encoded by one run of the recursive query.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
+#: Rows that Spark hands to a task's Python at a time.
+BATCH_ROWS = "500"
 #: Pieces remembered by a task before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 LONG = 256
 
 CONTRACT = """
@@ -85,10 +87,7 @@ WITH RECURSIVE step(piece, pos, tok, nxt, ntok) USING KEY (piece, pos) AS (
 SELECT piece, list(tok ORDER BY pos) AS ids FROM step WHERE tok IS NOT NULL GROUP BY piece ORDER BY piece
 """
 
-DECODE = """
-WITH tokens AS (SELECT doc, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM coded)
-SELECT doc, list(bytes ORDER BY pos) AS parts FROM tokens JOIN vocab USING (id) GROUP BY doc
-"""
+DECODE = "SELECT doc, list(bytes ORDER BY pos) AS parts FROM coded JOIN vocab USING (id) GROUP BY doc"
 
 
 @dataclass(frozen=True)
@@ -121,7 +120,7 @@ class Vocabulary:
 
 
 def connect() -> duckdb.DuckDBPyConnection:
-    return duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
+    return duckdb.connect(config={"threads": 1, "memory_limit": "256MB"})
 
 
 class Pieces(dict):
@@ -196,7 +195,10 @@ class Decoder:
         self.con.execute("CREATE TABLE vocab AS SELECT * FROM tokens")
 
     def decode(self, ids: pa.Array) -> list[bytes]:
-        self.con.register("coded", pa.table({"doc": np.arange(len(ids), dtype=np.int32), "ids": ids}))
+        counts = np.asarray(pc.fill_null(pc.list_value_length(ids), 0))
+        flat = ids.flatten()
+        doc, pos = np.repeat(np.arange(len(ids), dtype=np.int32), counts), np.arange(len(flat), dtype=np.int32)
+        self.con.register("coded", pa.table({"doc": doc, "pos": pos, "id": flat}))
         out = [b""] * len(ids)
         for batch in self.con.sql(DECODE).to_arrow_table().to_batches():
             for doc, parts in zip(batch.column("doc").to_pylist(), batch.column("parts")):
@@ -225,6 +227,8 @@ def runs(sizes: np.ndarray, most: int) -> Iterator[slice]:
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``doc`` (all columns of ``docs``) and ``ids``, the token ids of doc.text."""
     rows = packed(docs)
+    # Encoder and decoder of a task hold a batch each: small ones keep an executor's memory low.
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
