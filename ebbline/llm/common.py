@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,12 @@ def release(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that nothing refers to any more; it does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def tagged(docs: DataFrame, name: str) -> DataFrame:
     """A written copy of ``docs`` as columns ``doc`` (all of its columns) and ``row`` (a number of the row's own).
 

@@ -1,15 +1,16 @@
 """A hidden Markov language model trained by Baum-Welch, and its exact likelihoods.
 
 Tokens are words and, after the last, one end.  The base model is a smoothed unigram over all
-training tokens.  In the hidden Markov model a state emits tokens that occur ``MIN_COUNT`` times
-or more with probabilities of its own, and all others through one rare class that it shares out
-as the base model does; a share ``MIXED`` of every state's emissions is the base model itself, so
-the probabilities of all token sequences add up to one.
-
-Documents are gathered into blocks of coded tokens, written once and bucketed by block.  Each
-block gets the corpus counts and the emissions of its own tokens by joins, so no vocabulary is
-broadcast or held whole anywhere.  Expected counts of a block are summed by token in a shuffle
-(one row per block and token at most).  The recursions run in NumPy over chunks of ``CHUNK``
+training tokens.  In the hidden Markov model a state emits frequent tokens, those that make up
+``SHARE`` of the training tokens or more, with probabilities of its own, and all others through
+one rare class that it shares out as the base model does; a share ``MIXED`` of every state's
+emissions is the base model itself, so the probabilities of all token sequences add up to one.
+
+Documents are gathered into blocks of coded tokens, written once and bucketed by block.  Counts
+are taken of all tokens in a shuffle, and each block gets those of its own tokens, so the
+vocabulary is never held whole anywhere.  There can be no more than 1 / ``SHARE`` frequent tokens
+at any size of the corpus: that bounds the model, which is what is broadcast.  Expected counts of
+a block are summed by token in a shuffle.  The recursions run in NumPy over chunks of ``CHUNK``
 tokens of many documents at once: a chunk's transfer matrix is the product of its steps, and
 chunks are chained per document, which is exact and keeps long documents from being slow.
 
@@ -32,21 +33,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import bucketed, held_out, release, save
+from ebbline.llm.common import bucketed, forget_shuffles, held_out, save
 
 STATES = 6
 ROUNDS = 3
-MIN_COUNT = 50
+#: A frequent token makes up this share of the training tokens, and has at least this count.
+SHARE = 1e-5
+MIN_COUNT = 5
 MIXED = 0.05
 TOP = 64
-BLOCK_TOKENS = 400_000
+#: Tokens of a block: fewer blocks share fewer tokens.  The recursions take ``PIECE_TOKENS`` at a time.
+BLOCK_TOKENS = 2_000_000
+PIECE_TOKENS = 250_000
 CHUNK = 64
 #: The end of a text; no word can be a line break.
 END = "\n"
 
 
 def blocks(docs: DataFrame, parts: int, held: int) -> DataFrame:
-    """Rows block, doc (all columns but the text), trains, lengths, codes (int32 of all tokens), vocab and its training counts."""
+    """Rows block, doc (all columns but the text), trains, lengths, codes (int32 of all tokens), words (how many different), vocab and its training counts."""
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc")
     rows = docs.select(doc, (~held_out(parts, held)).alias("trains"), F.col("text").alias("text"))
 
@@ -68,9 +73,9 @@ def blocks(docs: DataFrame, parts: int, held: int) -> DataFrame:
                 [
                     pa.array([first + made]), pa.array([own["doc"]], pa.list_(kind)), pa.array([own["trains"]], pa.list_(pa.bool_())),
                     pa.array([lengths], pa.list_(pa.int32())), pa.array([codes.tobytes()], pa.binary()),
-                    pa.array([words], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int64())),
+                    pa.array([len(words)]), pa.array([words], pa.list_(pa.string())), pa.array([counts], pa.list_(pa.int64())),
                 ],
-                ["block", "doc", "trains", "lengths", "codes", "vocab", "counts"],
+                ["block", "doc", "trains", "lengths", "codes", "words", "vocab", "counts"],
             )
 
         clear()
@@ -95,7 +100,7 @@ def blocks(docs: DataFrame, parts: int, held: int) -> DataFrame:
     kind = rows.schema["doc"].dataType.simpleString()
     made = rows.mapInArrow(
         run,
-        f"block long, doc array<{kind}>, trains array<boolean>, lengths array<int>, codes binary, vocab array<string>, counts array<bigint>",
+        f"block long, doc array<{kind}>, trains array<boolean>, lengths array<int>, codes binary, words long, vocab array<string>, counts array<bigint>",
     )
     return bucketed(made, "coded", "block")
 
@@ -104,7 +109,8 @@ def statistics(table: DataFrame) -> DataFrame:
     """block, id, token of every block's tokens, with the training count of the whole corpus; ``first`` once per token."""
     own = table.select("block", F.posexplode(F.arrays_zip("vocab", "counts")).alias("id", "x"))
     own = own.select("block", "id", F.col("x.vocab").alias("token"), F.col("x.counts").alias("own"))
-    same = Window.partitionBy("token")  # one row per block at most
+    # One row per block at most.  The hash only makes the sort cheaper.
+    same = Window.partitionBy(F.xxhash64("token"), "token")
     return own.select("block", "id", "token", F.sum("own").over(same).alias("count"), (F.min("block").over(same) == F.col("block")).alias("first"))
 
 
@@ -135,6 +141,8 @@ class Chain:
     total: np.ndarray
     rare: np.ndarray
     base: Base
+    #: Expected counts of the frequent tokens, by their number.
+    expected: np.ndarray | None = None
 
     def emissions(self, expected: np.ndarray, counts: np.ndarray, frequent: np.ndarray) -> np.ndarray:
         """P(token | state), a row per token; ``expected`` has the rows of the frequent ones."""
@@ -162,18 +170,23 @@ class Batch:
         self.at = self.first[self.doc] + 1 + self.no * CHUNK
         #: chunks of at least t + 1 tokens come first
         self.active = [int(np.searchsorted(-self.size, -t, side="left")) for t in range(CHUNK)]
+        self.steps = [self.at[:n] + t for t, n in enumerate(self.active) if n]
         by_no = np.argsort(self.no, kind="stable")
         self.rounds = np.split(by_no, np.cumsum(np.bincount(self.no))[:-1]) if len(doc) else []
 
-    def transfers(self, b: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def emitted(self, b: np.ndarray) -> list[np.ndarray]:
+        """Rows of ``b`` for each step, side by side in memory."""
+        return [b[at] for at in self.steps]
+
+    def transfers(self, emitted: list[np.ndarray], move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each chunk, the scaled product of its steps and the logarithm of the scale."""
         k = len(move)
         product = np.broadcast_to(np.eye(k), (len(self.doc), k, k)).copy()
         scale = np.zeros(len(self.doc))
-        for t, n in enumerate(self.active):
-            if not n:
-                break
-            step = (product[:n].reshape(-1, k) @ move).reshape(n, k, k) * b[self.at[:n] + t][:, None, :]
+        for t, own in enumerate(emitted):
+            n = len(own)
+            step = (product[:n].reshape(-1, k) @ move).reshape(n, k, k)
+            step *= own[:, None, :]
             if t % 8 == 7:
                 top = step.max(axis=(1, 2))
                 step /= top[:, None, None]
@@ -213,13 +226,14 @@ class Batch:
 
 def likelihoods(b: np.ndarray, lengths: np.ndarray, chain: Chain) -> np.ndarray:
     batch = Batch(lengths)
-    return batch.forward(b, chain.start, *batch.transfers(b, chain.move))[0]
+    return batch.forward(b, chain.start, *batch.transfers(batch.emitted(b), chain.move))[0]
 
 
 def expectations(b: np.ndarray, lengths: np.ndarray, chain: Chain) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior state shares of every token, expected moves, and expected first states."""
     batch = Batch(lengths)
-    product, scale = batch.transfers(b, chain.move)
+    emitted = batch.emitted(b)
+    product, scale = batch.transfers(emitted, chain.move)
     _, before, _ = batch.forward(b, chain.start, product, scale)
     after, beta_first = batch.backward(product, len(lengths))
     gamma = np.empty_like(b)
@@ -227,18 +241,15 @@ def expectations(b: np.ndarray, lengths: np.ndarray, chain: Chain) -> tuple[np.n
     gamma[batch.first] = first / first.sum(axis=1)[:, None]
     moves = np.zeros_like(chain.move)
     alphas = [before]
-    for t, n in enumerate(batch.active):
-        if not n:
-            break
-        now = (alphas[-1][:n] @ chain.move) * b[batch.at[:n] + t]
+    for own in emitted:
+        now = (alphas[-1][: len(own)] @ chain.move) * own
         alphas.append(now / now.sum(axis=1)[:, None])
     beta = after
     for t in range(len(alphas) - 2, -1, -1):
-        n = batch.active[t]
-        emitted = b[batch.at[:n] + t]
-        weighted = emitted * beta[:n]
+        n = len(emitted[t])
+        weighted = emitted[t] * beta[:n]
         own = alphas[t + 1] * beta[:n]
-        gamma[batch.at[:n] + t] = own / own.sum(axis=1)[:, None]
+        gamma[batch.steps[t]] = own / own.sum(axis=1)[:, None]
         past = alphas[t][:n]
         back = weighted @ chain.move.T
         norm = (past * back).sum(axis=1)
@@ -283,12 +294,24 @@ def of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(name)[i] for name in batch.schema.names}
 
 
-def places(block: dict, top: list[str]) -> np.ndarray:
-    found = pc.index_in(block["vocab"].values, value_set=pa.array(top, pa.string()))
-    return np.asarray(pc.fill_null(found, -1))
+def places(block: dict, top: list[int]) -> np.ndarray:
+    """For each code of the block the place of its token number in ``top``, or -1."""
+    out = np.full(block["words"].as_py(), -1)
+    if block["frequent"].is_valid:
+        found = pc.index_in(block["numbers"].values, value_set=pa.array(top, pa.int64()))
+        out[np.asarray(block["frequent"].values)] = np.asarray(pc.fill_null(found, -1))
+    return out
+
+
+def pieces(codes: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes and lengths of neighbouring documents, about ``PIECE_TOKENS`` at a time."""
+    ends = np.cumsum(lengths)
+    part = (ends - 1) // PIECE_TOKENS if len(ends) else ends
+    for rows in np.split(np.arange(len(lengths)), np.flatnonzero(np.diff(part)) + 1) if len(ends) else []:
+        yield codes[ends[rows[0]] - lengths[rows[0]] : ends[rows[-1]]], lengths[rows]
 
 
-def shared_use(table: DataFrame, top: list[str]) -> np.ndarray:
+def shared_use(table: DataFrame, top: list[int]) -> np.ndarray:
     """In how many training documents two of the top words occur."""
     n = len(top)
 
@@ -300,7 +323,7 @@ def shared_use(table: DataFrame, top: list[str]) -> np.ndarray:
             total += use.T @ use
         yield pa.RecordBatch.from_arrays([pa.array(range(n * n), pa.int64()), pa.array(total.ravel())], ["i", "x"])
 
-    rows = table.select("codes", "lengths", "trains", "vocab").mapInArrow(run, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+    rows = table.select("codes", "lengths", "trains", "words", "frequent", "numbers").mapInArrow(run, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
     out = np.zeros(n * n)
     for row in rows:
         out[row.i] = row.x
@@ -308,38 +331,39 @@ def shared_use(table: DataFrame, top: list[str]) -> np.ndarray:
 
 
 def sums(rows: DataFrame, states: int) -> DataFrame:
-    """Add up the arrays ``x`` of rows with the same kind and token."""
+    """Add up the arrays ``x`` of rows with the same kind and token number."""
     parts = [F.sum(F.col("x")[k]).alias(f"x{k}") for k in range(states)]
-    return rows.groupBy("kind", "token").agg(*parts).select("kind", "token", F.array(*[f"x{k}" for k in range(states)]).alias("x"))
+    return rows.groupBy("kind", "number").agg(*parts).select("kind", "number", F.array(*[f"x{k}" for k in range(states)]).alias("x"))
 
 
-COUNTED = "kind string, token string, x array<double>"
+COUNTED = "kind string, number long, x array<double>"
 
 
-def counted(tokens: pa.Array, x: np.ndarray, others: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """Rows of COUNTED: a token's expected counts by state, and rows of other kinds without a token."""
-    kinds = ["token"] * len(tokens) + list(others)
-    values = np.concatenate([x, *[v[None, :] for v in others.values()]])
+def expected_rows(block: dict, by_code: np.ndarray, moves: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+    """Rows of COUNTED for a block: expected counts of its frequent tokens by state, and totals, moves and starts."""
+    frequent, numbers = listed(block, "frequent"), listed(block, "numbers")
+    total = by_code.sum(axis=0)
+    own = by_code[frequent]
+    others = {"total": total, "rare": total - own.sum(axis=0), "start": start} | {f"move{i}": row for i, row in enumerate(moves)}
+    values = np.concatenate([own, *[v[None, :] for v in others.values()]])
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(kinds, pa.string()), pa.array([*tokens.to_pylist(), *[None] * len(others)], pa.string()),
+            pa.array(["token"] * len(own) + list(others), pa.string()), pa.array([*numbers.tolist(), *[None] * len(others)], pa.int64()),
             pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), values.shape[1]).cast(pa.list_(pa.float64())),
         ],
-        ["kind", "token", "x"],
+        ["kind", "number", "x"],
     )
 
 
-def expected_rows(block: dict, codes: np.ndarray, gamma: np.ndarray, moves: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
-    size = len(block["vocab"].values)
-    by_code = np.stack([np.bincount(codes, weights=gamma[:, k], minlength=size) for k in range(gamma.shape[1])], axis=1)
-    frequent = np.asarray(block["frequent"].values) if block["frequent"].is_valid else np.empty(0, dtype=np.int64)
-    total = by_code.sum(axis=0)
-    own = by_code[frequent]
-    others = {"total": total, "rare": total - own.sum(axis=0), "start": start} | {f"move{i}": row for i, row in enumerate(moves)}
-    return counted(block["vocab"].values.take(pa.array(frequent, pa.int64())), own, others)
+def listed(block: dict, name: str) -> np.ndarray:
+    return np.asarray(block[name].values) if block[name].is_valid else np.empty(0, dtype=np.int64)
+
 
+def by_code(codes: np.ndarray, gamma: np.ndarray, size: int) -> np.ndarray:
+    return np.stack([np.bincount(codes, weights=gamma[:, k], minlength=size) for k in range(gamma.shape[1])], axis=1)
 
-def first_counts(table: DataFrame, top: list[str], group: np.ndarray, states: int) -> DataFrame:
+
+def first_counts(table: DataFrame, top: list[int], group: np.ndarray, states: int) -> DataFrame:
     """Counts as if each training document were in the one state whose words it uses most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,11 +374,11 @@ def first_counts(table: DataFrame, top: list[str], group: np.ndarray, states: in
             if not len(lengths):
                 continue
             state = (usage(codes, lengths, places(block, top), len(top)) @ sums_of).argmax(axis=1) if len(top) else np.zeros(len(lengths), dtype=int)
-            gamma = np.eye(states)[np.repeat(state, lengths)]
+            counts = np.bincount(codes * states + np.repeat(state, lengths), minlength=block["words"].as_py() * states)
             steps = np.bincount(state, weights=lengths - 1.0, minlength=states)
-            yield expected_rows(block, codes, gamma, np.diag(steps), np.bincount(state, minlength=states).astype(float))
+            yield expected_rows(block, counts.reshape(-1, states).astype(float), np.diag(steps), np.bincount(state, minlength=states).astype(float))
 
-    return sums(table.select("codes", "lengths", "trains", "vocab", "frequent").mapInArrow(run, COUNTED), states)
+    return sums(table.select("codes", "lengths", "trains", "words", "frequent", "numbers").mapInArrow(run, COUNTED), states)
 
 
 def next_counts(table: DataFrame, chain: Chain) -> DataFrame:
@@ -364,20 +388,23 @@ def next_counts(table: DataFrame, chain: Chain) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in of_blocks(batches):
-            codes, lengths = arrays(block, True)
-            if len(lengths):
-                b = emissions_of(block, shared.value, None)[codes]
-                yield expected_rows(block, codes, *expectations(b, lengths, shared.value))
+            emitted = emissions_of(block, shared.value, None)
+            counts, moves, start = np.zeros_like(emitted), np.zeros((states, states)), np.zeros(states)
+            for codes, lengths in pieces(*arrays(block, True)):
+                gamma, own_moves, own_start = expectations(emitted[codes], lengths, shared.value)
+                counts += by_code(codes, gamma, len(counts))
+                moves += own_moves
+                start += own_start
+            yield expected_rows(block, counts, moves, start)
 
-    return sums(table.select("codes", "lengths", "trains", "vocab", "frequent", "known", "x").mapInArrow(run, COUNTED), states)
+    return sums(table.select("codes", "lengths", "trains", "words", "frequent", "numbers", "known").mapInArrow(run, COUNTED), states)
 
 
 def emissions_of(block: dict, chain: Chain, counts: np.ndarray | None) -> np.ndarray:
     """P(token | state) for a block's tokens.  Without ``counts`` rare ones get their class: the same for a posterior."""
-    size = len(block["vocab"].values)
-    frequent = np.asarray(block["frequent"].values) if block["frequent"].is_valid else np.empty(0, dtype=np.int64)
-    known = np.asarray(block["known"].values) if block["frequent"].is_valid else np.empty(0, dtype=np.int64)
-    expected = np.asarray(block["x"].values.flatten()).reshape(len(frequent), -1) if len(frequent) else np.zeros((0, len(chain.start)))
+    size = block["words"].as_py()
+    frequent, known = listed(block, "frequent"), listed(block, "known")
+    expected = chain.expected[listed(block, "numbers")]
     if counts is None:
         counts = np.zeros(size)
         counts[frequent] = known
@@ -385,71 +412,70 @@ def emissions_of(block: dict, chain: Chain, counts: np.ndarray | None) -> np.nda
 
 
 def chain_of(rows: DataFrame, base: Base, states: int) -> Chain:
-    """The few rows without a token as a chain; a little smoothing keeps every move possible."""
-    found = {r.kind: np.array(r.x) for r in rows.where("kind <> 'token'").select("kind", "x").collect()}
-    zero = np.zeros(states)
+    """Summed counts as a chain, at most 1 / SHARE rows; a little smoothing keeps every move possible."""
+    table = rows.toPandas()
+    zero, expected = np.zeros(states), np.zeros((base.frequent, states))
+    tokens = table[table["kind"] == "token"]
+    if len(tokens):
+        expected[tokens["number"].to_numpy().astype(int)] = np.stack(tokens["x"].to_list())
+    found = {kind: np.array(x) for kind, x in zip(table["kind"], table["x"]) if kind != "token"}
     start = found.get("start", zero) + 0.1
     move = np.array([found.get(f"move{i}", zero) for i in range(states)])
     move += 1e-4 * move.sum(axis=1, keepdims=True) + 0.1
-    return Chain(start / start.sum(), move / move.sum(axis=1, keepdims=True), found.get("total", zero), found.get("rare", zero), base)
+    total, rare = found.get("total", zero), found.get("rare", zero)
+    return Chain(start / start.sum(), move / move.sum(axis=1, keepdims=True), total, rare, base, expected)
 
 
-def with_frequent(table: DataFrame, frequent: DataFrame, expected: DataFrame | None) -> DataFrame:
-    """Blocks with the codes (``frequent``) and counts (``known``) of their frequent tokens, and ``x``, their expected counts."""
-    rows = frequent
-    item = F.struct("id", "count")
-    if expected is not None:
-        rows = frequent.join(expected.where("kind = 'token'").select("token", "x").hint("merge"), "token")
-        item = F.struct("id", "count", "x")
-    # At most the block's own tokens.
-    listed = rows.groupBy("block").agg(F.collect_list(item).alias("own"))
-    fields = [F.col("own.id").cast("array<bigint>").alias("frequent"), F.col("own.count").alias("known")]
-    if expected is not None:
-        fields.append(F.col("own.x").alias("x"))
-    return table.join(listed.select("block", *fields).hint("merge"), "block", "left")
+def with_frequent(table: DataFrame, tokens: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Blocks with their frequent tokens: codes ``frequent``, ``numbers``, counts ``known``; written bucketed, so passes shuffle nothing."""
+    # ``numbered`` has at most 1 / SHARE rows.
+    rows = tokens.join(F.broadcast(numbered), "token")
+    own = rows.groupBy("block").agg(F.collect_list(F.struct("id", "count", "number")).alias("own"))
+    fields = [F.col("own.id").cast("array<bigint>").alias("frequent"), F.col("own.count").alias("known"), F.col("own.number").alias("numbers")]
+    return table.join(bucketed(own.select("block", *fields), "frequent", "block").hint("merge"), "block", "left")
 
 
-def score(docs: DataFrame, parts: int = 5, held: int = 1, states: int = STATES, rounds: int = ROUNDS, min_count: int = MIN_COUNT) -> DataFrame:
+def score(docs: DataFrame, parts: int = 5, held: int = 1, states: int = STATES, rounds: int = ROUNDS, min_count: int = MIN_COUNT, share: float = SHARE) -> DataFrame:
     """``doc`` (all columns of ``docs`` but the text), trains, n_tokens, n_known, train_tokens, base_score and score (log10)."""
     table = blocks(docs, parts, held)
     tokens = save(statistics(table), "tokens")
-    often = F.col("count") >= min_count
-    sizes = tokens.where("first and count > 0").agg(
-        F.sum("count"), F.count(F.lit(1)), F.sum(F.when(often, F.col("count"))), F.count(F.when(often, 1))
-    ).first()
-    base = Base(*(int(x or 0) for x in sizes))
-    frequent = save(tokens.where(often).select("block", "id", "token", "count"), "frequent")
-    top = tokens.where((F.col("token") != END) & F.col("first") & (F.col("count") > 0)).orderBy(F.desc("count"), "token").limit(TOP)
-    top = [r.token for r in top.select("token").collect()]
-    group = groups(shared_use(table, top), states) if top else np.zeros(0, dtype=int)
-    expected = save(first_counts(with_frequent(table, frequent, None), top, group, states), "expected")
-    chain = chain_of(expected, base, states)
+    seen = tokens.where("first and count > 0")
+    n, v = (int(x or 0) for x in seen.agg(F.sum("count"), F.count(F.lit(1))).first())
+    often = seen.where(F.col("count") >= max(min_count, share * n)).orderBy(F.desc("count"), "token").select("token", "count")
+    often = often.limit(int(1 / share) + 1).toPandas()  # no more than that can reach the share
+    base = Base(n, v, int(often["count"].sum()), len(often))
+    numbered = docs.sparkSession.createDataFrame(
+        [(t, i) for i, t in enumerate(often["token"])], "token string, number long"
+    )
+    top = [i for i, t in enumerate(often["token"]) if t != END][:TOP]
+    ready = with_frequent(table, tokens.select("block", "id", "count", "token"), numbered)
+    group = groups(shared_use(ready, top), states) if top else np.zeros(0, dtype=int)
+    chain = chain_of(first_counts(ready, top, group, states), base, states)
     for _ in range(rounds):
-        after = save(next_counts(with_frequent(table, frequent, expected), chain), "expected")
-        chain = chain_of(after, base, states)
-        release(expected)
-        expected = after
-    counts = tokens.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("id", "count"))).alias("all"))
-    whole = with_frequent(table, frequent, expected).join(counts.select("block", F.col("all.count").alias("all")).hint("merge"), "block")
+        chain = chain_of(next_counts(ready, chain), base, states)
+        forget_shuffles(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(chain)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in of_blocks(batches):
-            codes, lengths = arrays(block, False)
-            counts = np.asarray(block["all"].values)
-            plain = np.log10(shared.value.base.probability(counts))
-            b = emissions_of(block, shared.value, counts)[codes]
-            at = np.cumsum(lengths) - lengths
-            yield pa.RecordBatch.from_arrays(
-                [
-                    block["doc"].values, block["trains"].values, pa.array(lengths), pa.array(np.add.reduceat((counts > 0)[codes].astype(np.int64), at)),
-                    pa.array(np.add.reduceat(plain[codes], at)), pa.array(likelihoods(b, lengths, shared.value) / np.log(10)),
-                ],
-                ["doc", "trains", "n_tokens", "n_known", "base_score", "score"],
-            )
-
-    kind = table.schema["doc"].dataType.elementType.simpleString()
-    columns = ["doc", "trains", "lengths", "codes", "vocab", "frequent", "known", "x", "all"]
-    return whole.select(*columns).mapInArrow(
-        run, f"doc {kind}, trains boolean, n_tokens long, n_known long, base_score double, score double"
+    columns = ["block", "doc", "trains", "lengths", "codes", "words", "frequent", "known", "numbers"]
+    kind = table.schema["doc"].dataType.elementType
+
+    def scored(blocks: pa.Table, counted: pa.Table) -> pa.Table:
+        """Documents of one block; ``counted`` has the code and corpus count of each of its tokens."""
+        block = next(of_blocks(blocks.combine_chunks().to_batches()))
+        codes, lengths = arrays(block, False)
+        counts = np.empty(block["words"].as_py())
+        counts[counted.column("id").to_numpy()] = counted.column("count").to_numpy()
+        plain = np.log10(shared.value.base.probability(counts))
+        emitted = emissions_of(block, shared.value, counts)
+        at = np.cumsum(lengths) - lengths
+        known, base_scores = np.add.reduceat((counts > 0)[codes].astype(np.int64), at), np.add.reduceat(plain[codes], at)
+        logs = np.concatenate([likelihoods(emitted[own], sizes, shared.value) for own, sizes in pieces(codes, lengths)])
+        scores = logs / np.log(10)
+        return pa.table(
+            [block["doc"].values, block["trains"].values, pa.array(lengths), pa.array(known), pa.array(base_scores), pa.array(scores)],
+            ["doc", "trains", "n_tokens", "n_known", "base_score", "score"],
+        )
+
+    grouped = ready.select(*columns).groupBy("block").cogroup(tokens.select("block", "id", "count").groupBy("block"))
+    return grouped.applyInArrow(
+        scored, f"doc {kind.simpleString()}, trains boolean, n_tokens long, n_known long, base_score double, score double"
     ).withColumn("train_tokens", F.lit(base.tokens).cast("long"))
