@@ -16,6 +16,7 @@ items are each reported.  Rows with the same or a null doc_id are judged apart.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -150,7 +151,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shar
     kind = pa.struct(
         [("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), ("items", pa.list_(pa.int64()))]
     )
-    for items in list(shards(benchmark, shard_words)) or [[]]:
+    runs = shards(benchmark, shard_words)
+    # One shard at a time; without items a pass still counts the words.
+    for items in chain([next(runs, [])], runs):
         shared = spark.sparkContext.broadcast(Automaton(items, window))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
