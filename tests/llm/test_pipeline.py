@@ -8,9 +8,9 @@ import corpus_pipeline
 import duckdb
 import public_tokenizers
 import pytest
-import test_decontam
 import tiktoken
-from test_simhash import classes, slow
+from llm import test_decontam
+from llm.test_simhash import classes, slow
 
 from ebbline.llm import bpe, nbsvm, queries
 from ebbline.llm.common import save, table
