@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions.numbers import no_nan
@@ -63,7 +63,7 @@ def _narrow(numbers: DataFrame, state: list[Interval], found: dict[tuple[str, in
             for n, s in zip(names, state)
         ]
     )
-    probes = F.array(*[F.lit(i / EDGES) for i in range(EDGES + 1)])
+    probes = _doubles([i / EDGES for i in range(EDGES + 1)])
     shape = inside.agg(
         *[F.approx_count_distinct(n).alias(f"d{n}") for n in names],
         *[F.min(n).alias(f"l{n}") for n in names],
@@ -86,7 +86,7 @@ def _narrow(numbers: DataFrame, state: list[Interval], found: dict[tuple[str, in
             splitsArray=[[*e, math.inf] for e in edges.values()], handleInvalid="keep",
         ).transform(inside)
         at_edge = {
-            n: (F.col(f"b{n}"), F.col(n) == F.element_at(F.array(*[F.lit(x) for x in e]), F.col(f"b{n}").cast("int") + 1))
+            n: (F.col(f"b{n}"), F.col(n) == F.element_at(_doubles(e), F.col(f"b{n}").cast("int") + 1))
             for n, e in edges.items()
         }
         bins = _counted(cut, at_edge)
@@ -101,6 +101,11 @@ def _narrow(numbers: DataFrame, state: list[Interval], found: dict[tuple[str, in
     return left
 
 
+def _doubles(values: Sequence[float]) -> Column:
+    """An array of constants, as one text: a thousand separate literals are a thousand calls to the JVM."""
+    return F.expr(f"array({', '.join(f'{float(x)!r}D' for x in values)})")
+
+
 def _counted(df: DataFrame, keys: dict) -> dict[str, list[tuple]]:
     """For each name the different pairs of its two keys, with their counts; rows without a value do not count."""
     out: dict[str, list[tuple]] = {n: [] for n in keys}
