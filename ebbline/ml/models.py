@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.ml import prep
-from ebbline.ml.smote import oversample
+from ebbline.ml.smote import fit_rows, oversample
 from ebbline.operators.validation import check_fields, nullable_features
 from ebbline.schema import FEATURES
 from ebbline.session import work_dir, write_table
@@ -47,7 +47,9 @@ def train_baseline(
     scaling = prep.fit_scaling(filled, features)
     rows = prep.scale(filled, scaling)
     if use_smote:
-        rows = oversample(rows, features, key, seed=seed)
+        # The fit takes a bounded number of each class by the hash of the key.
+        zero, one = (fit_rows(rows.where(F.col("label") == c), key, seed=seed) for c in (0, 1))
+        rows = oversample(zero.union(one), features, key, seed=seed)
     rows, n = _fit_input(rows.select(*features, F.col("label").cast("double").alias("label")))
     transformer, assembler, columns = prep.preparation(medians, scaling)
     vectors = assembler.transform(

@@ -1,9 +1,9 @@
-"""Oversampling the smaller class with exact nearest neighbours, on a bounded set of labelled rows.
+"""Oversampling the smaller class with exact nearest neighbours.
 
-Neighbours in tens of dimensions cannot be pruned, so comparing all rows of a large class is
-quadratic.  Oversampling therefore works on at most ``MAX_FIT_ROWS`` labelled rows, those with the
-least hash of the key: a documented bound of this fit, the same at any size and for any
-partitioning.  Class weights (:func:`ebbline.ml.prep.with_class_weight`) balance without it.
+Neighbours in tens of dimensions cannot be pruned, so all rows of the smaller class are compared,
+in blocks over the tasks.  A fit may bound its rows by :func:`fit_rows`, those with the least hash
+of the key: the same for any partitioning.  Class weights
+(:func:`ebbline.ml.prep.with_class_weight`) balance without it.
 """
 
 from __future__ import annotations
@@ -12,15 +12,17 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.ordering import asc, with_running
 from ebbline.ml.prep import class_counts
 from ebbline.session import write_table
 
-#: Labelled rows that an oversampled fit uses.
+#: Rows of each class that an oversampled fit uses.
 MAX_FIT_ROWS = 20_000
+#: Rows that a task compares with others at a time.
+BLOCK_ROWS = 20_000
 QUERY_ROWS = 256
 SYNTHETIC = "synthetic"
 
@@ -42,15 +44,16 @@ def oversample(
     label: str = "label",
     k: int = 5,
     seed: int = 42,
-    max_rows: int = MAX_FIT_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """:func:`fit_rows` of ``train`` plus synthetic rows of the smaller class, up to parity.
+    """All rows of ``train`` (or :func:`fit_rows` of it) plus synthetic rows of the smaller class, up to parity.
 
     A synthetic row lies between a base row and one of its ``min(k, n - 1)``
     nearest rows of the same class.  Nothing is added when a class is absent, the
     smaller one has fewer than two rows, or the classes are equal.
     """
-    chosen = write_table(fit_rows(train.select(key, *features, label), key, max_rows, seed), "labelled")
+    own = train.select(key, *features, label)
+    chosen = write_table(own if max_rows is None else fit_rows(own, key, max_rows, seed), "labelled")
     base = chosen.withColumn(SYNTHETIC, F.lit(False))
     counts = class_counts(chosen, label)
     minority = min(counts, key=lambda c: counts[c])
@@ -93,11 +96,12 @@ def oversample(
 def nearest(rows: DataFrame, queries: DataFrame, features: Sequence[str], key: str, k: int) -> DataFrame:
     """Exact ``k`` nearest other rows of each query: ``key, neighbor, distance, rank``; ties by the neighbour's key.
 
-    ``rows`` are the bounded rows of a fit and go to all tasks; the queries are spread over them.
+    Up to ``BLOCK_ROWS`` rows go to all tasks, with the queries spread over them; more are compared in blocks.
     """
+    n = rows.count()
+    if n > BLOCK_ROWS:
+        return nearest_blocked(rows, queries, features, key, k, n)
     points = rows.select(key, *features).toPandas().sort_values(key)
-    if len(points) > MAX_FIT_ROWS:
-        raise ValueError(f"at most {MAX_FIT_ROWS} rows; take fit_rows() first")
     names = list(features)
     shared = rows.sparkSession.sparkContext.broadcast((points[key].to_numpy(), points[names].to_numpy(dtype=float)))
 
@@ -113,13 +117,41 @@ def nearest(rows: DataFrame, queries: DataFrame, features: Sequence[str], key: s
     return asked.mapInPandas(search, f"{key} {kind}, neighbor {kind}, distance double, rank int")
 
 
+def nearest_blocked(rows: DataFrame, queries: DataFrame, features: Sequence[str], key: str, k: int, n: int) -> DataFrame:
+    """:func:`nearest` with every block of queries against every block of rows; no task holds more than two blocks."""
+    names, parts = list(features), -(-n // BLOCK_ROWS)
+    kind = dict(rows.dtypes)[key]
+    block = F.pmod(F.xxhash64(key), F.lit(parts))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
+    asked = rows.join(queries.select(key), key, "left_semi").select(key, *names, block.alias("_own"), every.alias("_other"))
+    # Aliases set the two sides apart.
+    others = rows.select(*[F.col(c).alias(c) for c in (key, *names)], block.alias("_other"), every.alias("_own"))
+
+    def search(own: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+        points = points.sort_values(key)
+        ids, x = points[key].to_numpy(), points[names].to_numpy(dtype=float)
+        found = [
+            closest(part[key].to_numpy(), part[names].to_numpy(dtype=float), ids, x, key, k)
+            for part in (own.iloc[at : at + QUERY_ROWS] for at in range(0, len(own), QUERY_ROWS))
+        ]
+        return pd.concat(found) if found else closest(ids[:0], x[:0], ids, x, key, k)
+
+    schema = f"{key} {kind}, neighbor {kind}, distance double, rank int"
+    found = asked.groupBy("_own", "_other").cogroup(others.groupBy("_own", "_other")).applyInPandas(search, schema)
+    # At most k rows of each block for a query.
+    rank = F.row_number().over(Window.partitionBy(key).orderBy("distance", "neighbor"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
 def closest(own: np.ndarray, a: np.ndarray, ids: np.ndarray, b: np.ndarray, key: str, k: int) -> pd.DataFrame:
     """The ``k`` nearest of the points ``b`` (in the order of their ids) for each query, itself excluded."""
     square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
     square[own[:, None] == ids[None, :]] = np.inf
-    take = min(k, len(ids) - 1)
     out = []
-    for i, line in enumerate(square if take else square[:0]):
+    for i, line in enumerate(square):
+        take = min(k, int(np.isfinite(line).sum()))
+        if not take:
+            continue
         # The dot form cancels digits: take a little more than k, then measure by differences.
         reach = np.partition(line, take - 1)[take - 1]
         near = np.flatnonzero(line <= reach + 1e-9 * (1 + abs(reach)))

@@ -118,7 +118,7 @@ def ml_smote(spark: SparkSession, sf: str) -> DataFrame:
 )
 def ml_smote_near(spark: SparkSession, sf: str) -> DataFrame:
     """Distances of the five nearest rows of the smaller class, for each of its rows."""
-    rows = smote.fit_rows(scaled_train(spark, sf), "customer_id")
+    rows = scaled_train(spark, sf)
     counts = prep.class_counts(rows)
     minority = rows.where(F.col("label") == min(counts, key=lambda c: (counts[c], -c)))
     near = smote.nearest(minority, minority.select("customer_id"), FEATURES, "customer_id", 5)

@@ -86,6 +86,24 @@ def test_oversampling_takes_a_bounded_sample_by_key(spark):
     assert counts[0] == counts[1]
 
 
+def test_oversampling_keeps_every_row_above_the_bound_of_a_fit(spark, monkeypatch):
+    monkeypatch.setattr(smote, "MAX_FIT_ROWS", 50)
+    n = 20_500
+    df = spark.range(n).selectExpr("id as customer_id", "cast(id as double) as a", "cast(id % 100 = 0 as int) as label")
+    out = smote.oversample(df, ["a"])
+    assert out.where("not synthetic").count() == n
+    assert {r["count"] for r in out.groupBy("label").count().collect()} == {n - n // 100}
+
+
+def test_blocked_neighbours_are_exact(spark, monkeypatch):
+    x = np.random.default_rng(3).normal(size=(90, 2))
+    rows = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id long, a double, b double")
+    want = sorted(map(tuple, smote.nearest(rows, rows.select("id"), ["a", "b"], "id", 4).collect()))
+    monkeypatch.setattr(smote, "BLOCK_ROWS", 12, raising=False)
+    got = sorted(map(tuple, smote.nearest(rows, rows.select("id"), ["a", "b"], "id", 4).collect()))
+    assert got == want and len(got) == 360
+
+
 def test_medians_ignore_nan_and_fill_it(spark):
     df = spark.createDataFrame([(i, float(i) if i else float("nan"), i % 2) for i in range(11)], "customer_id long, a double, label int")
     medians = prep.fit_medians(df, ["a"])
