@@ -1,16 +1,16 @@
 """A hidden Markov language model trained by Baum-Welch, and its exact likelihoods.
 
 Tokens are words and, after the last, one end.  The base model is a smoothed unigram over all
-training tokens.  In the hidden Markov model a state emits frequent tokens, those that make up
-``SHARE`` of the training tokens or more, with probabilities of its own, and all others through
+training tokens.  In the hidden Markov model a state emits frequent tokens, those that occur
+``MIN_COUNT`` times or more in training, with probabilities of its own, and all others through
 one rare class that it shares out as the base model does; a share ``MIXED`` of every state's
 emissions is the base model itself, so the probabilities of all token sequences add up to one.
 
 Documents are gathered into blocks of coded tokens, written once and bucketed by block.  Counts
 are taken of all tokens in a shuffle, and each block gets those of its own tokens, so the
-vocabulary is never held whole anywhere.  There can be no more than 1 / ``SHARE`` frequent tokens
-at any size of the corpus: that bounds the model, which is what is broadcast.  Expected counts of
-a block are summed by token in a shuffle.  The recursions run in NumPy over chunks of ``CHUNK``
+vocabulary is never held whole anywhere.  Expected counts of a block are summed by token in a
+shuffle, and each round gives every block the rows of its own tokens; only starts, moves and totals
+are broadcast.  Tables of earlier rounds are released.  The recursions run in NumPy over chunks of ``CHUNK``
 tokens of many documents at once: a chunk's transfer matrix is the product of its steps, and
 chunks are chained per document, which is exact and keeps long documents from being slow.
 
@@ -33,12 +33,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import bucketed, forget_shuffles, held_out, save
+from ebbline.llm.common import bucketed, forget_shuffles, held_out, release, save
 
 STATES = 6
 ROUNDS = 3
-#: A frequent token makes up this share of the training tokens, and has at least this count.
-SHARE = 1e-5
+#: A frequent token occurs this often in training, at any size of the corpus.
 MIN_COUNT = 5
 MIXED = 0.05
 TOP = 64
@@ -141,8 +140,6 @@ class Chain:
     total: np.ndarray
     rare: np.ndarray
     base: Base
-    #: Expected counts of the frequent tokens, by their number.
-    expected: np.ndarray | None = None
 
     def emissions(self, expected: np.ndarray, counts: np.ndarray, frequent: np.ndarray) -> np.ndarray:
         """P(token | state), a row per token; ``expected`` has the rows of the frequent ones."""
@@ -397,14 +394,15 @@ def next_counts(table: DataFrame, chain: Chain) -> DataFrame:
                 start += own_start
             yield expected_rows(block, counts, moves, start)
 
-    return sums(table.select("codes", "lengths", "trains", "words", "frequent", "numbers", "known").mapInArrow(run, COUNTED), states)
+    return sums(table.select("codes", "lengths", "trains", "words", "frequent", "numbers", "known", "x").mapInArrow(run, COUNTED), states)
 
 
 def emissions_of(block: dict, chain: Chain, counts: np.ndarray | None) -> np.ndarray:
     """P(token | state) for a block's tokens.  Without ``counts`` rare ones get their class: the same for a posterior."""
     size = block["words"].as_py()
     frequent, known = listed(block, "frequent"), listed(block, "known")
-    expected = chain.expected[listed(block, "numbers")]
+    # A row per frequent token, in the order of ``frequent``.
+    expected = np.asarray(block["x"].values.flatten()).reshape(-1, len(chain.start)) if block["x"].is_valid else np.empty((0, len(chain.start)))
     if counts is None:
         counts = np.zeros(size)
         counts[frequent] = known
@@ -412,50 +410,60 @@ def emissions_of(block: dict, chain: Chain, counts: np.ndarray | None) -> np.nda
 
 
 def chain_of(rows: DataFrame, base: Base, states: int) -> Chain:
-    """Summed counts as a chain, at most 1 / SHARE rows; a little smoothing keeps every move possible."""
-    table = rows.toPandas()
-    zero, expected = np.zeros(states), np.zeros((base.frequent, states))
-    tokens = table[table["kind"] == "token"]
-    if len(tokens):
-        expected[tokens["number"].to_numpy().astype(int)] = np.stack(tokens["x"].to_list())
-    found = {kind: np.array(x) for kind, x in zip(table["kind"], table["x"]) if kind != "token"}
+    """Summed counts as a chain, without those of single tokens; a little smoothing keeps every move possible."""
+    zero = np.zeros(states)
+    found = {row.kind: np.array(row.x) for row in rows.where("kind <> 'token'").collect()}
     start = found.get("start", zero) + 0.1
     move = np.array([found.get(f"move{i}", zero) for i in range(states)])
     move += 1e-4 * move.sum(axis=1, keepdims=True) + 0.1
     total, rare = found.get("total", zero), found.get("rare", zero)
-    return Chain(start / start.sum(), move / move.sum(axis=1, keepdims=True), total, rare, base, expected)
+    return Chain(start / start.sum(), move / move.sum(axis=1, keepdims=True), total, rare, base)
 
 
 def with_frequent(table: DataFrame, tokens: DataFrame, numbered: DataFrame) -> DataFrame:
     """Blocks with their frequent tokens: codes ``frequent``, ``numbers``, counts ``known``; written bucketed, so passes shuffle nothing."""
-    # ``numbered`` has at most 1 / SHARE rows.
-    rows = tokens.join(F.broadcast(numbered), "token")
+    rows = tokens.join(numbered, "token")
     own = rows.groupBy("block").agg(F.collect_list(F.struct("id", "count", "number")).alias("own"))
     fields = [F.col("own.id").cast("array<bigint>").alias("frequent"), F.col("own.count").alias("known"), F.col("own.number").alias("numbers")]
     return table.join(bucketed(own.select("block", *fields), "frequent", "block").hint("merge"), "block", "left")
 
 
-def score(docs: DataFrame, parts: int = 5, held: int = 1, states: int = STATES, rounds: int = ROUNDS, min_count: int = MIN_COUNT, share: float = SHARE) -> DataFrame:
+def with_expected(ready: DataFrame, numbers: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Blocks with ``x``, the summed counts of their frequent tokens in the order of ``frequent``; and the table that holds them.
+
+    A block without training documents may hold tokens that none counted: every frequent one was counted somewhere.
+    """
+    found = numbers.join(rows.where("kind = 'token'").select("number", "x"), "number")
+    own = found.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("own"))
+    held = bucketed(own.select("block", F.col("own.x").alias("x")), "expected", "block")
+    return ready.join(held.hint("merge"), "block", "left"), held
+
+
+def score(docs: DataFrame, parts: int = 5, held: int = 1, states: int = STATES, rounds: int = ROUNDS, min_count: int = MIN_COUNT) -> DataFrame:
     """``doc`` (all columns of ``docs`` but the text), trains, n_tokens, n_known, train_tokens, base_score and score (log10)."""
     table = blocks(docs, parts, held)
     tokens = save(statistics(table), "tokens")
     seen = tokens.where("first and count > 0")
     n, v = (int(x or 0) for x in seen.agg(F.sum("count"), F.count(F.lit(1))).first())
-    often = seen.where(F.col("count") >= max(min_count, share * n)).orderBy(F.desc("count"), "token").select("token", "count")
-    often = often.limit(int(1 / share) + 1).toPandas()  # no more than that can reach the share
-    base = Base(n, v, int(often["count"].sum()), len(often))
-    numbered = docs.sparkSession.createDataFrame(
-        [(t, i) for i, t in enumerate(often["token"])], "token string, number long"
-    )
-    top = [i for i, t in enumerate(often["token"]) if t != END][:TOP]
-    ready = with_frequent(table, tokens.select("block", "id", "count", "token"), numbered)
+    often = save(seen.where(F.col("count") >= min_count).select("token", "count", F.monotonically_increasing_id().alias("number")), "often")
+    base = Base(n, v, *(int(x or 0) for x in often.agg(F.sum("count"), F.count(F.lit(1))).first()))
+    top = [r.number for r in often.where(F.col("token") != END).orderBy(F.desc("count"), "token").limit(TOP).collect()]
+    ready = with_frequent(table, tokens.select("block", "id", "count", "token"), often.select("token", "number"))
+    numbers = ready.select("block", F.posexplode("numbers").alias("at", "number"))
     group = groups(shared_use(ready, top), states) if top else np.zeros(0, dtype=int)
-    chain = chain_of(first_counts(ready, top, group, states), base, states)
+    summed = save(first_counts(ready, top, group, states), "summed")
+    chain = chain_of(summed, base, states)
+    whole, held_rows = with_expected(ready, numbers, summed)
     for _ in range(rounds):
-        chain = chain_of(next_counts(ready, chain), base, states)
+        after = save(next_counts(whole, chain), "summed")
+        chain = chain_of(after, base, states)
+        release(summed)
+        release(held_rows)
+        summed = after
+        whole, held_rows = with_expected(ready, numbers, summed)
         forget_shuffles(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(chain)
-    columns = ["block", "doc", "trains", "lengths", "codes", "words", "frequent", "known", "numbers"]
+    columns = ["block", "doc", "trains", "lengths", "codes", "words", "frequent", "known", "numbers", "x"]
     kind = table.schema["doc"].dataType.elementType
 
     def scored(blocks: pa.Table, counted: pa.Table) -> pa.Table:
@@ -475,7 +483,7 @@ def score(docs: DataFrame, parts: int = 5, held: int = 1, states: int = STATES,
             ["doc", "trains", "n_tokens", "n_known", "base_score", "score"],
         )
 
-    grouped = ready.select(*columns).groupBy("block").cogroup(tokens.select("block", "id", "count").groupBy("block"))
+    grouped = whole.select(*columns).groupBy("block").cogroup(tokens.select("block", "id", "count").groupBy("block"))
     return grouped.applyInArrow(
         scored, f"doc {kind.simpleString()}, trains boolean, n_tokens long, n_known long, base_score double, score double"
     ).withColumn("train_tokens", F.lit(base.tokens).cast("long"))

@@ -97,3 +97,14 @@ def test_empty_table_and_no_training_rows(spark, no_docs):
     lone = spark.createDataFrame([(None, "some words"), (None, None)], "doc_id long, text string")
     got = hmm.score(lone).collect()
     assert sorted(r.n_tokens for r in got) == [1, 3] and all(abs(r.score) < 1e-9 and r.base_score == 0 for r in got)
+
+
+def test_a_token_stays_frequent_however_large_the_corpus(spark, monkeypatch):
+    """1,200,000 training tokens: five occurrences are far less than 1e-5 of them."""
+    seen = {}
+    first = hmm.chain_of
+    monkeypatch.setattr(hmm, "chain_of", lambda rows, base, states: seen.update(base=base) or first(rows, base, states))
+    rows = [(i, "common " * 3_000) for i in range(500)] + [(i, f"seldom w{i}") for i in range(500, 510)]
+    got = hmm.score(spark.createDataFrame(rows, "doc_id long, text string"), rounds=1).collect()
+    assert len(got) == 510 and all(np.isfinite(r.score) for r in got)
+    assert seen["base"].tokens > 1_100_000 and seen["base"].frequent == 3
