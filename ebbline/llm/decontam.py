@@ -9,8 +9,9 @@ The items are cut into shards of at most ``SHARD_WORDS`` words, so what is sent
 has a fixed bound; documents pass through one shard after the other in the same tasks, without a
 join or a shuffle.
 
-Nulls and edges: a null text has no words.  Items without words (or null) have no window; equal
-items are each reported.  Rows with the same or a null doc_id are judged apart.
+Nulls and edges: a null text has no words.  Items without words (or a null text) have no window;
+equal items are each reported.  With ``unnamed``, items with a null item_id hit words like others and
+are reported together as one null item.  Rows with the same or a null doc_id are judged apart.
 """
 
 from __future__ import annotations
@@ -124,11 +125,12 @@ class Automaton:
         return spans, items
 
 
-def shards(benchmark: DataFrame, words: int = SHARD_WORDS) -> Iterator[list[tuple[int, bytes]]]:
+def shards(benchmark: DataFrame, words: int = SHARD_WORDS, unnamed: bool = False) -> Iterator[list[tuple[int | None, bytes]]]:
     """Items in runs of at most ``words`` words (or one longer item), in the order of item_id."""
-    held: list[tuple[int, bytes]] = []
+    held: list[tuple[int | None, bytes]] = []
+    own = benchmark if unnamed else benchmark.where("item_id is not null")
     size = 0
-    for item, text in benchmark.where("item_id is not null and text is not null").select("item_id", "text").orderBy("item_id").toLocalIterator():
+    for item, text in own.where("text is not null").select("item_id", "text").orderBy("item_id").toLocalIterator():
         raw = text.encode()
         n = len(words_of(raw))
         if held and size + n > words:
@@ -143,7 +145,7 @@ def shards(benchmark: DataFrame, words: int = SHARD_WORDS) -> Iterator[list[tupl
 FOUND = "struct<n_words:bigint,spans:array<struct<start:bigint,stop:bigint>>,items:array<bigint>>"
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, unnamed: bool = False) -> DataFrame:
     """``doc`` (all columns of ``docs``) and ``found``: n_words, merged word spans [start, stop) and sorted items."""
     spark = docs.sparkSession
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
@@ -151,7 +153,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shar
     kind = pa.struct(
         [("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), ("items", pa.list_(pa.int64()))]
     )
-    runs = shards(benchmark, shard_words)
+    runs = shards(benchmark, shard_words, unnamed)
     # One shard at a time; without items a pass still counts the words.
     for items in chain([next(runs, [])], runs):
         shared = spark.sparkContext.broadcast(Automaton(items, window))
@@ -166,7 +168,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shar
                     if old:
                         spans = merged([*spans, *((s["start"], s["stop"]) for s in old["spans"])])
                         found |= set(old["items"])
-                    rows.append({"n_words": len(words), "spans": [{"start": a, "stop": b} for a, b in spans], "items": sorted(found)})
+                    rows.append({"n_words": len(words), "spans": [{"start": a, "stop": b} for a, b in spans], "items": sorted(found, key=lambda i: (i is None, i or 0))})
                 yield pa.RecordBatch.from_arrays([docs_column, pa.array(rows, kind)], ["doc", "found"])
 
         out = out.mapInArrow(run, out.schema)
@@ -220,7 +222,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, c
     A document of which more than ``coverage`` of the words are hit is removed.  ``n_chars``, if
     there is one, follows the text.  Documents without a hit stay as they are.
     """
-    found = find_leaks(docs, benchmark, window)
+    found = find_leaks(docs, benchmark, window, unnamed=True)
     few = F.coalesce(hit_words(F.col("found.spans")) <= F.lit(coverage) * F.col("found.n_words"), F.lit(True))
     text = F.when(F.size("found.spans") > 0, without_spans(F.col("doc.text"), F.col("found.spans"))).otherwise(F.col("doc.text"))
     clean = found.where(few).withColumn("_text", text)

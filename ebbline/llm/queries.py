@@ -69,7 +69,7 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 """)
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontam.find_leaks(texts(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    found = decontam.find_leaks(texts(spark, sf_dir), table(spark, sf_dir, "benchmark"), unnamed=True)
     items = F.array_join(F.array_sort(F.col("found.items").cast("array<string>")), ",")
     n_hit = decontam.hit_words(F.col("found.spans"))
     return found.select(

@@ -70,3 +70,23 @@ def test_leaks_go_and_clean_documents_stay(spark):
     assert sorted(got) == [1, 3, 4, 5]
     assert got[1].text == f"{around}. ! {around}" and got[1].n_chars == len(got[1].text)
     assert got[3].text == around and got[3].n_chars == 9 and got[4].text is None and got[5].text == ""
+
+
+@pytest.mark.parametrize("name", ["op3_decontamination"])
+def test_items_without_id_count_as_in_the_sql(spark, docs, tmp_path, name):
+    import duckdb
+
+    from ebbline.llm import queries
+
+    cases = [(r.doc_id, r.text) for r in docs.collect() if r.doc_id not in (None, 2)] + MORE
+    spark.createDataFrame(cases, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    items = [*BENCH, (None, "jumps over the lazy"), (None, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.sql(queries.ORACLES[name])
+    got = queries.QUERIES[name](spark, str(tmp_path)).select(*want.columns).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want.fetchall(), key=repr)
+    kept = decontam.decontaminate(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.createDataFrame(items, "item_id long, text string"))
+    assert not kept.where("text like '%lorem ipsum%'").count()
