@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, decontam, exact, hmm, langid, nbsvm, sharding, simhash, substring, urls
+from ebbline.llm import bpe, decontam, exact, hmm, langid, merkle, nbsvm, sharding, simhash, substring, trie, urls
 from ebbline.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,98 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     return urls.judge(pages, rules).select("page.page_id", "host", "path", "rule", "verdict")
+
+
+def crc_sql(value: str) -> str:
+    """CRC-32 of a number's decimal digits in SQL: of each digit a row to add, then eight steps of the polynomial."""
+    digits = f"flatten(list_transform(string_split({value}::VARCHAR, ''), lambda c: list_concat([ord(c)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1])))"
+    step = "CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END"
+    return f"xor(list_reduce({digits}, lambda a, b: {step}, 4294967295::BIGINT), 4294967295)"
+
+
+def field_sql(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+LEAF_SQL = "sha256(" + " || ".join(map(field_sql, ("doc_id", "source", "lang", "n_chars{0}", "text"))) + ")"
+
+
+@query(f"""
+WITH RECURSIVE e AS (
+  SELECT doc_id, lang, {LEAF_SQL.format("")} AS leaf,
+         CASE WHEN {crc_sql("doc_id")} % 7 = 0 THEN {LEAF_SQL.format(" + 1")} ELSE {LEAF_SQL.format("")} END AS given
+  FROM documents
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM e
+), t(lang, n, lvl, i, h) AS (
+  SELECT lang, n, 0, i, leaf FROM r
+  UNION ALL
+  SELECT lang, n, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1 << lvl GROUP BY lang, n, lvl, i // 2
+), s AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM t WHERE n <= 1 << lvl
+), u(n, lvl, i, h) AS (
+  SELECT n, 0, i, h FROM s
+  UNION ALL
+  SELECT n, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE n > 1 << lvl GROUP BY n, lvl, i // 2
+), top AS (SELECT h AS root FROM u WHERE n <= 1 << lvl),
+a AS (SELECT r.*, s.h AS subroot, s.i AS si, s.n AS sn, root FROM r JOIN s ON r.lang IS NOT DISTINCT FROM s.lang, top),
+f(doc_id, i, lang, lvl, now, path) AS (
+  SELECT doc_id, i, lang, 0, given, '' FROM a
+  UNION ALL
+  SELECT f.doc_id, f.i, f.lang, f.lvl + 1, CASE WHEN f.i >> f.lvl & 1 = 0 THEN sha256(now || coalesce(t.h, '')) ELSE sha256(t.h || now) END, path || coalesce(t.h, '')
+  FROM f JOIN a ON a.lang IS NOT DISTINCT FROM f.lang AND a.i = f.i
+  LEFT JOIN t ON t.lang IS NOT DISTINCT FROM f.lang AND t.lvl = f.lvl AND t.i = xor(f.i >> f.lvl, 1) WHERE a.n > 1 << f.lvl
+), g(lang, i, si, lvl, now, path) AS (
+  SELECT a.lang, a.i, si, 0, now, path FROM f JOIN a ON a.lang IS NOT DISTINCT FROM f.lang AND a.i = f.i WHERE a.n <= 1 << lvl
+  UNION ALL
+  SELECT g.lang, g.i, g.si, g.lvl + 1, CASE WHEN g.si >> g.lvl & 1 = 0 THEN sha256(now || coalesce(u.h, '')) ELSE sha256(u.h || now) END, path || coalesce(u.h, '')
+  FROM g LEFT JOIN u ON u.lvl = g.lvl AND u.i = xor(g.si >> g.lvl, 1) WHERE (SELECT count(*) FROM s) > 1 << g.lvl
+)
+SELECT a.doc_id, leaf, subroot, root, sha256(path) AS proof_sha256, now AS folded_root, now = root AS verified
+FROM a JOIN g ON a.lang IS NOT DISTINCT FROM g.lang AND a.i = g.i AND sn <= 1 << lvl
+""")
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+
+    def leaf(n_chars):
+        return merkle.row_digest([F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")])
+
+    tampers = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    rows = docs.select("doc_id", "lang", leaf(F.col("n_chars")).alias("digest"), F.when(tampers, leaf(F.col("n_chars") + 1)).alias("other"))
+    proven = merkle.manifest(rows, "lang", "doc_id")
+    again = merkle.folded(F.coalesce("row.other", "row.digest"), F.col("path"))
+    return proven.select("row.doc_id", F.col("row.digest").alias("leaf"), "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"), again.alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root")
+    )
+
+
+@query(f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (SELECT conv_id, {crc_sql("conv_id")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+m AS (
+  SELECT c.conv_id, 0 AS own, k, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 AND k <= h
+  UNION ALL SELECT c.conv_id, 1, k, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND k > h
+), p AS (
+  SELECT conv_id, row_number() OVER w AS d, text, string_agg(sha256(strlen(role) || ':' || role || text), '' ORDER BY own, k) OVER w AS path FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY own, k)
+), a AS (
+  SELECT conv_id, d, sha256(path) AS path, sha256(lag(path) OVER (PARTITION BY conv_id ORDER BY d)) AS above, strlen(text) AS size FROM p
+  UNION ALL SELECT conv_id, 0, '', NULL, 0 FROM c
+), e AS (SELECT conv_id, arg_max(path, d) AS path FROM a GROUP BY conv_id),
+n AS (
+  SELECT path, any_value(d) AS depth, any_value(CASE WHEN d = 1 THEN '' ELSE above END) AS above, min(conv_id) AS least, count(*) AS n, any_value(size) AS size FROM a GROUP BY path
+), x AS (SELECT above AS path, count(*) AS children FROM n WHERE depth > 0 GROUP BY above),
+g AS (SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ends FROM e GROUP BY path),
+under AS (SELECT DISTINCT u.path AS top, a.path FROM a JOIN a u ON u.conv_id = a.conv_id AND u.d <= a.d),
+s AS (
+  SELECT top AS path, count(*) FILTER (children IS NULL) AS leaves, sum((n - 1) * size)::BIGINT AS saved FROM under JOIN n USING (path) LEFT JOIN x USING (path) GROUP BY top
+)
+SELECT n.least AS conv_id, n.depth::BIGINT AS depth, b.least AS parent_conv_id, n.n AS n_convs, coalesce(children, 0) AS n_children,
+       leaves AS n_leaves, saved AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM n LEFT JOIN n b ON n.above = b.path LEFT JOIN x ON x.path = n.path LEFT JOIN g ON g.path = n.path JOIN s ON s.path = n.path
+""")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return trie.trie(trie.rebuilt(rows))
