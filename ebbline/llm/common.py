@@ -63,6 +63,11 @@ def tagged(docs: DataFrame, name: str) -> DataFrame:
     return save(docs.select(packed, F.monotonically_increasing_id().alias("row")), name)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """A written copy of ``docs`` with ``row``, a number of the row's own."""
+    return save(docs.withColumn("row", F.monotonically_increasing_id()), name)
+
+
 def held_out(parts: int, held: int) -> Column:
     """Whether a row is held out: crc32 of doc_id as text, modulo ``parts``; a null doc_id is held out."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == held, F.lit(True))

@@ -1,19 +1,21 @@
-"""Near-duplicate documents: exact Jaccard similarity of five-word shingles, 0.8 or more.
-
-Fingerprints of 64 bits cannot carry this rule: pairs at 0.8 differ in up to 14 bits, which would
-take 2**15 covering masks.  Candidates come from prefixes instead.  All shingles have one global
-order; two sets of similarity 4/5 share at least 4/5 of either, so they share a shingle among the
-first n - ceil(4n/5) + 1 of each.  No pair is missed.  The order puts common shingles last, as
-counted in a part of the documents: it decides the amount of work only, never the result.
-
-Documents that share a prefix shingle are a bucket.  In each turn every bucket compares one hub
-with its other members, and the hub leaves: all its pairs are decided.  Members of one component
-need no more comparisons, so a large group of near copies takes a few turns, not all pairs.  Once
-buckets are small, or after ``TURNS`` turns, the pairs left are all compared.  A pair is linked only
-by the exact similarity of its words.
-
-Nulls and edges: words are separated by ASCII blanks, letters compared in ASCII lower case; fewer
-than five words are one shingle.  Texts without words (or null) are alike.
+"""Near-duplicate documents by SimHash: five-word fingerprints, covering masks, exact Jaccard similarity of 0.8 or more.
+
+A text's fingerprint has 64 bits, the majority of the hashes of its different five-word shingles.
+Texts of similarity 0.8 differ in about 10 of them, far more than operator 1's three, so the masks
+are laid out anew: each half of 32 bits gets the 63 words of the Reed-Muller code of order one as
+masks, of 16 bits each (one of 32).  Any five positions of a half are missed by some mask, so a
+pair with at most five differing bits in either half, hence every pair within eleven, agrees under a mask.
+
+Texts with equal masked bits are a bucket.  Those that have nobody within ``RADIUS`` bits and of a
+size that could match leave it; buckets of more than ``SMALL`` keep all.  What is left goes through
+the blocks of :mod:`ebbline.llm.sigtree`: pairs of blocks, signatures, exact comparison of the sets.
+No pair is linked by its fingerprint alone, and no bucket compares all pairs.  A pair is missed if both
+halves differ in six bits or more and no mask happens to avoid them; README has the measured recall.
+
+With n texts a bucket holds n / 2**16 of them by chance, so beyond some ten million texts the halves
+should give way to longer masks on several fingerprints; that is not built.
+
+Nulls and edges: as in :mod:`ebbline.llm.sigtree`, but texts without words (or null) are alike.
 """
 
 from __future__ import annotations
@@ -25,155 +27,114 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import components, release, save, tagged
-from ebbline.llm.substring import Powers, Runs
-
-SHINGLE = 5
-#: Documents counted for the order of the shingles, and the shingles that are put last by it.
-COUNTED = 20_000
-COMMON = 100_000
-#: A bucket of at most LEAF members compares all pairs.
-LEAF = 16
-TURNS = 8
+from ebbline.llm import sigtree, simhash
+from ebbline.llm.common import components, forget_shuffles, save, tagged
+from ebbline.llm.substring import Powers
 
+HALF = 32
+RADIUS = 16
+#: Buckets up to this size drop texts that have nobody near.
+SMALL = 64
 
-def shingles(text: bytes | None) -> set[bytes]:
-    words = (text or b"").lower().split()
-    k = min(SHINGLE, len(words))
-    return {b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)}
 
+def masks() -> np.ndarray:
+    """63 masks of 32 bits: position i has the vector (1, bits of i); mask v keeps those with odd inner product with v."""
+    return np.array([sum(1 << i for i in range(HALF) if ((HALF + i) & v).bit_count() & 1) for v in range(1, 2 * HALF)], dtype=np.uint64)
 
-def alike(a: set[bytes], b: set[bytes]) -> bool:
-    """Whether the Jaccard similarity is 4/5 or more; two empty sets are equal."""
-    both = len(a & b)
-    return 5 * both >= 4 * (len(a) + len(b) - both)
 
-
-def hashes(text: bytes | None, powers: Powers) -> np.ndarray:
-    """Different hashes of the shingles; a text without words has one of its own."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.zeros(1, dtype=np.int64)
-    return np.unique(Runs(b" ".join(words), powers).hashes(min(SHINGLE, len(words))).view(np.int64))
-
-
-def common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that occur most often in about COUNTED documents, sorted, and how often."""
+def fingerprints(texts: DataFrame) -> DataFrame:
+    """(row, text) -> row, fp."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            for text in batch.column("text").cast(pa.binary()):
-                yield pa.RecordBatch.from_arrays([pa.array(hashes(text.as_py(), powers))], ["key"])
-
-    part = max(1, rows.count() // COUNTED)
-    counted = rows.where(F.pmod(F.xxhash64("row"), F.lit(part)) == 0).select("text").mapInArrow(run, "key long")
-    often = counted.groupBy("key").count().where("count > 2").orderBy(F.desc("count"), "key").limit(COMMON).toPandas().sort_values("key")
-    return often["key"].to_numpy(dtype=np.int64), often["count"].to_numpy(dtype=np.int64)
+            found = [simhash.majority(sigtree.hashes(t.as_py(), powers).view(np.uint64)) for t in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(np.array(found, dtype=np.uint64).view(np.int64))], ["row", "fp"])
 
+    return texts.select("row", "text").mapInArrow(run, "row long, fp long")
 
-def prefix(own: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first n - ceil(4n/5) + 1 hashes in the global order."""
-    take = len(own) - -(-4 * len(own) // 5) + 1
-    if not len(keys):
-        return own[:take]
-    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-    return own[np.argsort(np.where(keys[at] == own, counts[at], 0), kind="stable")][:take]
 
-
-def prefixes(rows: DataFrame) -> DataFrame:
-    """(row, text) -> row, n (different shingles), key: a row for each prefix shingle."""
-    shared = rows.sparkSession.sparkContext.broadcast(common(rows))
+def keyed(entries: DataFrame) -> DataFrame:
+    """(place, n, fp) -> a row (key, place, n, fp) for each mask of each half; the key holds the mask and the masked bits."""
+    every = masks()
+    number = np.arange(2 * len(every), dtype=np.uint64) << np.uint64(HALF)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         for batch in batches:
-            numbers, sizes, found = np.asarray(batch.column("row")), [], []
-            for text in batch.column("text").cast(pa.binary()):
-                own = hashes(text.as_py(), powers)
-                sizes.append(len(own))
-                found.append(prefix(own, *shared.value))
-            lengths = [len(x) for x in found]
-            columns = np.repeat(numbers, lengths), np.repeat(np.array(sizes, dtype=np.int64), lengths)
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(np.concatenate(found) if found else np.empty(0, dtype=np.int64))], ["row", "n", "key"])
-
-    return rows.mapInArrow(run, "row long, n long, key long")
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                fp = np.asarray(part.column("fp")).view(np.uint64)
+                halves = fp & np.uint64((1 << HALF) - 1), fp >> np.uint64(HALF)
+                key = np.concatenate([half[:, None] & every for half in halves], axis=1) + number
+                columns = [key.ravel().view(np.int64), *[np.repeat(np.asarray(part.column(c)), key.shape[1]) for c in ("place", "n", "fp")]]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "place", "n", "fp"])
+
+    return entries.select("place", "n", "fp").mapInArrow(run, "key long, place long, n long, fp long")
+
+
+def company(key: np.ndarray, n: np.ndarray, fp: np.ndarray, radius: int, small: int) -> np.ndarray:
+    """Which rows, sorted by key, have another of the same key near them, or stand in a bucket of more than ``small``."""
+    first = np.concatenate(([True], key[1:] != key[:-1]))
+    bucket = np.cumsum(first) - 1
+    size = np.bincount(bucket)[bucket]
+    keep = size > small
+    for step in range(1, small):
+        at = np.flatnonzero((key[step:] == key[:-step]) & ~keep[step:])
+        if not len(at):
+            break
+        to = at + step
+        near = np.bitwise_count(fp[at] ^ fp[to]) <= radius
+        near &= 5 * np.minimum(n[at], n[to]) >= 4 * np.maximum(n[at], n[to])
+        found = np.zeros(len(key), dtype=bool)
+        found[at[near]] = found[to[near]] = True
+        keep |= found & (size <= small)
+    return keep
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs a, b whose texts are alike, word for word."""
+def gathered(keys: DataFrame, radius: int = RADIUS, small: int = SMALL) -> DataFrame:
+    """Rows (key, place, n) of the texts that have company under a mask."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, set()
-        for batch in batches:
-            keep = []
-            for left, right in zip(batch.column("left").cast(pa.binary()), batch.column("right").cast(pa.binary())):
-                # Pairs of one hub follow each other.
-                if left.as_py() != last or last is None:
-                    last = left.as_py()
-                    own = shingles(last)
-                keep.append(alike(own, shingles(right.as_py())))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    right = pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("right")), "b")
-    both = right.join(texts.select(F.col("row").alias("a"), F.col("text").alias("left")), "a")
-    return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
-
-
-def sized(a: str, b: str):
-    """Whether sets of these sizes can be alike."""
-    return (5 * F.least(a, b)) >= (4 * F.greatest(a, b))
-
-
-def links(rows: DataFrame, leaf: int = LEAF, turns: int = TURNS) -> DataFrame:
-    """(row, text) -> row, root: the components of alike texts, without texts that have no like."""
-    keys = save(prefixes(rows), "prefixes")
-    members = save(
-        keys.join(keys.groupBy("key").count().where("count > 1").select("key"), "key").withColumn("root", F.col("row")), "members"
-    )
-    release(keys)
-    texts = save(rows.join(save(members.select("row").distinct(), "sharing"), "row", "left_semi"), "texts")
-    found = None
-    for turn in range(turns + 1):
-        most = members.groupBy("key").count().agg(F.max("count")).first()[0] or 0
-        if not most:
-            break
-        last = most <= leaf or turn == turns
-        if last:
-            other = members.select("key", *[F.col(c).alias(f"_{c}") for c in ("row", "n", "root")])
-            pairs = members.join(other, "key").where("row < _row")
-        else:
-            # Which member it is depends on the row alone, so buckets of the same members agree.
-            order = F.xxhash64("row", F.lit(turn))
-            hubs = save(members.groupBy("key").agg(F.min_by(F.struct("row", "n", "root"), F.struct(order, "row")).alias("hub")), "hubs")
-            pairs = members.join(hubs.select("key", *[F.col(f"hub.{c}").alias(f"_{c}") for c in ("row", "n", "root")]), "key").where("row <> _row")
-        pairs = pairs.where((F.col("root") != F.col("_root")) & sized("n", "_n")).select(F.col("_row").alias("a"), F.col("row").alias("b"))
-        new = save(confirmed(save(pairs.distinct(), "pairs"), texts), "links")
-        found = new if found is None else found.union(new)
-        if last:
-            break
-        named = save(whole(components(found)), "roots")
-        left = members.join(hubs.select("key", F.col("hub.row").alias("hub")), "key").where("row <> hub").drop("hub", "root")
-        left = save(left.join(named, "row", "left").withColumn("root", F.coalesce("root", "row")), "left")
-        open_keys = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-        before, members = members, save(left.join(open_keys, "key").select(*members.columns), "members")
-        for old in (before, left, hubs, named):
-            release(old)
-    return whole(components(found)) if found is not None else members.select("row", "root")
+        held = [np.empty(0, dtype=np.int64) for _ in range(4)]
 
+        def kept(own: list[np.ndarray]) -> pa.RecordBatch:
+            keep = company(own[0], own[2], own[3].view(np.uint64), radius, small)
+            return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in own[:3]], ["key", "place", "n"])
 
-def whole(roots: DataFrame) -> DataFrame:
-    """Rows of :func:`components` with the roots themselves."""
-    own = roots.select(F.col("node").alias("row"), "root")
-    return own.union(roots.select(F.col("root").alias("row"), "root")).distinct()
+        for batch in batches:
+            held = [np.concatenate((x, np.asarray(c))) for x, c in zip(held, batch.columns)]
+            if not len(held[0]):
+                continue
+            # The last bucket waits for its rest; a very large one goes on in parts, which keep all.
+            cut = int(np.searchsorted(held[0], held[0][-1]))
+            if len(held[0]) - cut > 1 << 16:
+                cut = len(held[0]) - small
+            if cut:
+                yield kept([x[:cut] for x in held])
+                held = [x[cut:] for x in held]
+        if len(held[0]):
+            yield kept(held)
+
+    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, place long, n long")
+
+
+def grouped(rows: DataFrame) -> DataFrame:
+    """(row, doc_id, text) -> row, doc_id, component_id; doc_id may be any type that can be compared."""
+    texts = rows.select("row", "text")
+    sets = save(sigtree.described(texts, with_prefix=False).drop("prefix"), "sets")
+    reps = sigtree.entries(sets)
+    own = sets.where("n > 0").join(reps.select(F.col("rep").alias("row")), "row", "left_semi").drop("digest")
+    where = save(sigtree.placed(own.join(fingerprints(texts), "row")), "placed")
+    members = save(gathered(keyed(where)), "members")
+    forget_shuffles(rows.sparkSession)
+    roots = save(sigtree.whole(components(sigtree.links(members, where.drop("fp"), texts))), "roots")
+    return sigtree.grouped(rows, sets, roots, reps)
 
 
 def representatives(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the least doc_id, or the first row where ids are null or repeated."""
     rows = tagged(docs, "near")
-    roots = save(links(rows.select("row", F.col("doc.text").alias("text"))), "grouped")
-    ids = rows.select("row", F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("id"), "row").alias("id"))
-    owned = save(ids.join(roots, "row"), "owned")
-    least = save(owned.groupBy("root").agg(F.min("id").alias("least")), "least")
-    gone = owned.join(least, "root").where("id <> least").select("row")
+    ids = F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("id"), "row").alias("doc_id")
+    found = grouped(rows.select("row", ids, F.col("doc.text").alias("text")))
+    gone = save(found.where("doc_id <> component_id").select("row"), "gone")
     return rows.join(gone, "row", "left_anti").select("doc.*")

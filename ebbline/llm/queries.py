@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, decontam, exact, hmm, langid, merkle, nbsvm, sharding, simhash, substring, trie, urls
-from ebbline.llm.common import held_out, table
+from ebbline.llm import bpe, decontam, exact, hmm, langid, merkle, nbsvm, sharding, sigtree, simhash, substring, trie, urls
+from ebbline.llm.common import held_out, numbered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -264,3 +264,23 @@ FROM n LEFT JOIN n b ON n.above = b.path LEFT JOIN x ON x.path = n.path LEFT JOI
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return trie.trie(trie.rebuilt(rows))
+
+
+@query(r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(5, len(w)) - 1], ' ') AS g FROM d, unnest(range(1, (len(w) - least(5, len(w)) + 2)::BIGINT)) AS u(i) WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+), r AS (
+  WITH RECURSIVE t(doc_id, reached) AS (SELECT doc_id, doc_id FROM d UNION SELECT t.doc_id, e.b FROM t JOIN e ON e.a = t.reached)
+  SELECT doc_id, min(reached) AS component_id FROM t GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM r LEFT JOIN n USING (doc_id)
+""")
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = numbered(texts(spark, sf_dir), "texts")
+    return sigtree.classes(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")

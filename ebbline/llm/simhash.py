@@ -48,7 +48,11 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     k = min(shingle, len(words))
     of = xxhash.xxh64_intdigest
     spans = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist())
-    hashes = np.fromiter((of(joined[a:b], SEED) for a, b in spans), dtype=np.uint64, count=len(words) - k + 1)
+    return majority(np.fromiter((of(joined[a:b], SEED) for a, b in spans), dtype=np.uint64, count=len(words) - k + 1))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half the hashes."""
     counts = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
         bits = np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8), bitorder="little").view(np.uint64).reshape(-1, 8)
@@ -168,12 +172,3 @@ def grouped(prints: DataFrame, leaf: int = LEAF) -> DataFrame:
     least = save(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "roots")
     named = save(rooted.join(least, "root").select("fp", "component_id"), "named")
     return prints.join(named, "fp")
-
-
-def representatives(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: the one with the component's id, or the first row where ids are null or repeated."""
-    rows = tagged(docs, "near")
-    prints = fingerprints(rows.select(F.struct(F.col("doc.doc_id").alias("id"), "row").alias("doc_id"), F.col("doc.text").alias("text")))
-    groups = grouped(save(prints.select(F.col("doc_id.row").alias("row"), F.struct(F.col("doc_id.id").isNull().alias("none"), "doc_id.id", "doc_id.row").alias("doc_id"), "fp"), "fingerprints"))
-    keep = groups.where("doc_id = component_id").select("row")
-    return rows.join(keep, "row", "left_semi").select("doc.*")

@@ -48,7 +48,6 @@ def test_fingerprints_and_components_match_brute_force(docs, sample):
 
 def test_empty_table(no_docs):
     assert simhash.near_groups(no_docs.select("doc_id", "text")).collect() == []
-    assert simhash.representatives(no_docs).collect() == []
 
 
 def test_every_pair_within_three_bits_shares_a_bucket_at_every_depth():
@@ -82,13 +81,6 @@ def test_crowded_buckets_are_split_without_losing_a_link(spark):
     assert got == sorted((i, c) for i, _, c in classes(rows))
 
 
-def test_representatives_keep_one_row_of_each_group(docs):
-    kept = simhash.representatives(docs)
-    assert kept.columns == docs.columns
-    rows = [(i, slow(r.text)) for i, r in enumerate(docs.collect())]
-    assert kept.count() == len({c for _, _, c in classes(rows)})
-
-
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100)] + [(1000, 1000 + i) for i in range(1, 300)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
