@@ -34,7 +34,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word Jaccard similarity of 0.8 or more: the one with the least doc_id."""
+    """One document of each group that SimHash masks find and five-word Jaccard similarity of 0.8 or more links: the least doc_id."""
     ship(spark)
     return near.representatives(docs)
 
