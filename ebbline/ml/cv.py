@@ -1,22 +1,23 @@
-"""Forward-chaining cross-validation, its report, and a seeded parameter search."""
+"""Forward-chaining cross-validation, its report, and a guided parameter search."""
 
 from __future__ import annotations
 
 import math
 import random
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.functions.ordering import OrderKey, asc
-from ebbline.ml.models import TreeInput, fit_trees, score_with, train_baseline, tree_input
-from ebbline.ml.prep import VECTOR
-from ebbline.operators.evaluation import auc_metrics
+from ebbline.ml.boosting import BoostedTrees, Spec, Tree, TreeParams, fit_many, margins, quantile_edges, sigmoid
+from ebbline.ml.models import score_with, train_baseline
+from ebbline.operators.evaluation import auc_by, auc_metrics
 from ebbline.operators.splits import fold_classes, forward_folds, train_part, usable_folds, val_part
 from ebbline.schema import FEATURES
 from ebbline.session import write_table
@@ -48,42 +49,54 @@ def run_time_cv(
 
     Each fold trains on all rows before it; oversampling and class weights see
     its training part only.  Folds with one class in training are skipped.
-    Fits are distributed jobs; a few run at a time.
+    The trees of all folds are one fit over the whole table; baseline fits are
+    jobs of their own, a few at a time.
     """
     folds = make_folds(xy, k, order)
     sizes = {r["fold"]: (r["n_train"], r["n_val"]) for r in fold_classes(folds, k).collect()}
-
-    def run(task: tuple[str, int]) -> tuple:
-        name, fold = task
-        if name == "baseline":
-            model = train_baseline(train_part(folds, fold), features, use_smote, seed, max_iter)
-            scored = score_with(model, val_part(folds, fold), "score")
-        else:
-            scored = Fold.prepare(folds, fold, features).scored(tree_params, seed)
-        row = auc_metrics(scored.select("label", "score")).first()
-        return (name, fold, row["roc_auc"], row["pr_auc"], *sizes[fold])
-
-    tasks = [(m, f) for m in models for f in usable_folds(folds, k)]
-    with ThreadPoolExecutor(parallelism) as pool:
-        rows = list(pool.map(run, tasks))
+    usable = usable_folds(folds, k)
+
+    def baseline(fold: int) -> tuple:
+        model = train_baseline(train_part(folds, fold), features, use_smote, seed, max_iter)
+        row = auc_metrics(score_with(model, val_part(folds, fold), "score").select("label", "score")).first()
+        return ("baseline", fold, row["roc_auc"], row["pr_auc"], *sizes[fold])
+
+    rows = []
+    if "baseline" in models:
+        with ThreadPoolExecutor(parallelism) as pool:
+            rows += pool.map(baseline, usable)
+    if "trees" in models:
+        fitted = fit_folds(folds, usable, TreeParams.of(tree_params), features, seed, quantile_edges(folds, features))
+        areas = {r["grp"]: r for r in auc_by(held_out_scores(folds, features, {f: (f, m.trees) for f, m in fitted.items()}), "grp").collect()}
+        rows += [("trees", f, areas[f]["roc_auc"], areas[f]["pr_auc"], *sizes[f]) for f in usable]
     return xy.sparkSession.createDataFrame(rows, FOLD_SCHEMA)
 
 
-@dataclass(frozen=True)
-class Fold:
-    """A fold's rows prepared for tree fits, once for any number of them."""
+def fit_folds(
+    folds: DataFrame, usable: Sequence[int], params: TreeParams, features: Sequence[str], seed: int, edges: list[np.ndarray]
+) -> dict[int, BoostedTrees]:
+    """The trees of every fold, grown side by side: fold f learns from the rows before its own."""
+    key = next(c for c in folds.columns if c in ("customer_id", "pos"))
+    return dict(zip(usable, fit_many(folds, features, [Spec(params, seed, f) for f in usable], key, "val_fold", edges)))
+
 
-    train: TreeInput
-    val: DataFrame
+def held_out_scores(folds: DataFrame, features: Sequence[str], models: Mapping[int, tuple[int, Sequence[Tree]]]) -> DataFrame:
+    """``grp, label, score``: for each group (fold, trees) the scores of the fold's own rows, in one pass."""
+    models = dict(models)
+    columns = [F.col(f"`{f}`").cast("double").alias(f"x{i}") for i, f in enumerate(features)]
 
-    @staticmethod
-    def prepare(folds: DataFrame, fold: int, features: Sequence[str]) -> Fold:
-        train = tree_input(train_part(folds, fold), features)
-        return Fold(train, write_table(train.vectors_of(val_part(folds, fold)).select(VECTOR, "label"), "val"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(len(features))])
+            label, fold = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "val_fold"))
+            for group, (own, trees) in models.items():
+                at = np.flatnonzero(fold == own)
+                if len(at):
+                    yield pa.RecordBatch.from_pydict({
+                        "grp": np.full(len(at), group, dtype=np.int32), "label": label[at].astype(np.int32), "score": sigmoid(margins(trees, x[at])),
+                    })
 
-    def scored(self, params: Mapping[str, float] | None, seed: int) -> DataFrame:
-        model = fit_trees(self.train, params, seed)
-        return model.transform(self.val).select("label", vector_to_array("probability")[1].alias("score"))
+    return folds.where("val_fold > 0 AND label IS NOT NULL").select(*columns, "label", "val_fold").mapInArrow(run, "grp int, label int, score double")
 
 
 def cv_summary(fold_metrics: DataFrame) -> DataFrame:
@@ -126,6 +139,16 @@ SEARCH_SPACE = {
 }
 
 
+#: Trials drawn at random before the sampler learns from them, and candidates it weighs for each parameter.
+STARTUP = 10
+CANDIDATES = 24
+#: A trial is first scored after this share of its rounds.
+RUNG = 0.25
+
+Trial = tuple[int, float | None, float | None, bool, dict[str, float]]  # trial, score, rung score, pruned, params
+TRIALS = "trial int, score double, rung_score double, pruned boolean, params map<string,double>"
+
+
 def draw_params(rng: random.Random, space: Mapping[str, tuple] = SEARCH_SPACE) -> dict[str, float]:
     out: dict[str, float] = {}
     for name, (kind, low, high, *step) in space.items():
@@ -138,8 +161,41 @@ def draw_params(rng: random.Random, space: Mapping[str, tuple] = SEARCH_SPACE) -
     return out
 
 
-#: Ranges that MLlib's trees have no counterpart for; drawn, recorded and without effect.
-WITHOUT_EFFECT = ("reg_alpha", "reg_lambda")
+def propose(rng: random.Random, done: Sequence[tuple[float, Mapping[str, float]]], space: Mapping[str, tuple] = SEARCH_SPACE) -> dict[str, float]:
+    """Parameters that look more like those of good finished trials (score, params) than like those of the others.
+
+    For each parameter the values of the best quarter and of the rest give a density each: a kernel on
+    every value and a flat share over the range.  Of ``CANDIDATES`` draws from the first density the
+    one with the highest ratio of the two is taken.
+    """
+    drawn = draw_params(rng, space)
+    if len(done) < STARTUP:
+        return drawn
+    ranked = sorted(done, key=lambda t: -t[0])
+    cut = max(2, math.ceil(len(ranked) / 4))
+    out: dict[str, float] = {}
+    for name, (kind, low, high, *step) in space.items():
+        def place(v: float) -> float:
+            return (math.log(v) - math.log(low)) / (math.log(high) - math.log(low)) if kind == "log" else (v - low) / ((high - low) or 1)
+
+        good, rest = ([place(p[name]) for _, p in part] for part in (ranked[:cut], ranked[cut:]))
+
+        def density(at: Sequence[float], x: float) -> float:
+            width = max(0.05, 0.5 * max(len(at), 1) ** -0.4)
+            return (1 + sum(math.exp(-0.5 * ((x - c) / width) ** 2) / (width * 2.5066) for c in at)) / (len(at) + 1)
+
+        def draw() -> float:
+            if rng.random() < 1 / (len(good) + 1):
+                return rng.random()
+            return min(1.0, max(0.0, rng.gauss(rng.choice(good), max(0.05, 0.5 * len(good) ** -0.4))))
+
+        x = max((draw() for _ in range(CANDIDATES)), key=lambda v: density(good, v) / density(rest, v))
+        if kind == "int":
+            out[name] = low + step[0] * round(x * (high - low) / step[0])
+        else:
+            value = math.exp(math.log(low) + x * (math.log(high) - math.log(low))) if kind == "log" else low + x * (high - low)
+            out[name] = min(high, max(low, value))
+    return out
 
 
 def search(
@@ -150,34 +206,77 @@ def search(
     features: Sequence[str] = tuple(FEATURES),
     seed: int = 42,
     space: Mapping[str, tuple] = SEARCH_SPACE,
-    parallelism: int = 2,
+    parallelism: int = 8,
+    runs: str | None = None,
 ) -> DataFrame:
-    """Seeded random search for the best mean PR-AUC over forward folds.
-
-    One row per trial: ``trial, score, params, ignored, stopped_early``.  All ``n_trials`` run
-    unless a ``timeout`` in seconds is given: then no trial starts after it (the first always
-    runs), and ``stopped_early`` tells of it.  ``ignored`` names the parameters without effect.
-    Folds are sorted, split and prepared once for all trials.
+    """Seeded search for the best mean PR-AUC over forward folds, guided by the trials before.
+
+    One row per trial: ``trial, score, rung_score, pruned, params, stopped_early``.  Trials come in
+    generations of ``parallelism``; each learns from all generations before it, so the same seed
+    gives the same trials.  Every trial is scored after a quarter of its rounds; one that is then below
+    the median of the others before it is pruned and keeps that score.  All ``n_trials`` run unless a
+    ``timeout`` in seconds is given: then none starts after it (the first always runs), and
+    ``stopped_early`` tells of it.  With a folder ``runs`` finished generations are written
+    there, and a search that starts again with the same arguments goes on after them.
     """
-    rng = random.Random(seed)
     started = time.monotonic()
+    spark = xy.sparkSession
     folds = make_folds(xy, k)
-    rows, early = [], False
+    usable, edges = usable_folds(folds, k), quantile_edges(folds, features)
+    done: list[Trial] = stored_trials(spark, runs) if runs else []
+    early = False
+
+    def areas(models: Mapping[int, Mapping[int, Sequence[Tree]]]) -> dict[int, float | None]:
+        """Mean PR-AUC of each trial; all trials and folds are scored in one pass."""
+        groups = {t * (k + 1) + f: (f, trees) for t, own in models.items() for f, trees in own.items()}
+        found: dict[int, list[float]] = {t: [] for t in models}
+        for r in auc_by(held_out_scores(folds, features, groups), "grp").collect() if groups else []:
+            if r["pr_auc"] is not None:
+                found[r["grp"] // (k + 1)].append(r["pr_auc"])
+        return {t: sum(x) / len(x) if x else None for t, x in found.items()}
+
+    def fitted(params: Mapping[str, float], rounds: int | None = None) -> dict[int, Sequence[Tree]]:
+        own = TreeParams.of(dict(params) | ({"n_estimators": rounds} if rounds else {}))
+        return {f: m.trees for f, m in fit_folds(folds, usable, own, features, seed, edges).items()}
+
     with ThreadPoolExecutor(parallelism) as pool:
-        prepared = list(pool.map(lambda f: Fold.prepare(folds, f, features), usable_folds(folds, k)))
-        for trial in range(n_trials):
-            params = draw_params(rng, space)
-            if trial and timeout is not None and time.monotonic() - started > timeout:
-                early = True
-                break
-            areas = pool.map(lambda fold: auc_metrics(fold.scored(params, seed)).first()["pr_auc"], prepared)
-            known = [x for x in areas if x is not None]
-            rows.append((trial, sum(known) / len(known) if known else None, {n: float(v) for n, v in params.items()}))
-    ignored = [n for n in WITHOUT_EFFECT if n in space]
-    return xy.sparkSession.createDataFrame(
-        [(*row, ignored, early) for row in rows],
-        "trial int, score double, params map<string,double>, ignored array<string>, stopped_early boolean",
-    )
+        while len(done) < n_trials and not early:
+            first = len(done)
+            known = [(s, p) for _, s, _, _, p in done if s is not None]
+            params: dict[int, dict[str, float]] = {}
+            for trial in range(first, min(first + parallelism, n_trials)):
+                if trial and timeout is not None and time.monotonic() - started > timeout:
+                    early = True
+                    break
+                params[trial] = propose(random.Random(f"{seed}-{trial}"), known, space)
+            rungs = {t: max(1, round(TreeParams.of(p).n_estimators * RUNG)) for t, p in params.items()}
+            # The median of what the others had after their quarter; nothing is pruned before there are enough.
+            before = sorted(s for _, _, s, _, _ in done if s is not None)
+            bar = before[len(before) // 2] if len(before) >= STARTUP else None
+            if bar is not None:
+                short = dict(zip(params, pool.map(lambda t: fitted(params[t], rungs[t]), params)))
+                rung = areas(short)
+                go_on = [t for t in params if rung[t] is None or rung[t] >= bar]
+            else:
+                rung, go_on = {}, list(params)
+            full = dict(zip(go_on, pool.map(lambda t: fitted(params[t]), go_on)))
+            if bar is None:
+                rung = areas({t: {f: trees[: rungs[t]] for f, trees in own.items()} for t, own in full.items()})
+            scores = areas(full)
+            new = [(t, scores.get(t, rung[t]), rung[t], t not in full, {n: float(v) for n, v in p.items()}) for t, p in params.items()]
+            if runs and new:
+                spark.createDataFrame(new, TRIALS).coalesce(1).write.parquet(f"{runs}/from-{first:06d}")
+            done += new
+    return spark.createDataFrame(done, TRIALS).withColumn("stopped_early", F.lit(early))
+
+
+def stored_trials(spark: SparkSession, runs: str) -> list[Trial]:
+    """Trials of the generations that were written whole, up to the first that is missing."""
+    try:
+        rows = spark.read.schema(TRIALS).parquet(f"{runs}/from-*").orderBy("trial").collect()
+    except AnalysisException:
+        return []
+    return [(r["trial"], r["score"], r["rung_score"], r["pruned"], dict(r["params"])) for i, r in enumerate(rows) if r["trial"] == i]
 
 
 def best_trial(trials: DataFrame) -> DataFrame:

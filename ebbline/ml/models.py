@@ -1,4 +1,4 @@
-"""Churn models as MLlib pipelines, and the predictor that guards their input."""
+"""Churn models: a logistic pipeline of MLlib, boosted trees, and the predictor that guards their input."""
 
 from __future__ import annotations
 
@@ -6,20 +6,19 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.ml import prep
+from ebbline.ml.boosting import BoostedTrees, Spec, TreeParams, fit_many
 from ebbline.ml.smote import fit_rows, oversample
-from ebbline.operators.validation import check_fields, nullable_features
+from ebbline.operators.validation import check_fields
 from ebbline.schema import FEATURES
-from ebbline.session import work_dir, write_table
-
-# Rounds, depth and rate of the untuned trees.
-DEFAULT_TREES = {"n_estimators": 300, "max_depth": 4, "learning_rate": 0.05}
+from ebbline.session import write_table
 
+SCHEMA_FILE = "version string, feature_columns array<string>, dtypes array<string>, kind string"
 
 # An iterative fit runs one job per step; small inputs get fewer, fuller tasks.
 ROWS_PER_TASK = 20_000
@@ -63,116 +62,52 @@ def train_baseline(
     return PipelineModel([transformer, assembler, model])
 
 
-def gbt_params(params: Mapping[str, float], n_rows: int | None = None) -> dict:
-    """Tree parameters under their MLlib names.
-
-    ``min_child_weight`` becomes a row count and ``gamma`` an information gain,
-    both approximations.  The L1/L2 leaf penalties have no counterpart in
-    MLlib's trees and are left out.
-    """
-    out: dict = {}
-    if "n_estimators" in params:
-        out["maxIter"] = int(params["n_estimators"])
-    if "max_depth" in params:
-        out["maxDepth"] = int(params["max_depth"])
-    if "learning_rate" in params:
-        out["stepSize"] = float(params["learning_rate"])
-    if "subsample" in params:
-        out["subsamplingRate"] = float(params["subsample"])
-    if "colsample_bytree" in params:
-        out["featureSubsetStrategy"] = str(float(params["colsample_bytree"]))
-    if "min_child_weight" in params:
-        out["minInstancesPerNode"] = int(params["min_child_weight"])
-    if "gamma" in params:
-        out["minInfoGain"] = float(params["gamma"]) / max(n_rows or 1, 1)
-    return out
-
-
-@dataclass(frozen=True)
-class TreeInput:
-    """Training rows as written vectors with class weights, and the stages that make them."""
-
-    stages: tuple
-    vectors: DataFrame
-    rows: int
-
-    def vectors_of(self, df: DataFrame) -> DataFrame:
-        for stage in self.stages:
-            df = stage.transform(df)
-        return df
-
-
-def tree_input(train: DataFrame, features: Sequence[str] = tuple(FEATURES)) -> TreeInput:
-    """Medians for missing values, which stay visible through is-missing columns, and class weights."""
-    may_be_null = [f for f in nullable_features(strict=False) if f in set(features)]
-    medians = prep.fit_medians(train, features)
-    transformer, assembler, _ = prep.preparation(medians, None, may_be_null)
-    weighted = prep.with_class_weight(train.select(*features, F.col("label").cast("double").alias("label")))
-    rows, n = _fit_input(weighted)
-    vectors = assembler.transform(transformer.transform(rows)).select(prep.VECTOR, "label", "weight")
-    return TreeInput((transformer, assembler), vectors, n)
-
-
-def fit_trees(own: TreeInput, params: Mapping[str, float] | None = None, seed: int = 42) -> GBTClassificationModel:
-    spark = own.vectors.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        # Hundreds of rounds grow a long lineage; MLlib cuts it where a folder is set.
-        spark.sparkContext.setCheckpointDir(work_dir(spark))
-    wanted = {**DEFAULT_TREES, **(params or {})}
-    learner = GBTClassifier(
-        featuresCol=prep.VECTOR, labelCol="label", weightCol="weight", seed=seed, **gbt_params(wanted, own.rows)
-    )
-    return learner.fit(own.vectors)
-
-
 def train_trees(
     train: DataFrame,
     features: Sequence[str] = tuple(FEATURES),
     params: Mapping[str, float] | None = None,
     seed: int = 42,
-) -> PipelineModel:
-    """Boosted trees with class weights, as a pipeline with its own preparation."""
-    own = tree_input(train, features)
-    return PipelineModel([*own.stages, fit_trees(own, params, seed)])
+    key: str = "customer_id",
+) -> BoostedTrees:
+    """Boosted trees with class weights; missing values stay missing and go to a learned side of each split."""
+    return fit_many(write_table(train.select(key, *features, "label"), "fit"), features, [Spec(TreeParams.of(params), seed)], key)[0]
 
 
-def score_with(model: PipelineModel, df: DataFrame, column: str = "churn_probability") -> DataFrame:
-    """Adds the probability of churn; helper columns of the pipeline are dropped."""
+def score_with(model: PipelineModel | BoostedTrees, df: DataFrame, column: str = "churn_probability") -> DataFrame:
+    """Adds the probability of churn; helper columns of a pipeline are dropped."""
+    if isinstance(model, BoostedTrees):
+        return model.scored(df, column)
     scored = model.transform(df)
     return scored.select(*df.columns, vector_to_array("probability")[1].alias(column))
 
 
 @dataclass(frozen=True)
 class ChurnPredictor:
-    """A fitted pipeline plus the columns it expects, in order."""
+    """A fitted model plus the columns it expects, in order."""
 
-    model: PipelineModel
+    model: PipelineModel | BoostedTrees
     features: list[str]
     dtypes: dict[str, str]
     version: str = "v1"
 
     @staticmethod
-    def of(model: PipelineModel, matrix: DataFrame, features: Sequence[str] = tuple(FEATURES)) -> ChurnPredictor:
+    def of(model: PipelineModel | BoostedTrees, matrix: DataFrame, features: Sequence[str] = tuple(FEATURES)) -> ChurnPredictor:
         types = dict(matrix.dtypes)
         return ChurnPredictor(model, list(features), {f: types[f] for f in features})
 
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
         self.model.save(f"{path}/model_{self.version}")
-        row = (self.version, self.features, [self.dtypes[f] for f in self.features])
-        spark.createDataFrame(
-            [row], "version string, feature_columns array<string>, dtypes array<string>"
-        ).write.json(f"{path}/feature_schema")
+        kind = "trees" if isinstance(self.model, BoostedTrees) else "pipeline"
+        row = (self.version, self.features, [self.dtypes[f] for f in self.features], kind)
+        spark.createDataFrame([row], SCHEMA_FILE).write.json(f"{path}/feature_schema")
 
     @staticmethod
     def load(spark: SparkSession, path: str, version: str = "v1") -> ChurnPredictor:
-        schema = spark.read.schema(
-            "version string, feature_columns array<string>, dtypes array<string>"
-        ).json(f"{path}/feature_schema").first()
-        names = list(schema["feature_columns"])
-        return ChurnPredictor(
-            PipelineModel.load(f"{path}/model_{version}"), names, dict(zip(names, schema["dtypes"])), version
-        )
+        schema = spark.read.schema(SCHEMA_FILE).json(f"{path}/feature_schema").first()
+        names, at = list(schema["feature_columns"]), f"{path}/model_{version}"
+        model = BoostedTrees.load(spark, at, names) if schema["kind"] == "trees" else PipelineModel.load(at)
+        return ChurnPredictor(model, names, dict(zip(names, schema["dtypes"])), version)
 
     def predict(self, df: DataFrame, keep: Sequence[str] = ("customer_id",)) -> DataFrame:
         """``keep`` columns, the features in order and ``churn_probability``.

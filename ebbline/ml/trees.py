@@ -7,69 +7,47 @@ function; rows are explained in Arrow batches where they are.
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.ml.prep import PREFIX, VECTOR
+from ebbline.ml.boosting import BoostedTrees
 from ebbline.operators.explain import BASE, CONTRIBUTIONS
-from ebbline.session import work_dir
 
 
 @dataclass(frozen=True)
 class Leaf:
-    """A leaf's value and, per feature on its path, the interval leading to it and the cover share."""
+    """A leaf's value and, per feature on its path, the interval leading to it, whether missing values do, and the cover share."""
 
     value: float
     features: tuple[int, ...]
     low: tuple[float, ...]
     high: tuple[float, ...]
+    missing: tuple[bool, ...]
     share: tuple[float, ...]
 
 
-def leaves_of(spark: SparkSession, model) -> list[Leaf]:
-    """Leaves of all trees of a fitted classifier, values already weighted into log-odds."""
-    path = f"{work_dir(spark)}/trees-{uuid.uuid4().hex}"
-    model.save(path)
-    nodes = (
-        spark.read.parquet(f"{path}/data")
-        .select(
-            "treeID",
-            "nodeData.id",
-            "nodeData.prediction",
-            F.col("nodeData.rawCount").alias("cover"),
-            F.col("nodeData.leftChild").alias("left"),
-            F.col("nodeData.rightChild").alias("right"),
-            F.col("nodeData.split.featureIndex").alias("feature"),
-            F.col("nodeData.split.leftCategoriesOrThreshold").alias("cut"),
-        )
-        .collect()
-    )
-    weights = list(model.treeWeights)
-    table = {(n["treeID"], n["id"]): n for n in nodes}
+def leaves_of(model: BoostedTrees) -> list[Leaf]:
+    """Leaves of all trees, values in log-odds."""
     leaves: list[Leaf] = []
-    for tree, weight in enumerate(weights):
-        # The probability is 1 / (1 + exp(-2 * margin)): log-odds are twice the margin.
-        open_nodes = [(table[tree, 0], {})]
+    for tree in model.trees:
+        open_nodes: list[tuple[int, dict]] = [(0, {})]
         while open_nodes:
             node, path_so_far = open_nodes.pop()
-            if node["left"] < 0:
+            feature = int(tree.feature[node])
+            if feature < 0:
                 names = tuple(path_so_far)
-                parts = list(zip(*path_so_far.values())) or [(), (), ()]
-                leaves.append(Leaf(2.0 * weight * node["prediction"], names, *map(tuple, parts)))
+                parts = list(zip(*path_so_far.values())) or [(), (), (), ()]
+                leaves.append(Leaf(float(tree.value[node]), names, *map(tuple, parts)))
                 continue
-            feature, cut = node["feature"], node["cut"][0]
-            low, high, share = path_so_far.get(feature, (-math.inf, math.inf, 1.0))
-            for child_id, bounds in ((node["left"], (low, min(high, cut))), (node["right"], (max(low, cut), high))):
-                child = table[tree, child_id]
-                step = (*bounds, share * child["cover"] / node["cover"])
+            cut, side = float(tree.cut[node]), bool(tree.missing_left[node])
+            low, high, missing, share = path_so_far.get(feature, (-math.inf, math.inf, True, 1.0))
+            for child, bounds, own in ((2 * node + 1, (low, min(high, cut)), side), (2 * node + 2, (max(low, cut), high), not side)):
+                step = (*bounds, missing and own, share * float(tree.cover[child] / tree.cover[node]))
                 open_nodes.append((child, {**path_so_far, feature: step}))
     return leaves
 
@@ -86,8 +64,8 @@ def shapley(leaves: Sequence[Leaf], x: np.ndarray) -> np.ndarray:
         if not m:
             continue
         on = [
-            ((x[:, f] > lo) & (x[:, f] <= hi)).astype(float)
-            for f, lo, hi in zip(leaf.features, leaf.low, leaf.high)
+            np.where(np.isnan(x[:, f]), missing, (x[:, f] > lo) & (x[:, f] <= hi)).astype(float)
+            for f, lo, hi, missing in zip(leaf.features, leaf.low, leaf.high, leaf.missing)
         ]
         weight = [math.factorial(s) * math.factorial(m - 1 - s) / math.factorial(m) for s in range(m)]
         for j, f in enumerate(leaf.features):
@@ -105,33 +83,21 @@ def shapley(leaves: Sequence[Leaf], x: np.ndarray) -> np.ndarray:
     return phi
 
 
-def explain_trees(pipeline: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
+def explain_trees(model: BoostedTrees, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Adds ``contributions`` (one entry per feature) and ``base_value`` to ``df``.
 
-    A feature and its is-missing column count as one; base plus contributions
-    is the log-odds of the predicted probability.
+    Base plus contributions is the log-odds of the predicted probability.
     """
-    spark = df.sparkSession
-    assembler, model = pipeline.stages[-2], pipeline.stages[-1]
-    leaves = leaves_of(spark, model)
-    names = [c.removeprefix(PREFIX) for c in assembler.getInputCols()]
-    owner = [features.index(n) if n in features else features.index(n.removeprefix("no_")) for n in names]
-    width = len(features)
+    leaves = leaves_of(model)
+    place = [features.index(f) for f in model.features]
 
     @F.pandas_udf("array<double>")
-    def contributions(x: pd.Series) -> pd.Series:
-        if x.empty:
-            return pd.Series([], dtype=object)
-        phi = shapley(leaves, np.stack(x.to_numpy()))
-        merged = np.zeros((len(phi), width))
-        for column, target in enumerate(owner):
-            merged[:, target] += phi[:, column]
-        return pd.Series(list(merged))
-
-    vectors = df
-    for stage in pipeline.stages[:-1]:
-        vectors = stage.transform(vectors)
-    explained = vectors.select(*df.columns, contributions(vector_to_array(VECTOR)).alias("_phi"))
+    def contributions(*columns: pd.Series) -> pd.Series:
+        phi = np.zeros((len(columns[0]), len(features)))
+        phi[:, place] = shapley(leaves, np.column_stack([c.to_numpy(dtype=float) for c in columns]))
+        return pd.Series(list(phi))
+
+    explained = df.select("*", contributions(*[F.col(f).cast("double") for f in model.features]).alias("_phi"))
     entries = [
         F.struct(
             F.lit(f).alias("feature"),
@@ -145,10 +111,6 @@ def explain_trees(pipeline: PipelineModel, df: DataFrame, features: Sequence[str
     ).drop("_phi")
 
 
-def native_importance(pipeline: PipelineModel, features: Sequence[str]) -> dict[str, float]:
-    """Gain importance per feature, is-missing columns folded in."""
-    names = [c.removeprefix(PREFIX) for c in pipeline.stages[-2].getInputCols()]
-    out = dict.fromkeys(features, 0.0)
-    for name, value in zip(names, pipeline.stages[-1].featureImportances.toArray()):
-        out[name if name in out else name.removeprefix("no_")] += float(value)
-    return out
+def native_importance(model: BoostedTrees, features: Sequence[str]) -> dict[str, float]:
+    """The model's own importance per feature: the mean gain of its splits, as a share."""
+    return dict.fromkeys(features, 0.0) | model.gains()

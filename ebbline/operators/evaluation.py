@@ -90,6 +90,20 @@ def auc_metrics(scored: DataFrame) -> DataFrame:
     return curve.agg(*_auc(curve))
 
 
+def auc_by(scored: DataFrame, group: str) -> DataFrame:
+    """``group, roc_auc, pr_auc``: the areas of every group in one pass over all of them.
+
+    Running sums go over all groups in order; those of the groups before are taken off again.
+    """
+    own = scored.where(F.col("score").isNotNull()).groupBy(group, "score").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
+    )
+    running = with_running(own, [asc(group), desc("score")], sums={"tp": "pos", "fp": "neg"})
+    totals = running.groupBy(group).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.min(F.col("tp") - F.col("pos")).alias("p0"), F.min(F.col("fp") - F.col("neg")).alias("n0"))
+    curve = running.join(totals, group).withColumns({"tp": F.col("tp") - F.col("p0"), "fp": F.col("fp") - F.col("n0")})
+    return curve.groupBy(group).agg(*_auc(curve))
+
+
 def roc_auc(scored: DataFrame) -> DataFrame:
     return auc_metrics(scored).select("roc_auc")
 

@@ -144,20 +144,23 @@ def test_tree_attribution_is_additive_and_matches_enumeration(spark, train):
         p = r["churn_probability"]
         assert total == pytest.approx(math.log(p / (1 - p)), abs=1e-6)
     # Shapley values by definition, over all orderings of the model's columns.
-    leaves = trees.leaves_of(spark, model.stages[-1])
-    x = np.array([[60.0, 300.0, 4.0, 0.0]])
+    leaves = trees.leaves_of(model)
+    x = np.array([[60.0, np.nan, 4.0]])
     used = sorted({f for leaf in leaves for f in leaf.features})
 
+    def inside(v, lo, hi, missing):
+        return missing if math.isnan(v) else lo < v <= hi
+
     def value(known):
         out = 0.0
         for leaf in leaves:
             w = leaf.value
-            for f, lo, hi, share in zip(leaf.features, leaf.low, leaf.high, leaf.share):
-                w *= float(lo < x[0, f] <= hi) if f in known else share
+            for f, lo, hi, missing, share in zip(leaf.features, leaf.low, leaf.high, leaf.missing, leaf.share):
+                w *= float(inside(x[0, f], lo, hi, missing)) if f in known else share
             out += w
         return out
 
-    phi = trees.shapley(leaves, np.hstack([x, np.zeros((1, 8))]))[0]
+    phi = trees.shapley(leaves, x)[0]
     orders = list(itertools.permutations(used))
     for f in used:
         want = sum(value({*o[: o.index(f)], f}) - value(set(o[: o.index(f)])) for o in orders) / len(orders)
@@ -189,7 +192,7 @@ def test_search_is_seeded_and_bounded(train):
     a = cv.search(train.limit(60), 2, k=2, features=COLUMNS, space=space)
     assert a.count() == 2
     best = cv.best_trial(a).first()
-    assert best["score"] == max(r["score"] for r in a.collect())
+    assert best["score"] == max(r["score"] for r in a.collect()) and set(a.first()["params"]) == set(space)
     assert cv.search(train, 5, timeout=0.0, k=2, features=COLUMNS, space=space).count() == 1
 
 
