@@ -18,6 +18,7 @@ are ordinary text.  Other columns are carried along packed, so their names canno
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -33,10 +34,8 @@ from pyspark.sql import types as T
 
 #: Bytes of text that are encoded by one run of the recursive query.
 BATCH_BYTES = 1 << 20
-#: Rows that Spark hands to a task's Python at a time.
-BATCH_ROWS = "500"
-#: Pieces remembered by a task before it starts anew.
-REMEMBERED = 300_000
+#: Pieces remembered by a Python worker before it starts anew.
+REMEMBERED = 500_000
 LONG = 256
 
 CONTRACT = """
@@ -102,6 +101,14 @@ class Vocabulary:
         with open(path, "rb") as lines:
             return cls({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}, pattern)
 
+    @cached_property
+    def digest(self) -> str:
+        """Tells vocabularies apart."""
+        whole = hashlib.sha256(self.pattern.encode())
+        for token, rank in self.tokens.items():
+            whole.update(b"%d %d " % (rank, len(token)) + token)
+        return whole.hexdigest()
+
     @cached_property
     def merges(self) -> pa.Table:
         """Pairs of tokens that make a token, and whether that token is safe: no part of a lower token."""
@@ -208,6 +215,17 @@ class Decoder:
         return out
 
 
+#: Of each class the one object that a Python worker keeps for its next tasks, with the vocabulary it is for.
+_held: dict[type, tuple[str, object]] = {}
+
+
+def held(kind: type, vocabulary: Vocabulary):
+    """An Encoder or Decoder for the vocabulary: the worker's own, with the pieces it remembers, or a new one."""
+    if _held.get(kind, ("", None))[0] != vocabulary.digest:
+        _held[kind] = (vocabulary.digest, kind(vocabulary))
+    return _held[kind][1]
+
+
 def packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
 
@@ -227,12 +245,11 @@ def runs(sizes: np.ndarray, most: int) -> Iterator[slice]:
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``doc`` (all columns of ``docs``) and ``ids``, the token ids of doc.text."""
     rows = packed(docs)
-    # Encoder and decoder of a task hold a batch each: small ones keep an executor's memory low.
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    vocabulary.digest  # taken once, sent with the vocabulary
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = held(Encoder, shared.value)
         for batch in batches:
             text = batch.column("doc").field("text")
             for part in runs(lengths_of(text), BATCH_BYTES):
@@ -255,7 +272,7 @@ def decode(coded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     shared = coded.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(shared.value)
+        decoder = held(Decoder, shared.value)
         for batch in batches:
             counts = np.diff(np.asarray(batch.column("ids").offsets))
             for part in runs(counts, BATCH_BYTES // 4):
