@@ -148,7 +148,8 @@ def pr_points(scored: DataFrame) -> DataFrame:
 
 
 def calibration(scored: DataFrame, n_bins: int = 10) -> DataFrame:
-    """Mean score, observed rate and size per quantile bin; empty bins do not appear."""
+    """Mean score, observed rate and size per quantile bin; empty bins do not appear, nor rows without a score."""
+    scored = scored.where(F.col("score").isNotNull())
     distinct = scored.select("score").distinct().limit(n_bins).count()
     n_bins = min(n_bins, max(2, distinct))
     edges = exact_quantiles(scored, ["score"], [i / n_bins for i in range(n_bins + 1)])["score"]

@@ -28,6 +28,7 @@ from ebbline.functions.dates import (
     ts,
 )
 from ebbline.functions.numbers import null_if_zero, revenue, zero_if_null
+from ebbline.functions.ordering import asc, with_running
 from ebbline.operators.guards import refuse_future_rows
 from ebbline.schema import (
     DEFAULT_WINDOWS,
@@ -316,12 +317,19 @@ def trend_features(lines: DataFrame, snapshot: SnapshotLike) -> DataFrame:
 
 
 def mean_gap_by_lag(lines: DataFrame, snapshot: SnapshotLike) -> DataFrame:
-    """``days_between_txns`` from consecutive invoices, as a cross-check of the closed form."""
+    """``days_between_txns`` from consecutive invoices, as a cross-check of the closed form.
+
+    The next invoice comes from range partitions of (customer, time): no task holds a customer's whole history.
+    """
     rollup = invoice_rollup(_guarded(lines, snapshot), []).where(F.col("invoice_id").isNotNull())
-    by_time = Window.partitionBy("customer_id").orderBy("first_date", "invoice_id")
-    gap = frac_days(F.lag("first_date").over(by_time), F.col("first_date"))
+    ordered = with_running(
+        rollup.select("customer_id", "first_date", "invoice_id"), [asc("customer_id"), asc("first_date"), asc("invoice_id")],
+        rank=None, lead={"next_customer": "customer_id", "next_date": "first_date"},
+    )
+    own = F.col("next_customer") == F.col("customer_id")
+    gap = F.when(own, frac_days(F.col("first_date"), F.col("next_date")))
     return (
-        rollup.select("customer_id", gap.alias("gap"))
+        ordered.select("customer_id", gap.alias("gap"))
         .groupBy("customer_id")
         .agg(F.avg("gap").alias("days_between_txns"))
     )

@@ -274,14 +274,16 @@ def cln_iqr(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(cleaning.remove_outliers(txn_dirty(spark, sf)))
 
 
+_MEASURES = ("quantity", "unit_price")
+
+
 @query(
     "cln_zscore",
     O.with_views(
-        f"SELECT {_LINE} FROM txn_dirty WHERE " + " AND ".join(
-            f"({c} IS NULL OR abs(({c} - (SELECT avg({c}) FROM txn_dirty)) / (SELECT stddev_samp({c}) FROM txn_dirty)) <= 3)"
-            for c in ("quantity", "unit_price")
-        ),
+        f"SELECT {_LINE} FROM dirty, stats WHERE " + " AND ".join(f"({c} IS NULL OR abs(({c} - m_{c}) / s_{c}) <= 3)" for c in _MEASURES),
         "txn_dirty",
+        ctes="dirty AS MATERIALIZED (SELECT * FROM txn_dirty), stats AS (SELECT "
+        + ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in _MEASURES) + " FROM dirty)",
     ),
 )
 def cln_zscore(spark: SparkSession, sf: str) -> DataFrame:

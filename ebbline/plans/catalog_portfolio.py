@@ -329,13 +329,15 @@ def pf_batchscore_refused(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("pf_batchscore_stream", _SCORED_BATCHES)
 def pf_batchscore_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The same through Structured Streaming over files, two files per micro-batch."""
+    """The same through Structured Streaming, two files per micro-batch: request batches lie across files and are held until they are whole."""
     base = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
     records = batched_records(spark, sf)
-    records.repartition(4, "batch_id").write.parquet(f"{base}/in")
+    sizes = records.groupBy("batch_id").agg(F.count(F.lit(1)).cast("int").alias("batch_size"))
+    records = records.join(sizes, "batch_id")
+    records.repartition("customer_id").write.option("maxRecordsPerFile", 300).parquet(f"{base}/in")
     stream = score_stream(
         spark, f"{base}/in", records.schema, fixed_scorer, f"{base}/out", f"{base}/refused", f"{base}/checkpoint",
-        keys=("batch_id", "customer_id"), batch="batch_id", files_per_trigger=2,
+        keys=("batch_id", "customer_id"), batch="batch_id", files_per_trigger=2, declared="batch_size",
     )
     stream.awaitTermination()
     return rounded(spark.read.parquet(f"{base}/out").drop("epoch"))

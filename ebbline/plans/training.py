@@ -20,7 +20,7 @@ from ebbline.operators.splits import build_time_splits, concat_splits, prepare_x
 from ebbline.schema import FEATURES
 from ebbline.session import write_table
 from ebbline.sources import sinks
-from ebbline.sources.readers import latest_run
+from ebbline.sources.readers import complete_runs, latest_run
 
 
 @dataclass(frozen=True)
@@ -98,6 +98,7 @@ def run_training(
         },
         f"{output}/runs",
     )
+    sinks.complete_run(spark, run_id, run_ts, output, [f"{run_id}", "metrics", "runs"])
     return TrainingRun(predictor, metrics, importance, trials)
 
 
@@ -121,7 +122,7 @@ def run_cv_pipeline(
     by_fold = run_time_cv(xy, folds, tree_params=tree_params, max_iter=max_iter, seed=seed, parallelism=parallelism)
     single = None
     try:
-        stored = latest_run(spark.read.parquet(f"{output}/metrics"))
+        stored = latest_run(spark.read.parquet(f"{output}/metrics"), complete=complete_runs(spark, output))
         model = F.when(F.col("model").isin("trees_tuned"), "trees").otherwise(F.col("model"))
         single = stored.where(F.col("metric").isin(CV_METRICS)).select(model.alias("model"), "metric", "value")
     except (AnalysisException, LookupError):

@@ -144,12 +144,21 @@ def part_profile(df: DataFrame, date: str = "invoice_date", part: str = PART_COL
     )
 
 
-def latest_run(metrics: DataFrame, override: str | None = None) -> DataFrame:
+def complete_runs(spark: SparkSession, output: str) -> DataFrame:
+    """``run_id, run_ts, tables`` of the runs whose manifest has been written."""
+    return spark.read.schema("run_id string, run_ts string, tables array<string>").json(f"{output}/manifests/*")
+
+
+def latest_run(metrics: DataFrame, override: str | None = None, complete: DataFrame | None = None) -> DataFrame:
     """Metrics of the most recent run (``run_id, run_ts, ...``); ``override`` names another one.
 
+    ``complete`` (:func:`complete_runs`) leaves out runs that stopped before their manifest.
+
     The run is found by a one-row aggregate and used as a literal, so the read
     prunes to its partition.  No run at all is an error.
     """
+    if complete is not None:
+        metrics = metrics.join(F.broadcast(complete.select("run_id").distinct()), "run_id", "left_semi")  # a row per run
     if override is None:
         row = metrics.agg(F.max_by("run_id", F.struct("run_ts", "run_id")).alias("run_id")).first()
         run_id = row["run_id"]

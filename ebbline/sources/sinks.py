@@ -42,6 +42,12 @@ def append_run_info(spark: SparkSession, info: dict, path: str) -> None:
     frame.partitionBy("run_id").json(path)
 
 
+def complete_run(spark: SparkSession, run_id: str, run_ts: str, output: str, tables: Sequence[str]) -> None:
+    """The manifest of a run, written after everything else: only runs that have one count as complete."""
+    row = spark.createDataFrame([(run_id, run_ts, list(tables))], "run_id string, run_ts string, tables array<string>")
+    row.coalesce(1).write.mode("overwrite").json(f"{output}/manifests/{run_id}")
+
+
 def write_feature_names(matrix: DataFrame, path: str, features: Sequence[str] = tuple(FEATURES)) -> None:
     """``{feature_columns, n_features, n_rows}`` as JSON next to the model."""
     matrix.agg(

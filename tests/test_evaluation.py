@@ -214,3 +214,11 @@ def test_general_format(spark):
     xs = [0.0, 12.0, 200.0, 0.1, 1681615.0, 240230.5, 87743.25, 1e-5, 0.0001234567, -3.5, 123456.7, 999999.6, 1e22, 5e-324 * 1e10]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     assert [r[0] for r in df.select(general_format(F.col("x"))).collect()] == [f"{x:g}" for x in xs]
+
+
+def test_calibration_leaves_rows_without_a_score_out(spark):
+    rows = [(i, i % 2, None if i % 3 == 0 else (i % 10) / 10) for i in range(60)]
+    df = spark.createDataFrame(rows, "customer_id long, label int, score double")
+    want = ev.calibration(df.where("score is not null")).orderBy("bin").collect()
+    assert ev.calibration(df).orderBy("bin").collect() == want and sum(r["n_rows"] for r in want) == 40
+    assert ev.calibration(df.where("score is null")).count() == 0

@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -299,3 +300,51 @@ def test_stream_equals_batch(spark, records, tmp_path):
     df.limit(2).write.mode("append").parquet(str(tmp_path / "in"))
     run()  # picks up only the new file
     assert spark.read.parquet(str(tmp_path / "out")).count() == 24 + score_records(df.limit(2), constant)[0].count()
+
+
+@pytest.fixture(scope="module")
+def request_rows(records):
+    """Twelve request batches of five, of one record too many, and a bad record in every fourth batch."""
+    df = records([{"frequency": -1.0} if i % 20 == 3 else {} for i in range(60)])
+    number = F.expr("int(substr(customer_id, 8))")
+    return df.withColumn("batch_id", F.expr("int(substr(customer_id, 8)) div 5")).withColumn("batch_size", F.lit(5)).withColumn("no", number)
+
+
+def stream_of(spark, schema, base, **more):
+    score_stream(
+        spark, f"{base}/in", schema, constant, f"{base}/out", f"{base}/bad", f"{base}/cp",
+        keys=("batch_id", "customer_id"), batch="batch_id", declared="batch_size", **more,
+    ).awaitTermination()
+    read = lambda name: sorted(tuple(r) for r in spark.read.parquet(f"{base}/{name}").drop("epoch").collect())
+    return read("out"), read("bad")
+
+
+def test_request_batches_are_held_across_files_and_restarts(spark, request_rows, tmp_path):
+    rows = request_rows.drop("no")
+    one, two = request_rows.where("no % 2 = 0").drop("no"), request_rows.where("no % 2 = 1").drop("no")
+    one.coalesce(1).write.parquet(str(tmp_path / "in"))
+    good, bad = stream_of(spark, rows.schema, tmp_path)
+    assert good == bad == []  # no batch is whole
+    two.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    good, bad = stream_of(spark, rows.schema, tmp_path)
+    want, refused = score_records(rows.drop("batch_size"), constant, ("batch_id", "customer_id"), "batch_id")
+    assert good == sorted(map(tuple, want.collect())) and len(good) == 45
+    assert sorted(b[:2] for b in bad) == sorted(tuple(r)[:2] for r in refused.collect())
+    assert stream_of(spark, rows.schema, tmp_path) == (good, bad)  # nothing twice
+    rows.where("batch_id = 1").write.mode("append").parquet(str(tmp_path / "in"))
+    again, late = stream_of(spark, rows.schema, tmp_path)
+    assert again == good and len(late) == len(bad) + 5 and any("already judged" in e for x in late for e in x[2])
+
+
+def test_request_batches_that_cannot_be_whole_are_refused(spark, request_rows, tmp_path):
+    rows = request_rows.drop("no").where("batch_id in (1, 2, 5)").withColumn(
+        "batch_size", F.expr("case batch_id when 1 then 6 when 2 then 501 else null end").cast("int")
+    )
+    rows.write.parquet(str(tmp_path / "in"))
+    good, bad = stream_of(spark, rows.schema, tmp_path, wait=1)
+    assert good == [] and {b[0] for b in bad} == {2, 5} and all("batch: size" in b[2][-1] for b in bad)
+    time.sleep(2)
+    request_rows.drop("no").where("batch_id = 6").write.mode("append").parquet(str(tmp_path / "in"))
+    good, bad = stream_of(spark, rows.schema, tmp_path, wait=1)
+    assert {g[0] for g in good} == {6} and {b[0] for b in bad} == {1, 2, 5}
+    assert all(b[2][-1] == "batch: 5 of 6 records" for b in bad if b[0] == 1)

@@ -14,7 +14,8 @@ from ebbline.plans.scoring import score_population
 from ebbline.plans.tables import split_xy
 from ebbline.plans.training import run_cv_pipeline, run_training
 from ebbline.schema import FEATURES
-from ebbline.sources.readers import latest_run
+from ebbline.sources import sinks
+from ebbline.sources.readers import complete_runs, latest_run
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables absent")
@@ -51,3 +52,18 @@ def test_training_run_and_population(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "cv_folds")).count() == 4
     alone = run_cv_pipeline(split_xy(spark, SF, "train"), "r1", str(tmp_path / "new"), **few)
     assert alone.where("single_split is not null").count() == 0
+
+
+def test_a_run_that_stops_before_its_manifest_is_not_the_latest(spark, tmp_path):
+    metrics = spark.createDataFrame([("trees", "roc_auc", 0.5)], "model string, metric string, value double")
+    for run_id, ts in (("r1", "2026-01-01"), ("r2", "2026-01-02")):
+        sinks.append_metrics(metrics, run_id, ts, str(tmp_path / "metrics"))
+        if run_id == "r1":  # the second one is killed here
+            sinks.complete_run(spark, run_id, ts, str(tmp_path), ["metrics"])
+    stored = spark.read.parquet(str(tmp_path / "metrics"))
+    assert latest_run(stored).first()["run_id"] == "r2"
+    assert latest_run(stored, complete=complete_runs(spark, str(tmp_path))).first()["run_id"] == "r1"
+    with pytest.raises(LookupError):
+        latest_run(stored, "r2", complete_runs(spark, str(tmp_path)))
+    sinks.complete_run(spark, "r2", "2026-01-02", str(tmp_path), ["metrics"])
+    assert latest_run(stored, complete=complete_runs(spark, str(tmp_path))).first()["run_id"] == "r2"
