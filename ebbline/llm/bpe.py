@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 #: Bytes of text that are encoded by one run of the recursive query.
 BATCH_BYTES = 1 << 20
 #: Pieces remembered by a Python worker before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 LONG = 256
 
 CONTRACT = """
@@ -140,7 +140,7 @@ class Pieces(dict):
 
 class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.tokens = vocabulary.tokens
+        self.tokens, self.digest = vocabulary.tokens, vocabulary.digest
         self.find = regex.compile(vocabulary.pattern).findall
         self.bytes = np.array([vocabulary.tokens.get(bytes([b]), -1) for b in range(256)], dtype=np.int32)
         self.con = connect()
@@ -153,6 +153,16 @@ class Encoder:
         self.ids = np.empty(0, dtype=np.int32)
         self.starts = np.zeros(1, dtype=np.int64)
 
+    def recall(self) -> None:
+        """Go on with what the last task of this Python worker remembered; its DuckDB went with it."""
+        if self.digest in _remembered:
+            self.pieces, self.ids, self.starts = _remembered[self.digest]
+
+    def remember(self) -> None:
+        _remembered.clear()
+        _remembered[self.digest] = (self.pieces, self.ids, self.starts)
+        self.con.close()
+
     def encode(self, texts: list[str | None]) -> pa.ListArray:
         cut = [list(map(self.pieces.__getitem__, self.find(t))) if t else [] for t in texts]
         self._learn()
@@ -215,15 +225,8 @@ class Decoder:
         return out
 
 
-#: Of each class the one object that a Python worker keeps for its next tasks, with the vocabulary it is for.
-_held: dict[type, tuple[str, object]] = {}
-
-
-def held(kind: type, vocabulary: Vocabulary):
-    """An Encoder or Decoder for the vocabulary: the worker's own, with the pieces it remembers, or a new one."""
-    if _held.get(kind, ("", None))[0] != vocabulary.digest:
-        _held[kind] = (vocabulary.digest, kind(vocabulary))
-    return _held[kind][1]
+#: What a Python worker remembers of the pieces it has met, for its next tasks, and the vocabulary this is for.
+_remembered: dict[str, tuple] = {}
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -249,12 +252,14 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = held(Encoder, shared.value)
+        encoder = Encoder(shared.value)
+        encoder.recall()
         for batch in batches:
             text = batch.column("doc").field("text")
             for part in runs(lengths_of(text), BATCH_BYTES):
                 doc = batch.column("doc")[part]
                 yield pa.RecordBatch.from_arrays([doc, encoder.encode(text[part].to_pylist())], ["doc", "ids"])
+        encoder.remember()
 
     return rows.mapInArrow(run, with_field(rows, "ids", T.ArrayType(T.IntegerType())))
 
@@ -272,7 +277,7 @@ def decode(coded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     shared = coded.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = held(Decoder, shared.value)
+        decoder = Decoder(shared.value)
         for batch in batches:
             counts = np.diff(np.asarray(batch.column("ids").offsets))
             for part in runs(counts, BATCH_BYTES // 4):
