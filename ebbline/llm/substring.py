@@ -12,8 +12,8 @@ document with a smaller doc_id starts it too.
    in five words is shuffled, a block's different ones once.
 4. Windows with a recurring anchor are confirmed: they are grouped by two independent 64-bit
    hashes of their whole text, with the least and the largest doc_id.
-5. Each block gets the phrases confirmed for it, compiles them into Aho-Corasick automata of at
-   most ``PHRASES`` phrases, and streams its documents through them to find all occurrences.
+5. Each block gets the phrases confirmed for it, compiles the passages they make into Aho-Corasick
+   automata of at most ``PHRASES`` phrases, and streams its documents through them to find all occurrences.
 
 A phrase in every block is one row per block in a shuffle, however many documents hold it.
 
@@ -25,6 +25,7 @@ Every input row gives a row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import ahocorasick
 import numpy as np
@@ -40,6 +41,8 @@ WINDOW = 13
 ANCHOR = 5
 BLOCK_WORDS = 200_000
 PHRASES = 50_000
+#: Phrases of a passage at most.
+RUN = 32
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0xD6E8FEB86659FD93
@@ -237,16 +240,15 @@ def windows(table: DataFrame) -> DataFrame:
     return table.select("block", "ids", "texts", "copied", "anchors").mapInArrow(run, "one long, two long, block long, low long, high long")
 
 
-class Codes(dict):
-    """Three letters for each different word; the sets of first, second and third letters are apart.
+def coded(texts: list[list[bytes]], known: set[bytes]) -> list[str]:
+    """Two letters for each word; the sets of first and second letters are apart, and all words that are not ``known`` share a code.
 
-    Automata look through a node's letters one by one, so nodes must have few: 64 here.
+    Automata look through a node's letters one by one, so nodes must have few: about the square root of the words.
     """
-
-    def __missing__(self, word: bytes) -> str:
-        n = len(self)
-        self[word] = code = chr(n % 64) + chr(64 + n // 64 % 64) + chr(128 + n // 4096)
-        return code
+    base = isqrt(len(known)) + 1
+    codes = {word: chr(n % base) + chr(base + n // base) for n, word in enumerate(known, start=1)}
+    other = chr(0) + chr(base)
+    return ["".join([codes.get(word, other) for word in words]) for words in texts]
 
 
 def automata(phrases: dict[str, int], most: int) -> Iterator[ahocorasick.Automaton]:
@@ -261,37 +263,60 @@ def automata(phrases: dict[str, int], most: int) -> Iterator[ahocorasick.Automat
 
 
 def locate(ids: list[int | None], texts: list[bytes], one: np.ndarray, two: np.ndarray, least: np.ndarray, powers: Powers) -> list[np.ndarray]:
-    """Of each text, which words lie in a phrase that a smaller doc_id starts."""
+    """Of each text, which words lie in a phrase that a smaller doc_id starts.
+
+    Windows with the hash of a phrase are where phrases can be: only words of such windows get codes of their own.
+    Neighbouring windows make a passage.  Automata know a phrase by its passage up to the phrase's end, since such
+    beginnings of one passage share their nodes; every occurrence lies in a passage of its own text, so none is missed.
+    """
     one, two = one.view(np.uint64), two.view(np.uint64)
     order = np.argsort(one, kind="stable")
     one, two, least = one[order], two[order], least[order]
-    codes = Codes()
-    coded = ["".join(map(codes.__getitem__, text.split())) for text in texts]
-    phrases: dict[str, int] = {}
-    for text, words in zip(texts, coded):
+    split = [text.split() for text in texts]
+    likely, known = [], set()
+    for text, words in zip(texts, split):
         runs = Runs(text, powers)
         hashes = runs.hashes(WINDOW)
         left, there = places(one, hashes)
-        for i in np.flatnonzero(there).tolist():
-            phrase = words[3 * i : 3 * (i + WINDOW)]
+        at = np.flatnonzero(there)
+        likely.append((passages(at), at, left[at], hashes[at], runs.starts[at], runs.ends[at + WINDOW - 1]) if len(at) else None)
+        known.update([words[k] for k in np.flatnonzero(covered(at, len(words))).tolist()])
+    codes = coded(split, known)
+    phrases: dict[str, int] = {}
+    for text, words, found in zip(texts, codes, likely):
+        if found is None:
+            continue
+        for head, i, k, own, start, stop in zip(*(x.tolist() for x in found)):
+            phrase = words[2 * head : 2 * (i + WINDOW)]
             if phrase not in phrases:
-                exact = xxhash.xxh3_64_intdigest(text[runs.starts[i] : runs.ends[i + WINDOW - 1]])
-                k = int(left[i])
-                while k < len(one) and one[k] == hashes[i]:
+                exact = xxhash.xxh3_64_intdigest(text[start:stop])
+                while k < len(one) and one[k] == own:
                     if int(two[k]) == exact:
                         phrases[phrase] = int(least[k])
                     k += 1
-    removed = [np.zeros(len(words) // 3, dtype=bool) for words in coded]
+    removed = [np.zeros(len(words), dtype=bool) for words in split]
     for automaton in automata(phrases, PHRASES):
-        for i, words, gone in zip(ids, coded, removed):
+        for i, words, gone in zip(ids, codes, removed):
             if i is not None:
-                for end, first in automaton.iter(words):
-                    if first < i:
-                        stop = (end + 1) // 3
-                        gone[stop - WINDOW : stop] = True
+                starts = {(end + 1) // 2 - WINDOW for end, first in automaton.iter(words) if first < i}
+                gone |= covered(np.fromiter(starts, dtype=np.int64, count=len(starts)), len(gone))
     return removed
 
 
+def passages(at: np.ndarray) -> np.ndarray:
+    """For each window (ascending starts) the start of its passage: neighbours in a row, ``RUN`` at most."""
+    first = np.maximum.accumulate(np.where(np.append(True, np.diff(at) > 1), at, 0))
+    return at - (at - first) % RUN
+
+
+def covered(starts: np.ndarray, words: int) -> np.ndarray:
+    """Which of a text's words lie in a window that starts at one of these, all different."""
+    steps = np.zeros(words + 1, dtype=np.int8)
+    steps[starts] += 1
+    steps[starts + WINDOW] -= 1
+    return np.cumsum(steps[:-1], dtype=np.int64) > 0
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc`` (all columns of ``docs`` but the text), n_words, n_removed and ``kept``, the words left, joined by blanks."""
     table = blocks(docs)

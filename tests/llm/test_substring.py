@@ -38,11 +38,12 @@ def test_empty_table(no_docs):
     assert found(no_docs) == []
 
 
-@pytest.mark.parametrize("words, phrases", [(substring.BLOCK_WORDS, substring.PHRASES), (60, 7)])
-def test_planted_passages_match_brute_force(spark, monkeypatch, words, phrases):
+@pytest.mark.parametrize("words, phrases, run", [(substring.BLOCK_WORDS, substring.PHRASES, substring.RUN), (60, 7, 3), (400, 5, 1)])
+def test_planted_passages_match_brute_force(spark, monkeypatch, words, phrases, run):
     """Passages of 11 to 30 words, shared by many documents or twice in one, at any place."""
     monkeypatch.setattr(substring, "BLOCK_WORDS", words)
     monkeypatch.setattr(substring, "PHRASES", phrases)
+    monkeypatch.setattr(substring, "RUN", run)
     rng = random.Random(8)
     word = lambda: rng.choice("abcdefgh") * rng.randint(1, 3)
     passages = [[word() for _ in range(n)] for n in (11, 12, 13, 14, 20, 30)]
