@@ -8,9 +8,10 @@ emissions is the base model itself, so the probabilities of all token sequences
 
 Documents are gathered into blocks of coded tokens, written once and bucketed by block.  Counts
 are taken of all tokens in a shuffle, and each block gets those of its own tokens, so the
-vocabulary is never held whole anywhere.  Expected counts of a block are summed by token in a
-shuffle, and each round gives every block the rows of its own tokens; only starts, moves and totals
-are broadcast.  Tables of earlier rounds are released.  The recursions run in NumPy over chunks of ``CHUNK``
+vocabulary is never held whole anywhere.  Frequent tokens are numbered and their numbers cut into
+slices of 2**``SLICE``.  Expected counts travel as one row of packed numbers per block and slice, are
+added up ``GROUP`` rows at a time until a slice has one row, and go back to the blocks that hold some of
+its tokens; only starts, moves and totals are broadcast.  Tables of earlier rounds are released.  The recursions run in NumPy over chunks of ``CHUNK``
 tokens of many documents at once: a chunk's transfer matrix is the product of its steps, and
 chunks are chained per document, which is exact and keeps long documents from being slow.
 
@@ -30,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.llm.common import bucketed, forget_shuffles, held_out, release, save
@@ -43,8 +44,11 @@ MIXED = 0.05
 TOP = 64
 #: Tokens of a block: fewer blocks share fewer tokens.  The recursions take ``PIECE_TOKENS`` at a time.
 BLOCK_TOKENS = 2_000_000
-PIECE_TOKENS = 250_000
+PIECE_TOKENS = 125_000
 CHUNK = 64
+#: Bits of a token number within its slice; blocks or sums that a task adds up at a time.
+SLICE = 14
+GROUP = 32
 #: The end of a text; no word can be a line break.
 END = "\n"
 
@@ -294,9 +298,8 @@ def of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 def places(block: dict, top: list[int]) -> np.ndarray:
     """For each code of the block the place of its token number in ``top``, or -1."""
     out = np.full(block["words"].as_py(), -1)
-    if block["frequent"].is_valid:
-        found = pc.index_in(block["numbers"].values, value_set=pa.array(top, pa.int64()))
-        out[np.asarray(block["frequent"].values)] = np.asarray(pc.fill_null(found, -1))
+    found = pc.index_in(pa.array(listed(block, "numbers")), value_set=pa.array(top, pa.int64()))
+    out[listed(block, "frequent")] = np.asarray(pc.fill_null(found, -1))
     return out
 
 
@@ -327,40 +330,84 @@ def shared_use(table: DataFrame, top: list[int]) -> np.ndarray:
     return out.reshape(n, n)
 
 
-def sums(rows: DataFrame, states: int) -> DataFrame:
-    """Add up the arrays ``x`` of rows with the same kind and token number."""
-    parts = [F.sum(F.col("x")[k]).alias(f"x{k}") for k in range(states)]
-    return rows.groupBy("kind", "number").agg(*parts).select("kind", "number", F.array(*[f"x{k}" for k in range(states)]).alias("x"))
+COUNTED = "slice long, block long, at binary, x binary"
+SUMMED = "slice long, part long, at binary, x binary"
 
 
-COUNTED = "kind string, number long, x array<double>"
+def listed(block: dict, name: str) -> np.ndarray:
+    """Packed whole numbers of a block."""
+    return np.frombuffer(block[name].as_py() or b"", dtype=np.int64)
+
+
+def sliced(numbers: np.ndarray) -> list[tuple[int, int, int]]:
+    """Slice, start and stop of each run of ascending ``numbers`` that share a slice."""
+    own = numbers >> SLICE
+    at = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else own
+    return list(zip(own[at].tolist(), at.tolist(), [*at[1:].tolist(), len(own)]))
+
+
+def offsets(numbers: np.ndarray) -> bytes:
+    return (numbers & ((1 << SLICE) - 1)).astype(np.uint16).tobytes()
+
+
+def dense(table: pa.Table, states: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of packed rows of one slice, a line per offset, and which offsets occur."""
+    total, seen = np.zeros((1 << SLICE, states)), np.zeros(1 << SLICE, dtype=bool)
+    for at, x in zip(table.column("at"), table.column("x")):
+        own = np.frombuffer(at.as_py(), dtype=np.uint16)
+        total[own] += np.frombuffer(x.as_py()).reshape(-1, states)
+        seen[own] = True
+    return total, seen
+
+
+def part_of(blocks: int) -> Column:
+    """Which of the groups of about ``GROUP`` blocks a block is in."""
+    return F.pmod(F.xxhash64("block"), F.lit(-(-max(blocks, 1) // GROUP)))
+
+
+def sums(rows: DataFrame, states: int, blocks: int) -> DataFrame:
+    """COUNTED rows of ``blocks`` blocks added up to one row per slice; a task adds about ``GROUP`` rows at a time."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total, seen = dense(table, states)
+        at = np.flatnonzero(seen)
+        return pa.table(
+            [table.column("slice")[:1], table.column("part")[:1], pa.array([offsets(at)], pa.binary()), pa.array([total[at].tobytes()], pa.binary())],
+            ["slice", "part", "at", "x"],
+        )
+
+    parts = -(-max(blocks, 1) // GROUP)
+    rows = rows.select("slice", part_of(blocks).alias("part"), "at", "x")
+    while True:
+        rows = rows.groupBy("slice", "part").applyInArrow(add, SUMMED)
+        if parts == 1:
+            return rows.drop("part")
+        parts = -(-parts // GROUP)
+        rows = rows.select("slice", (F.col("part") % parts).alias("part"), "at", "x")
 
 
 def expected_rows(block: dict, by_code: np.ndarray, moves: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
-    """Rows of COUNTED for a block: expected counts of its frequent tokens by state, and totals, moves and starts."""
+    """Rows of COUNTED for a block: expected counts of its frequent tokens by state; slice -1 has totals, rare ones, starts and moves."""
     frequent, numbers = listed(block, "frequent"), listed(block, "numbers")
     total = by_code.sum(axis=0)
     own = by_code[frequent]
-    others = {"total": total, "rare": total - own.sum(axis=0), "start": start} | {f"move{i}": row for i, row in enumerate(moves)}
-    values = np.concatenate([own, *[v[None, :] for v in others.values()]])
+    others = np.stack([total, total - own.sum(axis=0), start, *moves])
+    cuts = sliced(numbers)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(["token"] * len(own) + list(others), pa.string()), pa.array([*numbers.tolist(), *[None] * len(others)], pa.int64()),
-            pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), values.shape[1]).cast(pa.list_(pa.float64())),
+            pa.array([-1, *[s for s, _, _ in cuts]], pa.int64()), pa.array([block["block"].as_py()] * (len(cuts) + 1), pa.int64()),
+            pa.array([offsets(np.arange(len(others))), *[offsets(numbers[a:b]) for _, a, b in cuts]], pa.binary()),
+            pa.array([others.tobytes(), *[own[a:b].tobytes() for _, a, b in cuts]], pa.binary()),
         ],
-        ["kind", "number", "x"],
+        ["slice", "block", "at", "x"],
     )
 
 
-def listed(block: dict, name: str) -> np.ndarray:
-    return np.asarray(block[name].values) if block[name].is_valid else np.empty(0, dtype=np.int64)
-
-
 def by_code(codes: np.ndarray, gamma: np.ndarray, size: int) -> np.ndarray:
     return np.stack([np.bincount(codes, weights=gamma[:, k], minlength=size) for k in range(gamma.shape[1])], axis=1)
 
 
-def first_counts(table: DataFrame, top: list[int], group: np.ndarray, states: int) -> DataFrame:
+def first_counts(table: DataFrame, top: list[int], group: np.ndarray, states: int, blocks: int) -> DataFrame:
     """Counts as if each training document were in the one state whose words it uses most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,10 +422,10 @@ def first_counts(table: DataFrame, top: list[int], group: np.ndarray, states: in
             steps = np.bincount(state, weights=lengths - 1.0, minlength=states)
             yield expected_rows(block, counts.reshape(-1, states).astype(float), np.diag(steps), np.bincount(state, minlength=states).astype(float))
 
-    return sums(table.select("codes", "lengths", "trains", "words", "frequent", "numbers").mapInArrow(run, COUNTED), states)
+    return sums(table.select("block", "codes", "lengths", "trains", "words", "frequent", "numbers").mapInArrow(run, COUNTED), states, blocks)
 
 
-def next_counts(table: DataFrame, chain: Chain) -> DataFrame:
+def next_counts(table: DataFrame, chain: Chain, blocks: int) -> DataFrame:
     """One Baum-Welch round: expected counts of all training documents, summed by token."""
     shared = table.sparkSession.sparkContext.broadcast(chain)
     states = len(chain.start)
@@ -394,7 +441,7 @@ def next_counts(table: DataFrame, chain: Chain) -> DataFrame:
                 start += own_start
             yield expected_rows(block, counts, moves, start)
 
-    return sums(table.select("codes", "lengths", "trains", "words", "frequent", "numbers", "known", "x").mapInArrow(run, COUNTED), states)
+    return sums(table.select("block", "codes", "lengths", "trains", "words", "frequent", "numbers", "known", "x").mapInArrow(run, COUNTED), states, blocks)
 
 
 def emissions_of(block: dict, chain: Chain, counts: np.ndarray | None) -> np.ndarray:
@@ -402,7 +449,7 @@ def emissions_of(block: dict, chain: Chain, counts: np.ndarray | None) -> np.nda
     size = block["words"].as_py()
     frequent, known = listed(block, "frequent"), listed(block, "known")
     # A row per frequent token, in the order of ``frequent``.
-    expected = np.asarray(block["x"].values.flatten()).reshape(-1, len(chain.start)) if block["x"].is_valid else np.empty((0, len(chain.start)))
+    expected = np.frombuffer(block["x"].as_py() or b"").reshape(-1, len(chain.start))
     if counts is None:
         counts = np.zeros(size)
         counts[frequent] = known
@@ -412,30 +459,64 @@ def emissions_of(block: dict, chain: Chain, counts: np.ndarray | None) -> np.nda
 def chain_of(rows: DataFrame, base: Base, states: int) -> Chain:
     """Summed counts as a chain, without those of single tokens; a little smoothing keeps every move possible."""
     zero = np.zeros(states)
-    found = {row.kind: np.array(row.x) for row in rows.where("kind <> 'token'").collect()}
-    start = found.get("start", zero) + 0.1
-    move = np.array([found.get(f"move{i}", zero) for i in range(states)])
+    found = rows.where("slice = -1").select("x").first()
+    total, rare, start, *move = np.frombuffer(found.x).reshape(-1, states) if found else [zero] * (3 + states)
+    start, move = start + 0.1, np.array(move)
     move += 1e-4 * move.sum(axis=1, keepdims=True) + 0.1
-    total, rare = found.get("total", zero), found.get("rare", zero)
     return Chain(start / start.sum(), move / move.sum(axis=1, keepdims=True), total, rare, base)
 
 
 def with_frequent(table: DataFrame, tokens: DataFrame, numbered: DataFrame) -> DataFrame:
-    """Blocks with their frequent tokens: codes ``frequent``, ``numbers``, counts ``known``; written bucketed, so passes shuffle nothing."""
-    rows = tokens.join(numbered, "token")
-    own = rows.groupBy("block").agg(F.collect_list(F.struct("id", "count", "number")).alias("own"))
-    fields = [F.col("own.id").cast("array<bigint>").alias("frequent"), F.col("own.count").alias("known"), F.col("own.number").alias("numbers")]
-    return table.join(bucketed(own.select("block", *fields), "frequent", "block").hint("merge"), "block", "left")
+    """Blocks with their frequent tokens in the order of their numbers: codes ``frequent``, ``numbers``, counts ``known``, all packed.
+
+    Written bucketed, so passes shuffle nothing.
+    """
 
+    def pack(own: pa.Table) -> pa.Table:
+        own = own.sort_by("number")
+        packed = [pa.array([own.column(c).to_numpy().astype(np.int64).tobytes()], pa.binary()) for c in ("id", "count", "number")]
+        return pa.table([own.column("block")[:1], *packed], ["block", "frequent", "known", "numbers"])
 
-def with_expected(ready: DataFrame, numbers: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Blocks with ``x``, the summed counts of their frequent tokens in the order of ``frequent``; and the table that holds them.
+    rows = tokens.join(numbered, "token").select("block", "id", "count", "number")
+    own = rows.groupBy("block").applyInArrow(pack, "block long, frequent binary, known binary, numbers binary")
+    return table.join(bucketed(own, "frequent", "block").hint("merge"), "block", "left")
 
-    A block without training documents may hold tokens that none counted: every frequent one was counted somewhere.
+
+def wanted_slices(ready: DataFrame, blocks: int) -> DataFrame:
+    """The slices of each block's frequent tokens, and their offsets there; written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in of_blocks(batches):
+            numbers = listed(block, "numbers")
+            cuts = sliced(numbers)
+            columns = [[block["block"].as_py()] * len(cuts), [s for s, _, _ in cuts]]
+            at = pa.array([offsets(numbers[a:b]) for _, a, b in cuts], pa.binary())
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns], at], ["block", "slice", "at"])
+
+    rows = ready.select("block", "numbers").mapInArrow(run, "block long, slice long, at binary")
+    return save(rows.withColumn("part", part_of(blocks)), "wanted")
+
+
+def with_expected(ready: DataFrame, wanted: DataFrame, summed: DataFrame, states: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks with ``x``, the summed counts of their frequent tokens in the order of ``frequent``, packed; and the table that holds them.
+
+    A slice's sums go once to each group of blocks that holds some of its tokens.
     """
-    found = numbers.join(rows.where("kind = 'token'").select("number", "x"), "number")
-    own = found.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("own"))
-    held = bucketed(own.select("block", F.col("own.x").alias("x")), "expected", "block")
+
+    def pick(own: pa.Table, total: pa.Table) -> pa.Table:
+        lines, _ = dense(total, states)
+        x = [lines[np.frombuffer(at.as_py(), dtype=np.uint16)].tobytes() for at in own.column("at")]
+        return pa.table([own.column("block"), own.column("slice"), pa.array(x, pa.binary())], ["block", "slice", "x"])
+
+    def join(own: pa.Table) -> pa.Table:
+        own = own.sort_by("slice")
+        return pa.table([own.column("block")[:1], pa.array([b"".join(own.column("x").to_pylist())], pa.binary())], ["block", "x"])
+
+    # Aliases set the two sides of the cogroup apart.
+    asked = wanted.select(F.col("slice").alias("slice"), F.col("part").alias("part")).distinct()
+    sent = summed.where("slice >= 0").join(asked, "slice").select("slice", "part", "at", "x")
+    own = wanted.groupBy("slice", "part").cogroup(sent.groupBy("slice", "part")).applyInArrow(pick, "block long, slice long, x binary")
+    held = bucketed(own.groupBy("block").applyInArrow(join, "block long, x binary"), "expected", "block")
     return ready.join(held.hint("merge"), "block", "left"), held
 
 
@@ -449,18 +530,19 @@ def score(docs: DataFrame, parts: int = 5, held: int = 1, states: int = STATES,
     base = Base(n, v, *(int(x or 0) for x in often.agg(F.sum("count"), F.count(F.lit(1))).first()))
     top = [r.number for r in often.where(F.col("token") != END).orderBy(F.desc("count"), "token").limit(TOP).collect()]
     ready = with_frequent(table, tokens.select("block", "id", "count", "token"), often.select("token", "number"))
-    numbers = ready.select("block", F.posexplode("numbers").alias("at", "number"))
+    count = table.count()
+    wanted = wanted_slices(ready, count)
     group = groups(shared_use(ready, top), states) if top else np.zeros(0, dtype=int)
-    summed = save(first_counts(ready, top, group, states), "summed")
+    summed = save(first_counts(ready, top, group, states, count), "summed")
     chain = chain_of(summed, base, states)
-    whole, held_rows = with_expected(ready, numbers, summed)
+    whole, held_rows = with_expected(ready, wanted, summed, states)
     for _ in range(rounds):
-        after = save(next_counts(whole, chain), "summed")
+        after = save(next_counts(whole, chain, count), "summed")
         chain = chain_of(after, base, states)
         release(summed)
         release(held_rows)
         summed = after
-        whole, held_rows = with_expected(ready, numbers, summed)
+        whole, held_rows = with_expected(ready, wanted, summed, states)
         forget_shuffles(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     columns = ["block", "doc", "trains", "lengths", "codes", "words", "frequent", "known", "numbers", "x"]

@@ -92,6 +92,15 @@ def test_training_raises_the_likelihood_and_beats_the_unigram_model(sample):
     assert score > base
 
 
+def test_scores_do_not_depend_on_blocks_or_on_how_their_counts_are_added_up(sample, monkeypatch):
+    own = lambda: {r.doc.doc_id: (r.n_tokens, r.n_known, r.base_score, r.score) for r in hmm.score(sample, rounds=2).collect()}
+    whole = own()
+    monkeypatch.setattr(hmm, "BLOCK_TOKENS", 2_000)
+    monkeypatch.setattr(hmm, "GROUP", 2)
+    parts = own()
+    assert whole.keys() == parts.keys() and all(np.allclose(whole[i], parts[i], rtol=1e-8) for i in whole)
+
+
 def test_empty_table_and_no_training_rows(spark, no_docs):
     assert hmm.score(no_docs).collect() == []
     lone = spark.createDataFrame([(None, "some words"), (None, None)], "doc_id long, text string")
