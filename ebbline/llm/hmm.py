@@ -25,13 +25,14 @@ training rows every token has probability one.  Every input row gives a row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbline.llm.common import bucketed, forget_shuffles, held_out, release, save
@@ -360,6 +361,18 @@ def dense(table: pa.Table, states: int) -> tuple[np.ndarray, np.ndarray]:
     return total, seen
 
 
+@contextmanager
+def block_by_block(spark: SparkSession) -> Iterator[None]:
+    """Jobs planned inside send Python one row at a time, so a task holds one block, however many its bucket has; the setting is restored."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def part_of(blocks: int) -> Column:
     """Which of the groups of about ``GROUP`` blocks a block is in."""
     return F.pmod(F.xxhash64("block"), F.lit(-(-max(blocks, 1) // GROUP)))
@@ -531,20 +544,24 @@ def score(docs: DataFrame, parts: int = 5, held: int = 1, states: int = STATES,
     top = [r.number for r in often.where(F.col("token") != END).orderBy(F.desc("count"), "token").limit(TOP).collect()]
     ready = with_frequent(table, tokens.select("block", "id", "count", "token"), often.select("token", "number"))
     count = table.count()
-    wanted = wanted_slices(ready, count)
-    group = groups(shared_use(ready, top), states) if top else np.zeros(0, dtype=int)
-    summed = save(first_counts(ready, top, group, states, count), "summed")
+    spark = docs.sparkSession
+    with block_by_block(spark):
+        wanted = wanted_slices(ready, count)
+    with block_by_block(spark):
+        group = groups(shared_use(ready, top), states) if top else np.zeros(0, dtype=int)
+        summed = save(first_counts(ready, top, group, states, count), "summed")
     chain = chain_of(summed, base, states)
     whole, held_rows = with_expected(ready, wanted, summed, states)
     for _ in range(rounds):
-        after = save(next_counts(whole, chain, count), "summed")
+        with block_by_block(spark):
+            after = save(next_counts(whole, chain, count), "summed")
         chain = chain_of(after, base, states)
         release(summed)
         release(held_rows)
         summed = after
         whole, held_rows = with_expected(ready, wanted, summed, states)
-        forget_shuffles(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(chain)
+        forget_shuffles(spark)
+    shared = spark.sparkContext.broadcast(chain)
     columns = ["block", "doc", "trains", "lengths", "codes", "words", "frequent", "known", "numbers", "x"]
     kind = table.schema["doc"].dataType.elementType
 
