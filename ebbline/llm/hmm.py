@@ -44,7 +44,7 @@ MIN_COUNT = 5
 MIXED = 0.05
 TOP = 64
 #: Tokens of a block: fewer blocks share fewer tokens.  The recursions take ``PIECE_TOKENS`` at a time.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 PIECE_TOKENS = 125_000
 CHUNK = 64
 #: Bits of a token number within its slice; blocks or sums that a task adds up at a time.
