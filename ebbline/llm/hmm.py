@@ -9,10 +9,11 @@ emissions is the base model itself, so the probabilities of all token sequences
 Documents are gathered into blocks of coded tokens, written once and bucketed by block.  Counts
 are taken of all tokens in a shuffle, and each block gets those of its own tokens, so the
 vocabulary is never held whole anywhere.  Frequent tokens are numbered and their numbers cut into
-slices of 2**``SLICE``.  Expected counts travel as one row of packed numbers per block and slice, are
-added up ``GROUP`` rows at a time until a slice has one row, and go back to the blocks that hold some of
-its tokens; only starts, moves and totals are broadcast.  Tables of earlier rounds are released.  The recursions run in NumPy over chunks of ``CHUNK``
-tokens of many documents at once: a chunk's transfer matrix is the product of its steps, and
+slices of 2**``SLICE``.  Expected counts travel as one row of packed numbers per block and slice, in
+single precision, are added up in double precision ``GROUP`` rows at a time until a slice has one row,
+and go back to the blocks that hold some of its tokens; only starts, moves and totals, always in double
+precision, are broadcast.  Tables and shuffles of earlier steps are released.  The recursions run in
+NumPy over chunks of ``CHUNK`` tokens of many documents at once: a chunk's transfer matrix is the product of its steps, and
 chunks are chained per document, which is exact and keeps long documents from being slow.
 
 To start, the ``TOP`` most frequent words are split into one group per state by how rarely they
@@ -32,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.llm.common import bucketed, forget_shuffles, held_out, release, save
@@ -109,13 +110,10 @@ def blocks(docs: DataFrame, parts: int, held: int) -> DataFrame:
     return bucketed(made, "coded", "block")
 
 
-def statistics(table: DataFrame) -> DataFrame:
-    """block, id, token of every block's tokens, with the training count of the whole corpus; ``first`` once per token."""
+def block_tokens(table: DataFrame) -> DataFrame:
+    """block, id, token and its training count in the block, of every block's tokens."""
     own = table.select("block", F.posexplode(F.arrays_zip("vocab", "counts")).alias("id", "x"))
-    own = own.select("block", "id", F.col("x.vocab").alias("token"), F.col("x.counts").alias("own"))
-    # One row per block at most.  The hash only makes the sort cheaper.
-    same = Window.partitionBy(F.xxhash64("token"), "token")
-    return own.select("block", "id", "token", F.sum("own").over(same).alias("count"), (F.min("block").over(same) == F.col("block")).alias("first"))
+    return own.select("block", "id", F.col("x.vocab").alias("token"), F.col("x.counts").alias("own"))
 
 
 @dataclass(frozen=True)
@@ -347,16 +345,21 @@ def sliced(numbers: np.ndarray) -> list[tuple[int, int, int]]:
     return list(zip(own[at].tolist(), at.tolist(), [*at[1:].tolist(), len(own)]))
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Counts on their way between a block and the sums: seven digits of each."""
+    return x.astype(np.float32).tobytes()
+
+
 def offsets(numbers: np.ndarray) -> bytes:
     return (numbers & ((1 << SLICE) - 1)).astype(np.uint16).tobytes()
 
 
 def dense(table: pa.Table, states: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sum of packed rows of one slice, a line per offset, and which offsets occur."""
+    """The sum of packed rows of one slice, a line per offset, and which offsets occur.  Rows hold floats of four or eight bytes."""
     total, seen = np.zeros((1 << SLICE, states)), np.zeros(1 << SLICE, dtype=bool)
     for at, x in zip(table.column("at"), table.column("x")):
-        own = np.frombuffer(at.as_py(), dtype=np.uint16)
-        total[own] += np.frombuffer(x.as_py()).reshape(-1, states)
+        own, raw = np.frombuffer(at.as_py(), dtype=np.uint16), x.as_py()
+        total[own] += np.frombuffer(raw, dtype=f"f{len(raw) // (len(own) * states)}").reshape(-1, states)
         seen[own] = True
     return total, seen
 
@@ -410,7 +413,7 @@ def expected_rows(block: dict, by_code: np.ndarray, moves: np.ndarray, start: np
         [
             pa.array([-1, *[s for s, _, _ in cuts]], pa.int64()), pa.array([block["block"].as_py()] * (len(cuts) + 1), pa.int64()),
             pa.array([offsets(np.arange(len(others))), *[offsets(numbers[a:b]) for _, a, b in cuts]], pa.binary()),
-            pa.array([others.tobytes(), *[own[a:b].tobytes() for _, a, b in cuts]], pa.binary()),
+            pa.array([others.tobytes(), *[packed(own[a:b]) for _, a, b in cuts]], pa.binary()),
         ],
         ["slice", "block", "at", "x"],
     )
@@ -445,7 +448,7 @@ def next_counts(table: DataFrame, chain: Chain, blocks: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in of_blocks(batches):
-            emitted = emissions_of(block, shared.value, None)
+            emitted = emissions_of(block, shared.value)
             counts, moves, start = np.zeros_like(emitted), np.zeros((states, states)), np.zeros(states)
             for codes, lengths in pieces(*arrays(block, True)):
                 gamma, own_moves, own_start = expectations(emitted[codes], lengths, shared.value)
@@ -457,16 +460,11 @@ def next_counts(table: DataFrame, chain: Chain, blocks: int) -> DataFrame:
     return sums(table.select("block", "codes", "lengths", "trains", "words", "frequent", "numbers", "known", "x").mapInArrow(run, COUNTED), states, blocks)
 
 
-def emissions_of(block: dict, chain: Chain, counts: np.ndarray | None) -> np.ndarray:
-    """P(token | state) for a block's tokens.  Without ``counts`` rare ones get their class: the same for a posterior."""
-    size = block["words"].as_py()
-    frequent, known = listed(block, "frequent"), listed(block, "known")
+def emissions_of(block: dict, chain: Chain) -> np.ndarray:
+    """P(token | state) for a block's tokens."""
     # A row per frequent token, in the order of ``frequent``.
-    expected = np.frombuffer(block["x"].as_py() or b"").reshape(-1, len(chain.start))
-    if counts is None:
-        counts = np.zeros(size)
-        counts[frequent] = known
-    return chain.emissions(expected, counts, frequent)
+    expected = np.frombuffer(block["x"].as_py() or b"", dtype=np.float32).astype(float).reshape(-1, len(chain.start))
+    return chain.emissions(expected, listed(block, "known"), listed(block, "frequent"))
 
 
 def chain_of(rows: DataFrame, base: Base, states: int) -> Chain:
@@ -479,20 +477,22 @@ def chain_of(rows: DataFrame, base: Base, states: int) -> Chain:
     return Chain(start / start.sum(), move / move.sum(axis=1, keepdims=True), total, rare, base)
 
 
-def with_frequent(table: DataFrame, tokens: DataFrame, numbered: DataFrame) -> DataFrame:
-    """Blocks with their frequent tokens in the order of their numbers: codes ``frequent``, ``numbers``, counts ``known``, all packed.
+def with_known(table: DataFrame, words: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Blocks with the corpus counts ``known`` of their tokens, and their frequent ones in the order of their numbers: codes ``frequent`` and ``numbers``; all packed.
 
     Written bucketed, so passes shuffle nothing.
     """
 
     def pack(own: pa.Table) -> pa.Table:
-        own = own.sort_by("number")
-        packed = [pa.array([own.column(c).to_numpy().astype(np.int64).tobytes()], pa.binary()) for c in ("id", "count", "number")]
-        return pa.table([own.column("block")[:1], *packed], ["block", "frequent", "known", "numbers"])
+        whole = lambda t, c: pa.array([t.column(c).to_numpy().astype(np.int64).tobytes()], pa.binary())
+        often = own.filter(pc.is_valid(own.column("number"))).sort_by("number")
+        columns = [own.column("block")[:1], whole(own.sort_by("id"), "count"), whole(often, "id"), whole(often, "number")]
+        return pa.table(columns, ["block", "known", "frequent", "numbers"])
 
-    rows = tokens.join(numbered, "token").select("block", "id", "count", "number")
-    own = rows.groupBy("block").applyInArrow(pack, "block long, frequent binary, known binary, numbers binary")
-    return table.join(bucketed(own, "frequent", "block").hint("merge"), "block", "left")
+    # A token has a row per block that holds it: the join may split those of a very common one.
+    rows = block_tokens(table).drop("own").join(words, "token").join(numbered, "token", "left").drop("token")
+    own = rows.groupBy("block").applyInArrow(pack, "block long, known binary, frequent binary, numbers binary")
+    return table.join(bucketed(own, "known", "block").hint("merge"), "block", "left")
 
 
 def wanted_slices(ready: DataFrame, blocks: int) -> DataFrame:
@@ -518,7 +518,7 @@ def with_expected(ready: DataFrame, wanted: DataFrame, summed: DataFrame, states
 
     def pick(own: pa.Table, total: pa.Table) -> pa.Table:
         lines, _ = dense(total, states)
-        x = [lines[np.frombuffer(at.as_py(), dtype=np.uint16)].tobytes() for at in own.column("at")]
+        x = [packed(lines[np.frombuffer(at.as_py(), dtype=np.uint16)]) for at in own.column("at")]
         return pa.table([own.column("block"), own.column("slice"), pa.array(x, pa.binary())], ["block", "slice", "x"])
 
     def join(own: pa.Table) -> pa.Table:
@@ -536,21 +536,24 @@ def with_expected(ready: DataFrame, wanted: DataFrame, summed: DataFrame, states
 def score(docs: DataFrame, parts: int = 5, held: int = 1, states: int = STATES, rounds: int = ROUNDS, min_count: int = MIN_COUNT) -> DataFrame:
     """``doc`` (all columns of ``docs`` but the text), trains, n_tokens, n_known, train_tokens, base_score and score (log10)."""
     table = blocks(docs, parts, held)
-    tokens = save(statistics(table), "tokens")
-    seen = tokens.where("first and count > 0")
+    spark = docs.sparkSession
+    words = save(block_tokens(table).groupBy("token").agg(F.sum("own").alias("count")), "words")
+    forget_shuffles(spark)
+    seen = words.where("count > 0")
     n, v = (int(x or 0) for x in seen.agg(F.sum("count"), F.count(F.lit(1))).first())
     often = save(seen.where(F.col("count") >= min_count).select("token", "count", F.monotonically_increasing_id().alias("number")), "often")
     base = Base(n, v, *(int(x or 0) for x in often.agg(F.sum("count"), F.count(F.lit(1))).first()))
     top = [r.number for r in often.where(F.col("token") != END).orderBy(F.desc("count"), "token").limit(TOP).collect()]
-    ready = with_frequent(table, tokens.select("block", "id", "count", "token"), often.select("token", "number"))
+    ready = with_known(table, words, often.select("token", "number"))
+    forget_shuffles(spark)
     count = table.count()
-    spark = docs.sparkSession
     with block_by_block(spark):
         wanted = wanted_slices(ready, count)
     with block_by_block(spark):
         group = groups(shared_use(ready, top), states) if top else np.zeros(0, dtype=int)
         summed = save(first_counts(ready, top, group, states, count), "summed")
     chain = chain_of(summed, base, states)
+    forget_shuffles(spark)
     whole, held_rows = with_expected(ready, wanted, summed, states)
     for _ in range(rounds):
         with block_by_block(spark):
@@ -559,20 +562,22 @@ def score(docs: DataFrame, parts: int = 5, held: int = 1, states: int = STATES,
         release(summed)
         release(held_rows)
         summed = after
+        # What nothing refers to any more goes before the next shuffle is written, and after it.
+        del whole, held_rows
+        forget_shuffles(spark)
         whole, held_rows = with_expected(ready, wanted, summed, states)
         forget_shuffles(spark)
     shared = spark.sparkContext.broadcast(chain)
-    columns = ["block", "doc", "trains", "lengths", "codes", "words", "frequent", "known", "numbers", "x"]
+    columns = ["block", "doc", "trains", "lengths", "codes", "frequent", "known", "x"]
     kind = table.schema["doc"].dataType.elementType
 
-    def scored(blocks: pa.Table, counted: pa.Table) -> pa.Table:
-        """Documents of one block; ``counted`` has the code and corpus count of each of its tokens."""
+    def scored(blocks: pa.Table) -> pa.Table:
+        """Documents of one block."""
         block = next(of_blocks(blocks.combine_chunks().to_batches()))
         codes, lengths = arrays(block, False)
-        counts = np.empty(block["words"].as_py())
-        counts[counted.column("id").to_numpy()] = counted.column("count").to_numpy()
+        counts = listed(block, "known")
         plain = np.log10(shared.value.base.probability(counts))
-        emitted = emissions_of(block, shared.value, counts)
+        emitted = emissions_of(block, shared.value)
         at = np.cumsum(lengths) - lengths
         known, base_scores = np.add.reduceat((counts > 0)[codes].astype(np.int64), at), np.add.reduceat(plain[codes], at)
         logs = np.concatenate([likelihoods(emitted[own], sizes, shared.value) for own, sizes in pieces(codes, lengths)])
@@ -582,7 +587,6 @@ def score(docs: DataFrame, parts: int = 5, held: int = 1, states: int = STATES,
             ["doc", "trains", "n_tokens", "n_known", "base_score", "score"],
         )
 
-    grouped = whole.select(*columns).groupBy("block").cogroup(tokens.select("block", "id", "count").groupBy("block"))
-    return grouped.applyInArrow(
+    return whole.select(*columns).groupBy("block").applyInArrow(
         scored, f"doc {kind.simpleString()}, trains boolean, n_tokens long, n_known long, base_score double, score double"
     ).withColumn("train_tokens", F.lit(base.tokens).cast("long"))
