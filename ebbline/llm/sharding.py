@@ -70,8 +70,8 @@ def split(nodes: DataFrame) -> DataFrame:
     along = F.coalesce(*[F.when(F.col("dimension") == c, F.col(c)) for c in DIMENSIONS])
     placed = nodes.join(F.broadcast(chosen.select("first", "dimension")), "first").withColumn("along", along).drop("dimension")
     summed = with_running(placed, [asc("first"), asc("along"), asc("row")], {"running": "size"}, rank=None)
-    before = chosen.alias("a").join(chosen.alias("b"), F.col("b.first") < F.col("a.first"), "left")
-    before = before.groupBy("a.first").agg(F.first("a.total").alias("total"), F.coalesce(F.sum("b.total"), F.lit(0)).alias("before"))
+    before = with_running(chosen, [asc("first")], {"upto": "total"}, rank=None)
+    before = before.select("first", "total", (F.col("upto") - F.col("total")).alias("before"))
     left = F.floor(F.col("shards") / 2).cast("long")
     wide = lambda c: c.cast("decimal(38,0)")
     middle = 2 * (F.col("running") - F.col("before")) - F.col("size")

@@ -52,3 +52,27 @@ def test_the_first_split_is_at_the_weighted_median_of_the_widest_dimension(spark
     docs = spark.createDataFrame([(i, "x" * 9, "en", "s") for i in range(40)], "doc_id long, text string, lang string, source string")
     got = {r.doc.doc_id: r.shard for r in sharding.kd_shards(docs, shards=2).collect()}
     assert got == {i: int(i >= 20) for i in range(40)}
+
+
+def reference(points, shards, first=0):
+    """{row: shard} by the recursive definition; rows are (c0 .. c3, size, row)."""
+    if shards == 1 or not points:
+        return {p[-1]: first for p in points}
+    widths = [max(p[d] for p in points) - min(p[d] for p in points) for d in range(4)]
+    along = widths.index(max(widths))
+    ordered = sorted(points, key=lambda p: (p[along], p[-1]))
+    total, left, running, parts = sum(p[-2] for p in points), shards // 2, 0, ([], [])
+    for p in ordered:
+        running += p[-2]
+        parts[not (2 * running - p[-2]) * shards < 2 * total * left].append(p)
+    return {**reference(parts[0], left, first), **reference(parts[1], shards - left, first + left)}
+
+
+@pytest.mark.parametrize("shards", [3, 16])
+def test_shards_match_the_recursive_definition(sample, shards):
+    rows = sharding.tagged(sharding.measured(sample), "sized")
+    points = [tuple(p) for p in sharding.points(rows).select(*sharding.DIMENSIONS, "size", "row").collect()]
+    name = {r.row: r.doc.doc_id for r in rows.collect()}
+    want = {name[row]: shard for row, shard in reference(points, shards).items()}
+    got = {r.doc.doc_id: r.shard for r in sharding.kd_shards(sample, shards=shards).collect()}
+    assert len(name) == len(set(name.values())) and got == want
