@@ -7,6 +7,7 @@ import random
 import time
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.functions.ordering import OrderKey, asc
-from ebbline.ml.boosting import BoostedTrees, Spec, Tree, TreeParams, fit_many, margins, quantile_edges, sigmoid
+from ebbline.ml.boosting import BoostedTrees, Spec, Tree, TreeParams, fit_many, fit_scores, margins, quantile_edges, sigmoid
 from ebbline.ml.models import score_with, train_baseline
 from ebbline.operators.evaluation import auc_by, auc_metrics
 from ebbline.operators.splits import fold_classes, forward_folds, train_part, usable_folds, val_part
@@ -76,8 +77,11 @@ def fit_folds(
     folds: DataFrame, usable: Sequence[int], params: TreeParams, features: Sequence[str], seed: int, edges: list[np.ndarray]
 ) -> dict[int, BoostedTrees]:
     """The trees of every fold, grown side by side: fold f learns from the rows before its own."""
-    key = next(c for c in folds.columns if c in ("customer_id", "pos"))
-    return dict(zip(usable, fit_many(folds, features, [Spec(params, seed, f) for f in usable], key, "val_fold", edges)))
+    return dict(zip(usable, fit_many(folds, features, [Spec(params, seed, f) for f in usable], key_of(folds), "val_fold", edges)))
+
+
+def key_of(folds: DataFrame) -> str:
+    return next(c for c in folds.columns if c in ("customer_id", "pos"))
 
 
 def held_out_scores(folds: DataFrame, features: Sequence[str], models: Mapping[int, tuple[int, Sequence[Tree]]]) -> DataFrame:
@@ -226,18 +230,20 @@ def search(
     done: list[Trial] = stored_trials(spark, runs) if runs else []
     early = False
 
-    def areas(models: Mapping[int, Mapping[int, Sequence[Tree]]]) -> dict[int, float | None]:
-        """Mean PR-AUC of each trial; all trials and folds are scored in one pass."""
-        groups = {t * (k + 1) + f: (f, trees) for t, own in models.items() for f, trees in own.items()}
-        found: dict[int, list[float]] = {t: [] for t in models}
-        for r in auc_by(held_out_scores(folds, features, groups), "grp").collect() if groups else []:
+    def areas(tables: Mapping[int, DataFrame], rounds: Mapping[int, int]) -> dict[int, float | None]:
+        """Mean PR-AUC of each trial after its ``rounds``; all trials and folds are measured in one pass."""
+        found: dict[int, list[float]] = {t: [] for t in tables}
+        own = [s.where(F.col("rounds") == rounds[t]).select((F.col("grp") + t * k).alias("grp"), "label", "score") for t, s in tables.items()]
+        for r in auc_by(reduce(DataFrame.unionByName, own), "grp").collect() if own else []:
             if r["pr_auc"] is not None:
-                found[r["grp"] // (k + 1)].append(r["pr_auc"])
+                found[r["grp"] // k].append(r["pr_auc"])
         return {t: sum(x) / len(x) if x else None for t, x in found.items()}
 
-    def fitted(params: Mapping[str, float], rounds: int | None = None) -> dict[int, Sequence[Tree]]:
-        own = TreeParams.of(dict(params) | ({"n_estimators": rounds} if rounds else {}))
-        return {f: m.trees for f, m in fit_folds(folds, usable, own, features, seed, edges).items()}
+    def fitted(params: Mapping[str, float], *marks: int) -> DataFrame:
+        """Scores of the held-out rows of all folds after each of the ``marks``, written: the trees of a generation are too many for the driver."""
+        own = TreeParams.of(dict(params) | {"n_estimators": max(marks)})
+        specs = [Spec(own, seed, f) for f in usable]
+        return write_table(fit_scores(folds, features, specs, key_of(folds), "val_fold", edges, marks), "trial")
 
     with ThreadPoolExecutor(parallelism) as pool:
         while len(done) < n_trials and not early:
@@ -249,20 +255,21 @@ def search(
                     early = True
                     break
                 params[trial] = propose(random.Random(f"{seed}-{trial}"), known, space)
-            rungs = {t: max(1, round(TreeParams.of(p).n_estimators * RUNG)) for t, p in params.items()}
+            whole = {t: TreeParams.of(p).n_estimators for t, p in params.items()}
+            rungs = {t: max(1, round(n * RUNG)) for t, n in whole.items()}
             # The median of what the others had after their quarter; nothing is pruned before there are enough.
             before = sorted(s for _, _, s, _, _ in done if s is not None)
             bar = before[len(before) // 2] if len(before) >= STARTUP else None
             if bar is not None:
                 short = dict(zip(params, pool.map(lambda t: fitted(params[t], rungs[t]), params)))
-                rung = areas(short)
+                rung = areas(short, rungs)
                 go_on = [t for t in params if rung[t] is None or rung[t] >= bar]
             else:
                 rung, go_on = {}, list(params)
-            full = dict(zip(go_on, pool.map(lambda t: fitted(params[t]), go_on)))
+            full = dict(zip(go_on, pool.map(lambda t: fitted(params[t], *([rungs[t]] if bar is None else []), whole[t]), go_on)))
             if bar is None:
-                rung = areas({t: {f: trees[: rungs[t]] for f, trees in own.items()} for t, own in full.items()})
-            scores = areas(full)
+                rung = areas(full, rungs)
+            scores = areas(full, whole)
             new = [(t, scores.get(t, rung[t]), rung[t], t not in full, {n: float(v) for n, v in p.items()}) for t, p in params.items()]
             if runs and new:
                 spark.createDataFrame(new, TRIALS).coalesce(1).write.parquet(f"{runs}/from-{first:06d}")

@@ -178,3 +178,25 @@ def test_search_prunes_repeats_and_goes_on_after_a_stop(spark, monkeypatch, tmp_
     run(4, runs=str(tmp_path / "trials"))
     assert run(6, runs=str(tmp_path / "trials")) == whole == run(6, runs=str(tmp_path / "trials"))
     assert all(t[1] == t[2] for t in whole if t[3])
+
+
+def test_search_keeps_trees_in_the_tasks_and_scores_as_they_do(spark, monkeypatch):
+    x, y = sample(160)
+    df = frame(spark, x, y)
+    edges = boosting.quantile_edges(df, NAMES)
+    p = boosting.TreeParams(n_estimators=7, max_depth=3, subsample=0.8, gamma=0.05)
+    specs = [boosting.Spec(p, 1, f) for f in (2, 3)]
+    fitted = boosting.fit_many(df, NAMES, specs, "customer_id", "part", edges)
+    got = boosting.fit_scores(df, NAMES, specs, "customer_id", "part", edges, [2, 7]).collect()
+    want = []
+    for i, (spec, model) in enumerate(zip(specs, fitted)):
+        own = np.arange(len(y)) % 4 == spec.upto
+        for rounds in (2, 7):
+            score = boosting.sigmoid(boosting.margins(model.trees[:rounds], x[own]))
+            want += [(i, rounds, int(t), float(s)) for t, s in zip(y[own], score)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+    # Trees of a generation once came to the driver: none does now.
+    monkeypatch.setattr(boosting, "of_rows", lambda *_: pytest.fail("trees on the driver"))
+    space = {"n_estimators": ("int", 2, 6, 2), "max_depth": ("int", 1, 3, 1)}
+    assert cv.search(df.drop("part"), 3, k=2, features=NAMES, space=space).count() == 3
