@@ -348,3 +348,13 @@ def test_request_batches_that_cannot_be_whole_are_refused(spark, request_rows, t
     good, bad = stream_of(spark, rows.schema, tmp_path, wait=1)
     assert {g[0] for g in good} == {6} and {b[0] for b in bad} == {1, 2, 5}
     assert all(b[2][-1] == "batch: 5 of 6 records" for b in bad if b[0] == 1)
+
+
+def test_arrivals_do_not_grow_in_number_and_split_request_batches(spark, tmp_path):
+    from ebbline.plans.catalog_portfolio import ARRIVALS, write_arrivals
+
+    for n in (400, 4000):
+        write_arrivals(spark.range(n).select(F.col("id").alias("customer_id"), F.floor(F.col("id") / 20).alias("batch_id")), str(tmp_path / f"{n}"))
+        files = spark.read.parquet(str(tmp_path / f"{n}")).withColumn("file", F.input_file_name())
+        assert files.count() == n and files.select("file").distinct().count() == ARRIVALS
+        assert files.groupBy("batch_id").agg(F.count_distinct("file").alias("files")).where("files < 2").count() == 0
