@@ -260,3 +260,25 @@ def test_folds(spark):
     assert splits.usable_folds(one_class, 4) == [2, 3, 4]
     with pytest.raises(ValueError):
         splits.usable_folds(folds.withColumn("label", F.lit(1)), 4)
+
+
+def test_matrix_is_the_same_for_busy_customers_and_shuffles_narrow_rows_once(lines, monkeypatch):
+    data = [
+        (c, None if i % 7 == 0 else f"I{c}-{i // 2}", None if i == 5 else f"2010-0{1 + i % 6}-{1 + i % 28:02d} 0{i % 10}:00:00", None if i % 11 == 0 else i, 1.5 * (c or 1), f"S{i % 4}")
+        for c, n in ((1, 40), (2, 6), (3, 1), (None, 3)) for i in range(n)
+    ]
+    some, snapshots = lines(data), {"a": "2010-03-15", "b": "2010-05-01"}
+
+    def matrix():
+        return {k: sorted(str(round(v, 9) if isinstance(v, float) else v) for v in r.values()) for k, r in keyed(X.features_at(some, snapshots, label_days=(30, 30))).items()}
+
+    def keyed(df):
+        return {(r["split"], r["customer_id"]): r.asDict() for r in df.collect()}
+
+    whole = matrix()
+    assert whole and {c for _, c in whole} <= {1, 2, 3}
+    plan = X.features_at(some, snapshots, label_days=(30, 30))._jdf.queryExecution().executedPlan().toString()
+    # Invoices, slopes and products: nothing is shuffled after the copies for snapshots and windows are made.
+    assert plan.count("Exchange hashpartitioning") == 3 and "BroadcastExchange" not in plan
+    monkeypatch.setattr(X, "BUSY", 10)
+    assert matrix() == whole
