@@ -277,8 +277,10 @@ def test_matrix_is_the_same_for_busy_customers_and_shuffles_narrow_rows_once(lin
 
     whole = matrix()
     assert whole and {c for _, c in whole} <= {1, 2, 3}
+    monkeypatch.setattr(X, "PART_LINES", 10)
     plan = X.features_at(some, snapshots, label_days=(30, 30))._jdf.queryExecution().executedPlan().toString()
     # Invoices, slopes and products: nothing is shuffled after the copies for snapshots and windows are made.
-    assert plan.count("Exchange hashpartitioning") == 3 and "BroadcastExchange" not in plan
+    assert plan.count("Exchange hashpartitioning(customer_id") == plan.count("Exchange hashpartitioning") == 3, plan
+    assert matrix() == whole
     monkeypatch.setattr(X, "BUSY", 10)
     assert matrix() == whole
