@@ -164,13 +164,18 @@ def placed(sets: DataFrame) -> DataFrame:
     return ordered.withColumn("block", block).withColumn("place", place).drop("class", "rank", "total", "block", "low")
 
 
-def block_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of blocks a <= b that share a key and whose sizes can match; a0.. and b0.. are the bits of the entries with a shared key."""
+def held_in_blocks(members: DataFrame, *keys: str) -> DataFrame:
+    """A row for each of the ``keys`` and block: how many entries (``own``), their sizes and their bits m0..; written."""
     pos = F.col("place") % BLOCK
     bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
     bits = [F.bit_or(F.when(F.floor(pos / 64) == k, bit).otherwise(F.lit(0))).alias(f"m{k}") for k in range(WORDS)]
     at = members.withColumn("block", F.floor(F.col("place") / BLOCK))
-    held = save(at.groupBy("key", "block").agg(F.count(F.lit(1)).alias("own"), F.min("n").alias("least"), F.max("n").alias("most"), *bits), "held")
+    return save(at.groupBy(*keys, "block").agg(F.count(F.lit(1)).alias("own"), F.min("n").alias("least"), F.max("n").alias("most"), *bits), "held")
+
+
+def block_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of blocks a <= b that share a key and whose sizes can match; a0.. and b0.. are the bits of the entries with a shared key."""
+    held = held_in_blocks(members, "key")
     other = held.select("key", *[F.col(c).alias(f"_{c}") for c in held.columns if c != "key"])
     two = held.join(other, "key").where("(block < _block) OR (block = _block AND own > 1)").where("5 * most >= 4 * _least AND 5 * _most >= 4 * least")
     grouped = two.groupBy(F.col("block").alias("a"), F.col("_block").alias("b")).agg(
@@ -369,7 +374,11 @@ def links(members: DataFrame, where: DataFrame, texts: DataFrame) -> DataFrame:
 
     ``members`` are rows (key, place, n), ``where`` the entries (place, row, n, quarter, bits) and ``texts`` (row, text) of at least these.
     """
-    pairs = block_pairs(members)
+    return compared(block_pairs(members), where, texts)
+
+
+def compared(pairs: DataFrame, where: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links of the entries that take part in ``pairs`` of blocks, a written table that is released."""
     left = save(survivors(participants(pairs, where)), "survivors")
     forget_shuffles(where.sparkSession)
     found = hashed(texts.join(left.select("row").distinct(), "row", "left_semi"))

@@ -143,3 +143,52 @@ def test_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
     assert got == kept([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_block_bits_are_all_pairs_of_a_bucket():
+    rng = np.random.default_rng(6)
+    key = np.sort(rng.integers(0, 40, 300))
+    place, n = rng.permutation(2000)[:300], rng.integers(80, 120, 300)
+    want = {}
+    for i, j in itertools.combinations(range(300), 2):
+        if key[i] == key[j] and 5 * min(n[i], n[j]) >= 4 * max(n[i], n[j]):
+            low, high = sorted((int(place[i]), int(place[j])))
+            pair = low // sigtree.BLOCK, high // sigtree.BLOCK
+            mine, its = want.setdefault(pair, (set(), set()))
+            mine.add(low % sigtree.BLOCK)
+            (mine if pair[0] == pair[1] else its).add(high % sigtree.BLOCK)
+    a, b, bits = near.block_bits(key, place, n, 64)
+    words = bits.view(np.uint64)
+    of = lambda row, side: {64 * k + i for k in range(sigtree.WORDS) for i in range(64) if int(row[side * sigtree.WORDS + k]) >> i & 1}
+    got = {(int(x), int(y)): (of(row, 0), set() if x == y else of(row, 1)) for x, y, row in zip(a, b, words)}
+    assert got == want
+
+
+@pytest.mark.parametrize("small", [3, 64])
+def test_a_large_group_of_near_copies_is_one_class(spark, monkeypatch, small):
+    monkeypatch.setattr(near, "SMALL", small)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(200)]
+    copies = []
+    for _ in range(300):
+        own = list(words)
+        own[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+        copies.append(" ".join(own))
+    rows = [*enumerate(copies), *[(1000 + i, t) for i, t in planted()]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got, want = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}, set(kept(rows))
+    assert want <= got and not got & set(range(1, 300))
+    assert merged(rows, got) >= 0.95 * merged(rows, want)
+
+
+def test_a_class_is_not_compared_with_itself_again(spark):
+    """A bucket of m near copies and two strangers: as many pairs as it has blocks, not their square."""
+    n = 12 * sigtree.BLOCK
+    where = spark.range(n + 2).selectExpr("id AS row", "id AS place", "100L AS n", "10L AS quarter", "cast(repeat('x', 32) as binary) AS bits")
+    large = where.selectExpr("7L AS key", "place", "n")
+    roots = spark.range(n).selectExpr("id AS row", "0L AS root")
+    pairs, now = near.apart(large, where, roots)
+    blocks = now.selectExpr("place div 256 AS block").distinct().count()
+    assert now.count() == n + 2 and blocks >= 12
+    assert 0 < pairs.count() <= 2 * blocks + 1
+    assert near.apart(large.where(f"place < {n}"), where, roots)[0].isEmpty()
