@@ -222,3 +222,11 @@ def test_calibration_leaves_rows_without_a_score_out(spark):
     want = ev.calibration(df.where("score is not null")).orderBy("bin").collect()
     assert ev.calibration(df).orderBy("bin").collect() == want and sum(r["n_rows"] for r in want) == 40
     assert ev.calibration(df.where("score is null")).count() == 0
+
+
+def test_general_format_works_out_each_part_once(spark):
+    """Every part that has the one before it in it many times over grows the expression by its square."""
+    from ebbline.functions.numbers import general_format
+
+    plan = spark.range(1).select(general_format(F.col("id").cast("double")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("format_string") <= 30

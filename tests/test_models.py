@@ -358,3 +358,14 @@ def test_arrivals_do_not_grow_in_number_and_split_request_batches(spark, tmp_pat
         files = spark.read.parquet(str(tmp_path / f"{n}")).withColumn("file", F.input_file_name())
         assert files.count() == n and files.select("file").distinct().count() == ARRIVALS
         assert files.groupBy("batch_id").agg(F.count_distinct("file").alias("files")).where("files < 2").count() == 0
+
+
+def test_sentences_and_waterfall_are_worked_out_once(spark, tmp_path):
+    """A filter on the size of the exploded array would work the array out a second time."""
+    entry = F.struct(F.lit("spend_90d").alias("feature"), F.col("id").cast("double").alias("value"), F.col("id").cast("double").alias("contribution"))
+    spark.range(3).select(F.col("id").alias("customer_id"), F.array(entry).alias("contributions"), F.lit(0.5).alias("base_value")).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    steps = explain.waterfall(rows, 2)
+    assert steps.count() == 9
+    assert steps._jdf.queryExecution().optimizedPlan().toString().count("Base value") == 1
+    assert "array_sort" not in rows.select(explain.ranked_contributions())._jdf.queryExecution().analyzed().toString()
