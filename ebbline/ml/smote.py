@@ -24,6 +24,10 @@ MAX_FIT_ROWS = 20_000
 #: Rows that a task compares with others at a time.
 BLOCK_ROWS = 20_000
 QUERY_ROWS = 256
+#: Blocks of rows in an exchange of all with all, within these bounds of their number: every row is sent to each block.
+LEAST_BLOCKS, MANY_BLOCKS = 4, 8
+#: Candidates of neighbours that are measured at a time.
+MEASURED = 100_000
 SYNTHETIC = "synthetic"
 
 
@@ -119,7 +123,9 @@ def nearest(rows: DataFrame, queries: DataFrame, features: Sequence[str], key: s
 
 def nearest_blocked(rows: DataFrame, queries: DataFrame, features: Sequence[str], key: str, k: int, n: int) -> DataFrame:
     """:func:`nearest` with every block of queries against every block of rows; no task holds more than two blocks."""
-    names, parts = list(features), -(-n // BLOCK_ROWS)
+    names, blocks = list(features), -(-n // BLOCK_ROWS)
+    # Beyond MANY_BLOCKS they get up to three times as large, so rows are sent to fewer.
+    parts = max(LEAST_BLOCKS, min(blocks, max(MANY_BLOCKS, -(-blocks // 3))))
     kind = dict(rows.dtypes)[key]
     block = F.pmod(F.xxhash64(key), F.lit(parts))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
@@ -145,17 +151,27 @@ def nearest_blocked(rows: DataFrame, queries: DataFrame, features: Sequence[str]
 
 def closest(own: np.ndarray, a: np.ndarray, ids: np.ndarray, b: np.ndarray, key: str, k: int) -> pd.DataFrame:
     """The ``k`` nearest of the points ``b`` (in the order of their ids) for each query, itself excluded."""
+    none = pd.DataFrame({key: own[:0], "neighbor": ids[:0], "distance": np.empty(0), "rank": np.empty(0, dtype=np.int32)})
+    if not len(own) or not len(ids):
+        return none
     square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
     square[own[:, None] == ids[None, :]] = np.inf
-    out = []
-    for i, line in enumerate(square):
-        take = min(k, int(np.isfinite(line).sum()))
-        if not take:
-            continue
-        # The dot form cancels digits: take a little more than k, then measure by differences.
-        reach = np.partition(line, take - 1)[take - 1]
-        near = np.flatnonzero(line <= reach + 1e-9 * (1 + abs(reach)))
-        distance = np.sqrt(((a[i] - b[near]) ** 2).sum(1))
-        best = np.argsort(distance, kind="stable")[:take]
-        out.append(pd.DataFrame({key: own[i], "neighbor": ids[near[best]], "distance": distance[best], "rank": np.arange(1, take + 1, dtype=np.int32)}))
-    return pd.concat(out) if out else pd.DataFrame({key: own[:0], "neighbor": ids[:0], "distance": np.empty(0), "rank": np.empty(0, dtype=np.int32)})
+    finite = np.isfinite(square)
+    take, last = np.minimum(k, finite.sum(axis=1)), min(k, len(ids)) - 1
+    # The dot form cancels digits: take a little more than k, then measure by differences.
+    reach = np.partition(square, last, axis=1)[:, last]
+    reach[take <= last] = np.inf
+    near = finite & (square <= (reach + 1e-9 * (1 + np.abs(reach)))[:, None])
+    out = [none]
+    # Rows with very many ties are measured a few at a time.
+    part = np.cumsum(near.sum(axis=1)) // MEASURED
+    for rows in np.split(np.arange(len(own)), np.flatnonzero(np.diff(part)) + 1):
+        i, j = np.nonzero(near[rows])
+        i = rows[i]
+        distance = np.sqrt(((a[i] - b[j]) ** 2).sum(1))
+        order = np.lexsort((j, distance, i))
+        i, j, distance = i[order], j[order], distance[order]
+        rank = np.arange(len(i)) - np.searchsorted(i, i)
+        best = rank < take[i]
+        out.append(pd.DataFrame({key: own[i[best]], "neighbor": ids[j[best]], "distance": distance[best], "rank": (rank[best] + 1).astype(np.int32)}))
+    return pd.concat([x for x in out if len(x)] or [none])

@@ -360,6 +360,28 @@ def test_arrivals_do_not_grow_in_number_and_split_request_batches(spark, tmp_pat
         assert files.groupBy("batch_id").agg(F.count_distinct("file").alias("files")).where("files < 2").count() == 0
 
 
+def test_neighbours_are_found_for_many_queries_at_once(monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 4, (300, 3)).astype(float)  # many ties
+    ids, made, frame = np.arange(300) * 7, [], pd.DataFrame
+    monkeypatch.setattr(smote, "MEASURED", 5_000, raising=False)
+    monkeypatch.setattr(smote.pd, "DataFrame", lambda *a, **k: made.append(1) or frame(*a, **k))
+    found = smote.closest(ids[:200], x[:200], ids, x, "id", 5)
+    monkeypatch.undo()
+    assert len(made) < 100
+    got = {}
+    for own, other, distance, rank in found.itertuples(index=False):
+        got.setdefault(own, []).append((rank, other, distance))
+    for i in range(200):
+        distance = np.sqrt(((x - x[i]) ** 2).sum(1))
+        want = sorted((float(distance[j]), int(ids[j])) for j in range(300) if j != i)[:5]
+        assert sorted(got[ids[i]]) == [(r + 1, j, d) for r, (d, j) in enumerate(want)]
+    assert len(smote.closest(ids[:3], x[:3], ids[:2], x[:2], "id", 5)) == 4
+
+
 def test_sentences_and_waterfall_are_worked_out_once(spark, tmp_path):
     """A filter on the size of the exploded array would work the array out a second time."""
     entry = F.struct(F.lit("spend_90d").alias("feature"), F.col("id").cast("double").alias("value"), F.col("id").cast("double").alias("contribution"))
