@@ -175,9 +175,17 @@ def together(pairs: DataFrame) -> DataFrame:
 
 
 def with_hubs(large: DataFrame) -> DataFrame:
-    """Pairs of each block of a large bucket with the one that holds most of the bucket: as many as it has blocks."""
+    """Pairs of each block of a large bucket with one that holds much of the bucket: as many as it has blocks.
+
+    Of the blocks with at least half as many of the bucket as any, the one with the most entries in
+    all large buckets is the hub.  So the buckets of a group of near copies, which hold about the same
+    texts, agree on it, and the group's blocks meet one hub, not one for each bucket.
+    """
     held = sigtree.held_in_blocks(large, "key")
-    hubs = held.groupBy("key").agg(F.max_by(F.struct(*[c for c in held.columns if c != "key"]), F.struct("own", F.negative("block"))).alias("hub"))
+    peaks = held.groupBy("key").agg((F.max("own") / 2).alias("peak"))
+    weights = held.groupBy("block").agg(F.sum("own").alias("weight"))
+    able = held.join(peaks, "key").where("own >= peak").join(weights, "block")
+    hubs = able.groupBy("key").agg(F.max_by(F.struct(*[c for c in held.columns if c != "key"]), F.struct("weight", F.negative("block"))).alias("hub"))
     return met(held, hubs.select("key", "hub.*"), "block <> _block OR own > 1")
 
 
@@ -189,7 +197,10 @@ def apart(large: DataFrame, where: DataFrame, roots: DataFrame) -> tuple[DataFra
     Entries stand in the order of their classes, so a group has few blocks.
     """
     rooted = where.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))
-    rows = large.join(rooted.select("place", "row", "root"), "place").select("key", "row", "n", "root")
+    # A row of the join is a text with its buckets, 126 at most; written, since two plans read it.
+    texts = large.groupBy("place", "n").agg(F.collect_list("key").alias("keys"))
+    texts = save(texts.join(rooted.select("place", "row", "root"), "place").select("row", "n", "root", "keys"), "rooted")
+    rows = texts.select(F.explode("keys").alias("key"), "row", "n", "root")
     sizes = rows.groupBy("key", "root").count()
     most = sizes.groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("most"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
     rows = save(rows.join(most, "key").select("key", "row", "n", (F.col("root") == F.col("most")).alias("main")), "apart")

@@ -195,7 +195,9 @@ def participants(pairs: DataFrame, where: DataFrame) -> DataFrame:
         own = pairs if side == 0 else pairs.where("a < b")
         spread = own.select("a", "b", F.col(name).alias("block"), F.explode(set_bits).alias("pos"))
         sides.append(spread.select("a", "b", F.lit(side).alias("side"), (F.col("block") * BLOCK + F.col("pos")).alias("place")))
-    return sides[0].union(sides[1]).join(where, "place").drop("place")
+    # Joined as one row for each entry, with all its pairs: no more of them than there are blocks.
+    mine = sides[0].union(sides[1]).groupBy("place").agg(F.collect_list(F.struct("a", "b", "side")).alias("in"))
+    return mine.join(where, "place").drop("place").withColumn("in", F.explode("in")).select("in.*", "*").drop("in")
 
 
 def by_pair(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, dict[str, np.ndarray]]]:

@@ -192,3 +192,23 @@ def test_a_class_is_not_compared_with_itself_again(spark):
     assert now.count() == n + 2 and blocks >= 12
     assert 0 < pairs.count() <= 2 * blocks + 1
     assert near.apart(large.where(f"place < {n}"), where, roots)[0].isEmpty()
+
+
+def test_buckets_of_one_group_agree_on_a_hub(spark):
+    """Buckets that hold different parts of a group of near copies: pairs as many as its blocks, not a hub for each bucket."""
+    blocks, rng = 16, random.Random(9)
+    rows = [(key, place, 100) for key in range(60) for place in rng.sample(range(blocks * sigtree.BLOCK), 800)]
+    pairs = near.with_hubs(spark.createDataFrame(rows, "key long, place long, n long")).select("a", "b").distinct().collect()
+    assert {x for p in pairs for x in p} == set(range(blocks)) and len(pairs) <= 2 * blocks
+
+
+def test_a_text_is_joined_once_with_all_its_pairs(spark):
+    """Each block meets one hub: its entries take part in as many pairs as blocks, but the join has a row for each entry."""
+    blocks, full = 6, [-1] * sigtree.WORDS
+    pairs = spark.createDataFrame([(0, b, *full, *full) for b in range(1, blocks)], ["a", "b", *near.BITS])
+    where = spark.range(blocks * sigtree.BLOCK).selectExpr("id AS place", "id + 5 AS row", "100L AS n")
+    taken = sigtree.participants(pairs, where)
+    got = sorted((r.a, r.b, r.side, r.row - 5) for r in taken.collect())
+    assert got == sorted((0, b, side, block * sigtree.BLOCK + i) for b in range(1, blocks) for side, block in ((0, 0), (1, b)) for i in range(sigtree.BLOCK))
+    plan = taken._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(in") < plan.index("Join") < plan.index("collect_list")
