@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -200,3 +201,28 @@ def test_search_keeps_trees_in_the_tasks_and_scores_as_they_do(spark, monkeypatc
     monkeypatch.setattr(boosting, "of_rows", lambda *_: pytest.fail("trees on the driver"))
     space = {"n_estimators": ("int", 2, 6, 2), "max_depth": ("int", 1, 3, 1)}
     assert cv.search(df.drop("part"), 3, k=2, features=NAMES, space=space).count() == 3
+
+
+@pytest.mark.parametrize("gathered", [0, 1 << 25])
+def test_many_tasks_without_waiting_for_each_other_give_the_trees_and_scores_of_one(spark, monkeypatch, gathered):
+    x, y = sample()
+    df, edges = frame(spark, x, y), [np.array([-0.5, 0.0, 0.5])] * 3
+    p = boosting.TreeParams(n_estimators=12, max_depth=3, subsample=0.8, colsample_bytree=0.67)
+    specs = [boosting.Spec(p, 1, 2), boosting.Spec(boosting.TreeParams(n_estimators=5, max_depth=2), 3, 3)]
+
+    def both():
+        models = boosting.fit_many(df, NAMES, specs, "customer_id", "part", edges)
+        scores = boosting.fit_scores(df, NAMES, specs, "customer_id", "part", edges, [2, 5, 12]).collect()
+        return [[t.feature.tolist() for t in m.trees] for m in models], [boosting.margins(m.trees, x) for m in models], sorted(map(tuple, scores))
+
+    shapes, margins, scores = both()
+    monkeypatch.setattr(boosting, "ROWS_PER_TASK", 40)
+    monkeypatch.setattr(boosting, "CUT", 4)
+    monkeypatch.setattr(boosting, "GATHERED", gathered)
+    start = time.time()
+    got = both()
+    # 72 levels; when tasks waited for each other within a stage, each of them took a second.
+    assert time.time() - start < 60
+    assert got[0] == shapes and np.concatenate(got[1]) == pytest.approx(np.concatenate(margins), abs=1e-9)
+    assert [r[:3] for r in got[2]] == [r[:3] for r in scores]
+    assert [r[3] for r in got[2]] == pytest.approx([r[3] for r in scores], abs=1e-9)
