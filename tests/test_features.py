@@ -284,3 +284,31 @@ def test_matrix_is_the_same_for_busy_customers_and_shuffles_narrow_rows_once(lin
     assert matrix() == whole
     monkeypatch.setattr(X, "BUSY", 10)
     assert matrix() == whole
+
+
+def test_lines_are_joined_once_and_not_shuffled_by_customer(spark, tmp_path):
+    from ebbline.plans.testviews import txn
+
+    tables = {
+        "lineitem": ("l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double", [(1, 5, 2.0, 6.0), (1, 5, 2.0, 6.0), (2, 6, 1.0, 4.0), (3, 7, 1.0, 1.0), (None, 7, 1.0, 1.0)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderdate timestamp_ntz", [(1, 10, None), (2, 11, None), (3, 99, None), (4, None, None)]),
+        "customer": ("c_custkey long, c_nationkey long", [(10, 1), (10, 2), (11, None), (None, 1)]),
+        "nation": ("n_nationkey long, n_name string", [(1, "A"), (2, "B")]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = txn(spark, str(tmp_path), country=True)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["customer_id"], r["invoice_id"], r["unit_price"], r["country"]) for r in df.collect()) == [
+            (10, "1", 3.0, "A"), (10, "1", 3.0, "A"), (10, "1", 3.0, "B"), (10, "1", 3.0, "B"),
+        ]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # The last join is that of the lines, so nothing shuffles them for another.
+    assert "l_orderkey" in next(line for line in plan.splitlines() if "SortMergeJoin" in line)
