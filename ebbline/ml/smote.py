@@ -1,9 +1,7 @@
 """Oversampling the smaller class with exact nearest neighbours.
 
 Neighbours in tens of dimensions cannot be pruned, so all rows of the smaller class are compared,
-in blocks over the tasks.  A fit may bound its rows by :func:`fit_rows`, those with the least hash
-of the key: the same for any partitioning.  Class weights
-(:func:`ebbline.ml.prep.with_class_weight`) balance without it.
+in blocks over the tasks.  Class weights (:func:`ebbline.ml.prep.with_class_weight`) balance without it.
 """
 
 from __future__ import annotations
@@ -19,7 +17,7 @@ from ebbline.functions.ordering import asc, with_running
 from ebbline.ml.prep import class_counts
 from ebbline.session import write_table
 
-#: Rows of each class that an oversampled fit uses.
+#: Rows that :func:`fit_rows` takes unless told otherwise; the queries and models take all.
 MAX_FIT_ROWS = 20_000
 #: Rows that a task compares with others at a time.
 BLOCK_ROWS = 20_000

@@ -105,6 +105,14 @@ def test_blocked_neighbours_are_exact(spark, monkeypatch):
     assert got == want and len(got) == 360
 
 
+def test_the_baseline_learns_from_every_labelled_row(spark):
+    n = 40_400
+    df = spark.range(n + 3).selectExpr("id as customer_id", "cast(id % 11 as double) as a", f"if(id < {n}, cast(id % 2 as int), null) as label")
+    for smoted in (True, False):
+        model = models.train_baseline(df.where("label is not null") if not smoted else df, ["a"], smoted, max_iter=3)
+        assert model.stages[-1].summary.predictions.count() == n
+
+
 def test_medians_ignore_nan_and_fill_it(spark):
     df = spark.createDataFrame([(i, float(i) if i else float("nan"), i % 2) for i in range(11)], "customer_id long, a double, label int")
     medians = prep.fit_medians(df, ["a"])
