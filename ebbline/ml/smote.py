@@ -1,15 +1,20 @@
 """Oversampling the smaller class with exact nearest neighbours.
 
-Neighbours in tens of dimensions cannot be pruned, so all rows of the smaller class are compared,
-in blocks over the tasks.  Class weights (:func:`ebbline.ml.prep.with_class_weight`) balance without it.
+All rows of the smaller class take part.  Many are dealt to cells of rows near one another, and a row
+is compared only with cells that may hold something nearer than what its own one has.  Class weights
+(:func:`ebbline.ml.prep.with_class_weight`) balance without it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +27,12 @@ MAX_FIT_ROWS = 20_000
 #: Rows that a task compares with others at a time.
 BLOCK_ROWS = 20_000
 QUERY_ROWS = 256
-#: Blocks of rows in an exchange of all with all, within these bounds of their number: every row is sent to each block.
-LEAST_BLOCKS, MANY_BLOCKS = 4, 8
+#: Queries that are searched together among the rows of another cell, and rows of a cell that are taken or left together.
+GROUP_ROWS, LEAF_ROWS = 128, 128
+#: Points that a group of queries meets at once, and those of them of which only the least distance bounds the search.
+POINTS, GROUPED = 1024, 16
+#: Main directions in which such leaves are told apart.
+LEAF_AXES = 12
 #: Candidates of neighbours that are measured at a time.
 MEASURED = 100_000
 SYNTHETIC = "synthetic"
@@ -119,57 +128,313 @@ def nearest(rows: DataFrame, queries: DataFrame, features: Sequence[str], key: s
     return asked.mapInPandas(search, f"{key} {kind}, neighbor {kind}, distance double, rank int")
 
 
+@dataclass(frozen=True)
+class Cells:
+    """Space halved again and again: by each of ``axes`` of the turned rows in turn, at a cut of its own for every cell so far."""
+
+    centre: np.ndarray
+    turn: np.ndarray
+    axes: tuple[int, ...] = ()
+    cuts: tuple[np.ndarray, ...] = ()
+
+    def turned(self, x: np.ndarray) -> np.ndarray:
+        """The rows in their main directions; distances stay what they are."""
+        return (x - self.centre) @ self.turn
+
+    def of(self, z: np.ndarray) -> np.ndarray:
+        cell = np.zeros(len(z), dtype=np.int64)
+        for axis, cuts in zip(self.axes, self.cuts):
+            cell = 2 * cell + (z[:, axis] > cuts[cell])
+        return cell
+
+
+def matrix(rows: pa.RecordBatch | pa.Table, names: Sequence[str]) -> np.ndarray:
+    columns = [rows.column(c).to_numpy() if isinstance(rows, pa.Table) else rows.column(c).to_numpy(zero_copy_only=False) for c in names]
+    return np.column_stack([c.astype(float) for c in columns]) if columns else np.empty((rows.num_rows, 0))
+
+
+def main_directions(rows: DataFrame, names: Sequence[str]) -> tuple[Cells, np.ndarray]:
+    """A turn of space to the main directions of all rows, and the spread of the rows along each."""
+    d = len(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, square = 0, np.zeros(d), np.zeros((d, d))
+        for batch in batches:
+            x = matrix(batch, names)
+            x = x[np.isfinite(x).all(axis=1)]
+            n, total, square = n + len(x), total + x.sum(axis=0), square + x.T @ x
+        yield pa.RecordBatch.from_pydict({"n": [n], "total": [total.tolist()], "square": [square.ravel().tolist()]})
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[np.array(batch.column(c).to_pylist(), dtype=float).sum(axis=0) for c in range(3)] for batch in batches if batch.num_rows]
+        n, total, square = (sum(p[c] for p in parts) for c in range(3))
+        yield pa.RecordBatch.from_pydict({"n": [int(n)], "total": [np.ravel(total).tolist()], "square": [np.ravel(square).tolist()]})
+
+    schema = "n long, total array<double>, square array<double>"
+    sums = rows.select(*names).mapInArrow(run, schema).repartition(1).mapInArrow(added, schema).first()
+    n = max(sums["n"], 1)
+    centre = np.array(sums["total"]) / n
+    square = np.array(sums["square"]).reshape(d, d) / n - np.outer(centre, centre)
+    if not np.isfinite(square).all():
+        return Cells(np.zeros(d), np.eye(d)), np.ones(d)
+    spread, turn = np.linalg.eigh(square)
+    return Cells(centre, turn[:, ::-1]), np.sqrt(np.maximum(spread[::-1], 0))
+
+
+def halved(rows: DataFrame, names: Sequence[str], halvings: int) -> Cells:
+    """Cells of about as many rows each: every halving is at the medians along the direction in which cells are then widest."""
+    cells, spread = main_directions(rows, names)
+    for _ in range(halvings):
+        if not spread.any():
+            break
+        axis, so_far = int(spread.argmax()), cells
+        spread[axis] /= 2
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                z = so_far.turned(matrix(batch, names))
+                yield pa.RecordBatch.from_pydict({"cell": so_far.of(z), "place": z[:, axis]})
+
+        places = rows.select(*names).mapInArrow(run, "cell long, place double").where(~F.isnan("place"))
+        cuts = np.zeros(1 << len(cells.axes))
+        for r in places.groupBy("cell").agg(F.percentile_approx("place", 0.5, 1000).alias("cut")).collect():
+            cuts[r["cell"]] = r["cut"]
+        cells = replace(cells, axes=(*cells.axes, axis), cuts=(*cells.cuts, cuts))
+    return cells
+
+
+def lower(z: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Least square of the distance from each point to anything in each box."""
+    out = np.zeros((len(z), len(low)))
+    for j in range(z.shape[1]):
+        own = z[:, j, None]
+        gap = np.maximum(low[:, j] - own, own - high[:, j])
+        np.maximum(gap, 0, out=gap)
+        gap *= gap
+        out += gap
+    return out
+
+
+def within(z: np.ndarray, reach: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Which boxes may hold something in reach of each point; rounding is allowed for."""
+    far = max((np.square(x).sum(axis=1).max() for x in (z, low, high) if len(x)), default=0.0)
+    square = reach * reach
+    return lower(z, low, high) <= (square + 1e-9 * (1 + square) + 1e-12 * far)[:, None]
+
+
+def leaves_of(z: np.ndarray, size: int) -> list[np.ndarray]:
+    """The rows in groups of at most ``size`` near one another, by halving."""
+    out, todo = [], [np.arange(len(z))]
+    while todo:
+        at = todo.pop()
+        if len(at) <= size or not z.shape[1]:
+            out.append(at)
+            continue
+        own = z[at]
+        half, axis = len(at) // 2, (own.max(axis=0) - own.min(axis=0)).argmax()
+        order = np.argpartition(own[:, axis], half)
+        todo += [at[order[half:]], at[order[:half]]]
+    return out
+
+
+def lists(i: np.ndarray, n: int, values: pa.Array) -> pa.Array:
+    """The values of each of ``n`` rows as a list; ``i`` is the row of each value, in order."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(i, np.arange(n + 1)).astype(np.int32)), values)
+
+
+def in_order(asked: pa.Table, points: pa.Table, key: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers for the keys of both sides that are in the order of the keys, and the order of the points by them."""
+    keys = pd.concat([asked.column(key).to_pandas(), points.column(key).to_pandas()], ignore_index=True)
+    codes, _ = pd.factorize(keys, sort=True)
+    codes[codes < 0] = len(codes)
+    own, ids = codes[: asked.num_rows], codes[asked.num_rows :]
+    order = np.argsort(ids, kind="stable")
+    return own, ids[order], order
+
+
 def nearest_blocked(rows: DataFrame, queries: DataFrame, features: Sequence[str], key: str, k: int, n: int) -> DataFrame:
-    """:func:`nearest` with every block of queries against every block of rows; no task holds more than two blocks."""
-    names, blocks = list(features), -(-n // BLOCK_ROWS)
-    # Beyond MANY_BLOCKS they get up to three times as large, so rows are sent to fewer.
-    parts = max(LEAST_BLOCKS, min(blocks, max(MANY_BLOCKS, -(-blocks // 3))))
-    kind = dict(rows.dtypes)[key]
-    block = F.pmod(F.xxhash64(key), F.lit(parts))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
-    asked = rows.join(queries.select(key), key, "left_semi").select(key, *names, block.alias("_own"), every.alias("_other"))
+    """:func:`nearest` over cells of about ``BLOCK_ROWS`` rows near one another.
+
+    A query meets all rows of its own cell first.  The k-th distance found there bounds what it still looks for, so it
+    is sent only to cells whose box comes as near as that, and meets there only groups of rows that do.  Rows far from
+    all others go to most cells: then it is all with all again.  Tasks hold a cell and a bounded number of queries.
+    """
+    names, kind, most = list(features), dict(rows.dtypes)[key], 2 * BLOCK_ROWS
+    fine = reduce(lambda a, b: a & b, [F.abs(F.col(c).cast("double")) < F.lit(math.inf) for c in names], F.lit(True))
+    points = write_table(rows.select(key, *[F.col(c).cast("double").alias(c) for c in names]).where(fine), "points")
+    cells = halved(points, names, max(1, math.ceil(math.log2(n / BLOCK_ROWS))))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z = cells.turned(matrix(batch, names))
+            yield pa.RecordBatch.from_arrays([pa.array(cells.of(z)), *[pa.array(own) for own in z.T]], ["cell", *[f"z{i}" for i in range(len(names))]])
+
+    boxes = points.select(*names).mapInArrow(placed, ", ".join(["cell long", *[f"z{i} double" for i in range(len(names))]])).groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), *[f(f"z{i}").alias(f"{s}{i}") for s, f in (("low", F.min), ("high", F.max)) for i in range(len(names))]
+    ).orderBy("cell").collect()
+    # A cell of too many rows, since they are alike, is dealt to several blocks with its box.
+    parts = [-(-r["n"] // most) for r in boxes]
+    first = np.concatenate([[0], np.cumsum(parts)]).astype(int).tolist()
+    low, high = (np.repeat(np.array([[r[f"{s}{i}"] for i in range(len(names))] for r in boxes]).reshape(len(boxes), len(names)), parts, axis=0) for s in ("low", "high"))
+    spark, blocks = rows.sparkSession, first[-1]
+
+    def at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("_cell", pa.array(cells.of(cells.turned(matrix(batch, names)))))
+
+    of_cell = spark.createDataFrame([(r["cell"], f, p) for r, f, p in zip(boxes, first, parts)], "_cell long, _first int, _parts int")
+    schema = ", ".join([f"`{key}` {kind}", *[f"`{c}` double" for c in names]])
+    homes = points.mapInArrow(at_home, f"{schema}, _cell long").join(F.broadcast(of_cell), "_cell")
+    block = (F.col("_first") + F.pmod(F.xxhash64(key), F.col("_parts"))).cast("int").alias("_block")
+    points = write_table(homes.select(key, *names, block), "cells")
+    asked = points.join(queries.select(key), key, "left_semi")
     # Aliases set the two sides apart.
-    others = rows.select(*[F.col(c).alias(c) for c in (key, *names)], block.alias("_other"), every.alias("_own"))
-
-    def search(own: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        points = points.sort_values(key)
-        ids, x = points[key].to_numpy(), points[names].to_numpy(dtype=float)
-        found = [
-            closest(part[key].to_numpy(), part[names].to_numpy(dtype=float), ids, x, key, k)
-            for part in (own.iloc[at : at + QUERY_ROWS] for at in range(0, len(own), QUERY_ROWS))
-        ]
-        return pd.concat(found) if found else closest(ids[:0], x[:0], ids, x, key, k)
-
-    schema = f"{key} {kind}, neighbor {kind}, distance double, rank int"
-    found = asked.groupBy("_own", "_other").cogroup(others.groupBy("_own", "_other")).applyInPandas(search, schema)
+    points = points.select(*[F.col(c).alias(c) for c in (key, *names, "_block")])
+
+    def at_home_first(asked: pa.Table, points: pa.Table) -> pa.Table:
+        own, ids, order = in_order(asked, points, key)
+        a, b, size = matrix(asked, names), matrix(points, names)[order], asked.num_rows
+        found = [best(own[at : at + QUERY_ROWS], a[at : at + QUERY_ROWS], ids, b, k) for at in range(0, size, QUERY_ROWS)]
+        i, j, distance = (np.concatenate([f[c] + (at * QUERY_ROWS if c == 0 else 0) for at, f in enumerate(found)] or [np.empty(0, dtype=int)]) for c in range(3))
+        reach = np.full(size, np.inf)
+        last = np.flatnonzero(np.arange(len(i)) - np.searchsorted(i, i) == k - 1)
+        reach[i[last]] = distance[last]
+        z, step, go = cells.turned(a), max(1, (1 << 22) // max(blocks, 1)), []
+        home = np.array(asked.column("_block"))
+        for at in range(0, size, step):
+            near = within(z[at : at + step], reach[at : at + step], low, high)
+            near[np.arange(len(near)), home[at : at + step]] = False
+            r, c = np.nonzero(near)
+            go.append((r + at, c))
+        r, c = (np.concatenate([g[x] for g in go] or [np.empty(0, dtype=int)]) for x in range(2))
+        neighbor = points.column(key).combine_chunks().take(pa.array(order[j]))
+        out = asked.select([key, *names]).append_column("_reach", pa.array(reach))
+        out = out.append_column("_blocks", lists(r, size, pa.array(c.astype(np.int32))))
+        return out.append_column("_neighbors", lists(i, size, neighbor)).append_column("_distances", lists(i, size, pa.array(distance.astype(float))))
+
+    tasks = 2 * blocks
+    near = write_table(
+        asked.repartition(tasks, "_block").groupBy("_block").cogroup(points.repartition(tasks, "_block").groupBy("_block"))
+        .applyInArrow(at_home_first, f"{schema}, _reach double, _blocks array<int>, _neighbors array<{kind}>, _distances array<double>"),
+        "near",
+    )
+    home = near.select(key, F.explode(F.arrays_zip("_neighbors", "_distances")).alias("_n")).select(
+        key, F.col("_n._neighbors").alias("neighbor"), F.col("_n._distances").alias("distance")
+    )
+
+    # A block that very many queries come to is sent to a task for each of their parts.
+    sent = near.select(F.explode("_blocks").alias("_block")).groupBy("_block").count().collect()
+    shares = [(r["_block"], -(-r["count"] // (2 * most))) for r in sent]
+    of_block = F.broadcast(spark.createDataFrame(shares, "_block int, _shares int"))
+    asked = near.select(key, *names, "_reach", F.explode("_blocks").alias("_block")).join(of_block, "_block").select(
+        key, *names, "_reach", "_block", F.pmod(F.xxhash64(key, F.lit(1)), F.col("_shares")).cast("int").alias("_share")
+    )
+    shared = points.join(of_block, "_block").select(key, *names, "_block", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)).alias("_share"))
+    others = shared.select(*[F.col(c).alias(c) for c in (key, *names, "_block", "_share")])
+
+    def elsewhere(asked: pa.Table, points: pa.Table) -> pa.Table:
+        own, ids, order = in_order(asked, points, key)
+        a, b, reach = matrix(asked, names), matrix(points, names)[order], asked.column("_reach").to_numpy()
+        z, y = (cells.turned(x)[:, :LEAF_AXES] for x in (a, b))
+        leaves = leaves_of(y, LEAF_ROWS)
+        least, greatest = (np.array([f(y[leaf], axis=0) for leaf in leaves]) for f in (np.min, np.max))
+        # Queries near the same leaf are searched together.
+        middle = (least + greatest) / 2
+        home = [((middle * middle).sum(axis=1) - 2 * z[at : at + most] @ middle.T).argmin(axis=1) for at in range(0, len(z), most)]
+        queue, found = np.argsort(np.concatenate(home or [np.empty(0, dtype=int)]), kind="stable"), []
+        for at in range(0, len(queue), GROUP_ROWS):
+            group = queue[at : at + GROUP_ROWS]
+            some = within(z[group], reach[group], least, greatest).any(axis=0)
+            if some.any():
+                here = np.sort(np.concatenate([leaves[leaf] for leaf in np.flatnonzero(some)]))
+                i, j, distance = best(own[group], a[group], ids[here], b[here], k, reach[group])
+                found.append((group[i], here[j], distance))
+        i, j, distance = (np.concatenate([f[c] for f in found] or [np.empty(0, dtype=int)]) for c in range(3))
+        return pa.table({
+            key: asked.column(key).combine_chunks().take(pa.array(i)), "neighbor": points.column(key).combine_chunks().take(pa.array(order[j])),
+            "distance": distance.astype(float),
+        })
+
+    tasks, by = 2 * sum(s for _, s in shares), ("_block", "_share")
+    found = home
+    if shares:
+        found = home.unionByName(
+            asked.repartition(tasks, *by).groupBy(*by).cogroup(others.repartition(tasks, *by).groupBy(*by))
+            .applyInArrow(elsewhere, f"`{key}` {kind}, neighbor {kind}, distance double")
+        )
     # At most k rows of each block for a query.
     rank = F.row_number().over(Window.partitionBy(key).orderBy("distance", "neighbor"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def closest(own: np.ndarray, a: np.ndarray, ids: np.ndarray, b: np.ndarray, key: str, k: int) -> pd.DataFrame:
-    """The ``k`` nearest of the points ``b`` (in the order of their ids) for each query, itself excluded."""
-    none = pd.DataFrame({key: own[:0], "neighbor": ids[:0], "distance": np.empty(0), "rank": np.empty(0, dtype=np.int32)})
-    if not len(own) or not len(ids):
-        return none
-    square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
-    square[own[:, None] == ids[None, :]] = np.inf
-    finite = np.isfinite(square)
-    take, last = np.minimum(k, finite.sum(axis=1)), min(k, len(ids)) - 1
+def best(own: np.ndarray, a: np.ndarray, ids: np.ndarray, b: np.ndarray, k: int, reach: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` nearest of the points ``b`` (in the order of their ids) for each query, itself excluded: query, point and distance, nearest first.
+
+    Points that are not finite are no neighbours and have none.  With ``reach`` none is farther than that of its query.
+    """
+    a2, b2 = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    for mine, x in ((True, a2), (False, b2)):
+        fine = np.isfinite(x)
+        if not fine.all():
+            at = np.flatnonzero(fine)
+            if mine:
+                i, j, distance = best(own[at], a[at], ids, b, k, None if reach is None else reach[at])
+                return at[i], j, distance
+            i, j, distance = best(own, a, ids[at], b[at], k, reach)
+            return i, at[j], distance
+    out = [(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))]
+    if not len(a) or not len(b):
+        return out[0]
     # The dot form cancels digits: take a little more than k, then measure by differences.
-    reach = np.partition(square, last, axis=1)[:, last]
-    reach[take <= last] = np.inf
-    near = finite & (square <= (reach + 1e-9 * (1 + np.abs(reach)))[:, None])
-    out = [none]
+    more = 1e-9 + 1e-12 * (a2 + b2.max())
+    bound = np.full(len(a), np.inf) if reach is None else reach * reach * (1 + 1e-9) + more - a2
+    least, numbers = np.empty((len(a), 0)), ids.dtype.kind in "iuf" and own.dtype.kind in "iuf"
+    start, stop = (np.searchsorted(ids, own, side) for side in ("left", "right")) if numbers else (None, None)
+    # Squares of distances, but for the query's own square: it is the same for all points.
+    left, right = np.concatenate((-2 * a, np.ones((len(a), 1))), axis=1), np.concatenate((b, b2[:, None]), axis=1)
+    near: list[np.ndarray] = []
+    for at in range(0, len(b), POINTS):
+        square = left @ right[at : at + POINTS].T
+        width = square.shape[1]
+        if numbers:
+            for place in range((stop - start).max()):
+                same = np.flatnonzero((start + place < stop) & (start + place >= at) & (start + place < at + width))
+                square[same, start[same] + place - at] = np.inf
+        else:
+            square[own[:, None] == ids[None, at : at + width]] = np.inf
+        if reach is None:
+            # The k-th of the least of groups is not below the k-th of all so far.
+            group = width // GROUPED if width >= 4 * k * GROUPED else width
+            least = np.concatenate((least, square[:, :group]), axis=1)
+            own_least = least[:, -group:]
+            for other in range(group, width - group + 1, group):
+                np.minimum(own_least, square[:, other : other + group], out=own_least)
+            if least.shape[1] >= k:
+                least = np.partition(least, k - 1, axis=1)[:, :k]
+                bound = least.max(axis=1) + more + 1e-9 * np.abs(least.max(axis=1))
+        near.append(np.flatnonzero(square <= bound[:, None]))
+        rows, columns = near[-1] // width, near[-1] % width + at
+        near[-1] = rows * len(b) + columns
+    flat = np.concatenate(near)
+    flat = np.sort(flat) if len(near) > 1 else flat
+    rows, columns = flat // len(b), flat % len(b)
+    if not np.isfinite(bound).all():
+        # A bound that is not finite lets the query's own row pass.
+        other = own[rows] != ids[columns]
+        rows, columns = rows[other], columns[other]
     # Rows with very many ties are measured a few at a time.
-    part = np.cumsum(near.sum(axis=1)) // MEASURED
-    for rows in np.split(np.arange(len(own)), np.flatnonzero(np.diff(part)) + 1):
-        i, j = np.nonzero(near[rows])
-        i = rows[i]
-        distance = np.sqrt(((a[i] - b[j]) ** 2).sum(1))
+    part = np.cumsum(np.bincount(rows, minlength=len(a))) // MEASURED
+    for i, j in zip(*(np.split(x, np.flatnonzero(np.diff(part[rows])) + 1) for x in (rows, columns))):
+        distance = np.sqrt(((a[i] - b[j]) ** 2).sum(axis=1))
         order = np.lexsort((j, distance, i))
         i, j, distance = i[order], j[order], distance[order]
-        rank = np.arange(len(i)) - np.searchsorted(i, i)
-        best = rank < take[i]
-        out.append(pd.DataFrame({key: own[i[best]], "neighbor": ids[j[best]], "distance": distance[best], "rank": (rank[best] + 1).astype(np.int32)}))
-    return pd.concat([x for x in out if len(x)] or [none])
+        ok = np.arange(len(i)) - np.searchsorted(i, i) < k
+        out.append((i[ok], j[ok], distance[ok]))
+    return tuple(np.concatenate([o[c] for o in out]) for c in range(3))
+
+
+def closest(own: np.ndarray, a: np.ndarray, ids: np.ndarray, b: np.ndarray, key: str, k: int) -> pd.DataFrame:
+    """:func:`best` as a table."""
+    i, j, distance = best(own, a, ids, b, k)
+    rank = np.arange(len(i)) - np.searchsorted(i, i) + 1
+    return pd.DataFrame({key: own[i], "neighbor": ids[j], "distance": distance, "rank": rank.astype(np.int32)})

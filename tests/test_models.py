@@ -105,6 +105,37 @@ def test_blocked_neighbours_are_exact(spark, monkeypatch):
     assert got == want and len(got) == 360
 
 
+def test_neighbours_are_sought_only_where_they_may_be(spark, monkeypatch):
+    """Rows in clusters, far rows, copies, rows that are not finite, and keys that come twice: all exact, and few rows are sent to other cells."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(600, 6)) * 0.05
+    x[:, :3] += rng.integers(0, 3, size=(600, 3)) * 10.0
+    x[:4] += 200.0
+    x[100:150] = x[100]
+    x[590], x[591, 2] = np.nan, np.inf
+    keys = [f"k{i:04d}" for i in range(600)]
+    keys[301] = keys[300]
+    rows = spark.createDataFrame([(i, *map(float, v)) for i, v in zip(keys, x)], "id string, " + ", ".join(f"f{i} double" for i in range(6)))
+    written, write = {}, smote.write_table
+    monkeypatch.setattr(smote, "write_table", lambda df, name: written.setdefault(name, write(df, name)))
+    monkeypatch.setattr(smote, "BLOCK_ROWS", 20)
+    got = smote.nearest(rows, rows.where("id != 'k0005'").select("id"), [f"f{i}" for i in range(6)], "id", 4).collect()
+    fine, want = np.flatnonzero(np.isfinite(x).all(1)), {}
+    for i in fine:
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        want.setdefault(keys[i], []).extend((d[j], keys[j]) for j in fine if keys[j] != keys[i])
+    want = {i: sorted(v)[:4] for i, v in want.items() if i != "k0005"}
+    found = {}
+    for r in sorted(got, key=lambda r: (r["id"], r["rank"])):
+        found.setdefault(r["id"], []).append((r["distance"], r["neighbor"]))
+    assert found.keys() == want.keys()
+    for i, pairs in want.items():
+        assert [n for _, n in found[i]] == [n for _, n in pairs] and [d for d, _ in found[i]] == pytest.approx([d for d, _ in pairs], abs=1e-12)
+    sent = written["near"].selectExpr("sum(size(_blocks)) AS n").first()["n"]
+    blocks = written["cells"].select("_block").distinct().count()
+    assert blocks > 20 and sent < 0.35 * len(want) * blocks
+
+
 def test_the_baseline_learns_from_every_labelled_row(spark):
     n = 40_400
     df = spark.range(n + 3).selectExpr("id as customer_id", "cast(id % 11 as double) as a", f"if(id < {n}, cast(id % 2 as int), null) as label")
