@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.functions.ordering import OrderKey, asc
-from ebbline.ml.boosting import BoostedTrees, Spec, Tree, TreeParams, fit_many, fit_scores, margins, quantile_edges, sigmoid
+from ebbline.ml.boosting import (
+    ROWS_PER_TASK, BoostedTrees, Spec, Tree, TreeParams, fit_many, fit_packed, fit_scores, margins, packed_rows, quantile_edges, sigmoid,
+)
 from ebbline.ml.models import score_with, train_baseline
 from ebbline.operators.evaluation import auc_by, auc_metrics
 from ebbline.operators.splits import fold_classes, forward_folds, train_part, usable_folds, val_part
@@ -148,6 +150,8 @@ STARTUP = 10
 CANDIDATES = 24
 #: A trial is first scored after this share of its rounds.
 RUNG = 0.25
+#: Rows beyond which the folds of a trial are fitted in tasks of their own.
+APART = 100_000
 
 Trial = tuple[int, float | None, float | None, bool, dict[str, float]]  # trial, score, rung score, pruned, params
 TRIALS = "trial int, score double, rung_score double, pruned boolean, params map<string,double>"
@@ -239,13 +243,31 @@ def search(
                 found[r["grp"] // k].append(r["pr_auc"])
         return {t: sum(x) / len(x) if x else None for t, x in found.items()}
 
-    def fitted(params: Mapping[str, float], *marks: int) -> DataFrame:
-        """Scores of the held-out rows of all folds after each of the ``marks``, written: the trees of a generation are too many for the driver."""
-        own = TreeParams.of(dict(params) | {"n_estimators": max(marks)})
-        specs = [Spec(own, seed, f) for f in usable]
-        return write_table(fit_scores(folds, features, specs, key_of(folds), "val_fold", edges, marks), "trial")
+    # Where rows are many but fit in a task, each fold of a trial is a task of its own.
+    n = folds.count()
+    packed = packed_rows(folds, features, key_of(folds), "val_fold", edges)[0] if usable and APART < n <= ROWS_PER_TASK else None
 
-    with ThreadPoolExecutor(parallelism) as pool:
+    def fitted(marks: Mapping[int, Sequence[int]], params: Mapping[int, Mapping[str, float]]) -> dict[int, DataFrame]:
+        """Scores of the held-out rows of all folds after the ``marks`` of each trial, written: the trees of a generation are too many for the driver."""
+        own = {t: TreeParams.of(dict(params[t]) | {"n_estimators": max(m)}) for t, m in marks.items()}
+
+        def whole(t: int) -> DataFrame:
+            specs = [Spec(own[t], seed, f) for f in usable]
+            return write_table(fit_scores(folds, features, specs, key_of(folds), "val_fold", edges, marks[t]), "trial")
+
+        def alone(task: tuple[int, int]) -> DataFrame:
+            t, at = task
+            scores = fit_packed(packed, Spec(own[t], seed, usable[at]), edges, marks[t])
+            return write_table(scores.withColumn("grp", F.lit(at)), "trial")
+
+        if packed is None:
+            return dict(zip(marks, pool.map(whole, marks)))
+        # The longest begin first, so that none is left over at the end.
+        tasks = sorted(((t, at) for t in marks for at in range(len(usable))), key=lambda x: -own[x[0]].n_estimators * (1 + own[x[0]].max_depth) * usable[x[1]])
+        parts = dict(zip(tasks, pool.map(alone, tasks)))
+        return {t: reduce(DataFrame.unionByName, [parts[t, at] for at in range(len(usable))]) for t in marks}
+
+    with ThreadPoolExecutor(parallelism * (len(usable) if packed is not None else 1)) as pool:
         while len(done) < n_trials and not early:
             first = len(done)
             known = [(s, p) for _, s, _, _, p in done if s is not None]
@@ -261,12 +283,12 @@ def search(
             before = sorted(s for _, _, s, _, _ in done if s is not None)
             bar = before[len(before) // 2] if len(before) >= STARTUP else None
             if bar is not None:
-                short = dict(zip(params, pool.map(lambda t: fitted(params[t], rungs[t]), params)))
+                short = fitted({t: [rungs[t]] for t in params}, params)
                 rung = areas(short, rungs)
                 go_on = [t for t in params if rung[t] is None or rung[t] >= bar]
             else:
                 rung, go_on = {}, list(params)
-            full = dict(zip(go_on, pool.map(lambda t: fitted(params[t], *([rungs[t]] if bar is None else []), whole[t]), go_on)))
+            full = fitted({t: [*([rungs[t]] if bar is None else []), whole[t]] for t in go_on}, params)
             if bar is None:
                 rung = areas(full, rungs)
             scores = areas(full, whole)

@@ -226,3 +226,28 @@ def test_many_tasks_without_waiting_for_each_other_give_the_trees_and_scores_of_
     assert got[0] == shapes and np.concatenate(got[1]) == pytest.approx(np.concatenate(margins), abs=1e-9)
     assert [r[:3] for r in got[2]] == [r[:3] for r in scores]
     assert [r[3] for r in got[2]] == pytest.approx([r[3] for r in scores], abs=1e-9)
+
+
+def test_features_counted_together_give_the_same_trees(monkeypatch):
+    """Many rows are counted by several features at once; few are counted by one feature after another."""
+    rng = np.random.default_rng(11)
+    x = np.column_stack([rng.normal(size=4000), rng.integers(0, 3, 4000), rng.normal(size=4000), rng.integers(0, 2, 4000), np.full(4000, np.nan)])
+    x[rng.random(x.shape) < 0.1] = np.nan
+    y = (np.nan_to_num(x[:, 0]) + np.nan_to_num(x[:, 1]) + rng.normal(size=4000) > 1).astype(float)
+    edges = [np.unique(np.nanquantile(c, np.arange(64) / 64)) if not np.isnan(c).all() else np.empty(0) for c in x.T]
+    params = boosting.TreeParams(n_estimators=6, max_depth=3, subsample=0.7, colsample_bytree=0.6, min_child_weight=5.0)
+
+    def grown():
+        own = boosting.Grower(boosting.Spec(params, 5, 3), boosting.coded(x, edges), edges, y, rng_key, np.arange(4000, dtype=np.int32) % 4)
+        boosting.grow([own])
+        return own.trees
+
+    rng_key, counted, joint = np.arange(4000) * 7919, [], boosting.joint
+    want = grown()
+    monkeypatch.setattr(boosting, "FILLED", 0)
+    monkeypatch.setattr(boosting, "joint", lambda *a: counted.append(joint(*a)) or counted[-1])
+    got = grown()
+    # Two features of 66 bins, or those of few bins, are one pass.
+    assert len(counted) == 6 and all(len(groups) < sum(len(g[1]) for g in groups) for groups in counted)
+    for a, b in zip(want, got):
+        assert (a.feature == b.feature).all() and np.allclose(a.value, b.value, atol=1e-12) and np.allclose(a.cover, b.cover) and (a.cut == b.cut).all()

@@ -222,6 +222,18 @@ def test_cross_validation_and_report(train, spark):
     assert all(r["single_split"] is None for r in cv.cv_report(summary).collect())
 
 
+def test_a_search_finds_the_same_with_a_task_for_each_fold(train, monkeypatch):
+    space = {"n_estimators": ("int", 4, 8, 4), "max_depth": ("int", 2, 3, 1), "subsample": ("real", 0.5, 1.0), "colsample_bytree": ("real", 0.4, 1.0)}
+    want = cv.search(train, 3, k=3, features=COLUMNS, space=space).orderBy("trial").collect()
+    made, fit = [], cv.fit_packed
+    monkeypatch.setattr(cv, "APART", 10)
+    monkeypatch.setattr(cv, "fit_packed", lambda packed, spec, *a: made.append(spec) or fit(packed, spec, *a))
+    got = cv.search(train, 3, k=3, features=COLUMNS, space=space).orderBy("trial").collect()
+    assert len(made) == 9 and [r["params"] for r in got] == [r["params"] for r in want]
+    for name in ("score", "rung_score"):
+        assert [r[name] for r in got] == pytest.approx([r[name] for r in want], abs=1e-12)
+
+
 def test_search_is_seeded_and_bounded(train):
     draws = [cv.draw_params(random.Random(5)) for _ in range(2)]
     assert draws[0] == draws[1] and set(draws[0]) == set(cv.SEARCH_SPACE)
